@@ -155,3 +155,249 @@ WITH l AS (
 SELECT event_type, max(n) AS n,
   (max(CASE WHEN rn = (n + 1) // 2 THEN v END) + max(CASE WHEN rn = n // 2 + 1 THEN v END)) / CAST(2 AS DOUBLE) AS median_ms
 FROM l GROUP BY event_type""", "telemetry")
+
+
+# ------------------------------------------------------------------ buildings
+
+def D(x: str) -> str:
+    return f"CAST('{x}' AS DOUBLE)"
+
+
+_BUILDINGS = """bb AS (
+  SELECT latitude, longitude, area_in_meters, confidence FROM {src}
+  WHERE latitude BETWEEN (SELECT min(lat_min) FROM zones) AND (SELECT max(lat_max) FROM zones)
+    AND longitude BETWEEN (SELECT min(lon_min) FROM zones) AND (SELECT max(lon_max) FROM zones)
+    AND area_in_meters IS NOT NULL AND confidence IS NOT NULL
+    AND NOT isnan(latitude) AND NOT isnan(longitude) AND NOT isnan(area_in_meters) AND NOT isnan(confidence)
+), buildings AS (
+  SELECT * FROM (
+    SELECT bb.*, (SELECT z.zone_id FROM zones z
+                  WHERE bb.latitude BETWEEN z.lat_min AND z.lat_max
+                    AND bb.longitude BETWEEN z.lon_min AND z.lon_max
+                  ORDER BY z.priority LIMIT 1) AS zone_id
+    FROM bb) WHERE zone_id IS NOT NULL
+)"""
+
+_WKT = """wkt AS (
+  SELECT TRY_CAST(nullif(regexp_extract(geometry, 'POINT \\(([^ ]+) ([^ )]+)\\)', 2), '') AS DOUBLE) AS latitude,
+    TRY_CAST(nullif(regexp_extract(geometry, 'POINT \\(([^ ]+) ([^ )]+)\\)', 1), '') AS DOUBLE) AS longitude,
+    area_in_meters, confidence
+  FROM buildings_raw)"""
+
+ORACLES["buildings"] = with_views(
+    f"WITH {_BUILDINGS.format(src='buildings_raw')}\nSELECT * FROM buildings", "buildings_raw", "zones")
+ORACLES["buildings_from_wkt"] = with_views(
+    f"WITH {_WKT}, {_BUILDINGS.format(src='wkt')}\nSELECT * FROM buildings", "buildings_raw", "zones")
+ORACLES["zone_inventory"] = with_views(
+    f"WITH {_BUILDINGS.format(src='buildings_raw')}\n"
+    "SELECT zone_id, count(*) AS buildings FROM buildings GROUP BY zone_id", "buildings_raw", "zones")
+
+_VALID = """loaded AS (SELECT DISTINCT zone_id FROM buildings
+), checked AS (
+  SELECT r.*,
+    CASE WHEN r.zone_id IS NULL OR r.query_type IS NULL THEN 422
+         WHEN r.zone_id NOT IN (SELECT zone_id FROM loaded) THEN 404
+         WHEN r.query_type = 'Q4' AND (r.zone_id_b IS NULL OR r.zone_id_b = '') THEN 400
+         WHEN r.query_type NOT IN ('Q1', 'Q2', 'Q3', 'Q4', 'Q5') THEN 400
+         WHEN r.query_type = 'Q4' AND r.zone_id_b NOT IN (SELECT zone_id FROM loaded) THEN 500
+         WHEN r.query_type = 'Q5' AND (r.bins IS NULL OR r.bins < 1) THEN 500 END AS error_status,
+    CASE WHEN r.zone_id IS NULL OR r.query_type IS NULL THEN 'invalid_request'
+         WHEN r.zone_id NOT IN (SELECT zone_id FROM loaded) THEN 'zone_not_found'
+         WHEN r.query_type = 'Q4' AND (r.zone_id_b IS NULL OR r.zone_id_b = '') THEN 'missing_zone_b'
+         WHEN r.query_type NOT IN ('Q1', 'Q2', 'Q3', 'Q4', 'Q5') THEN 'unknown_query_type'
+         WHEN r.query_type = 'Q4' AND r.zone_id_b NOT IN (SELECT zone_id FROM loaded) THEN 'zone_b_not_found'
+         WHEN r.query_type = 'Q5' AND (r.bins IS NULL OR r.bins < 1) THEN 'invalid_bins' END AS error_reason
+  FROM requests r
+), v AS (SELECT * FROM checked WHERE error_reason IS NULL)"""
+
+_AREA = """za AS (
+  SELECT zone_id, (lat_max - lat_min) * (lon_max - lon_min) * CAST(111 AS DOUBLE) * CAST(111 AS DOUBLE)
+    * cos(radians(ref_lat)) AS area FROM zones)"""
+
+_STATS = """p AS (
+  SELECT DISTINCT zone_id, confidence_min FROM v WHERE query_type IN ('Q1', 'Q2', 'Q3', 'Q4')
+), p4 AS (SELECT DISTINCT zone_id, zone_id_b, confidence_min FROM v WHERE query_type = 'Q4'
+), pall AS (SELECT zone_id, confidence_min FROM p UNION SELECT zone_id_b, confidence_min FROM p4
+), st AS (
+  SELECT p.zone_id, p.confidence_min, count(b.zone_id) AS n, sum(b.area_in_meters) AS total
+  FROM pall p LEFT JOIN buildings b ON b.zone_id = p.zone_id AND b.confidence >= p.confidence_min
+  GROUP BY p.zone_id, p.confidence_min
+), dens AS (
+  SELECT st.*, round(n / coalesce(za.area, CAST(1 AS DOUBLE)), 4) AS density_per_km2,
+    round(coalesce(za.area, CAST(1 AS DOUBLE)), 4) AS area_km2
+  FROM st LEFT JOIN za USING (zone_id)
+), cmp AS (
+  SELECT p4.zone_id AS zone_a, p4.zone_id_b AS zone_b, p4.confidence_min,
+    a.density_per_km2 AS density_a, b.density_per_km2 AS density_b,
+    CASE WHEN a.density_per_km2 > b.density_per_km2 THEN p4.zone_id ELSE p4.zone_id_b END AS winner
+  FROM p4 JOIN dens a ON a.zone_id = p4.zone_id AND a.confidence_min = p4.confidence_min
+  JOIN dens b ON b.zone_id = p4.zone_id_b AND b.confidence_min = p4.confidence_min
+)"""
+
+_HIST = """p5 AS (SELECT DISTINCT zone_id, bins FROM v WHERE query_type = 'Q5' AND bins >= 1
+), hb0 AS (
+  SELECT p5.zone_id, p5.bins, b.confidence AS x, CAST(1 AS DOUBLE) / CAST(p5.bins AS DOUBLE) AS step,
+    least(CAST(floor(b.confidence * CAST(p5.bins AS DOUBLE)) AS BIGINT), p5.bins - 1) AS i0
+  FROM p5 JOIN buildings b ON b.zone_id = p5.zone_id
+  WHERE b.confidence BETWEEN CAST(0 AS DOUBLE) AND CAST(1 AS DOUBLE) AND NOT isnan(b.confidence)
+), hb AS (
+  SELECT zone_id, bins,
+    CASE WHEN x < i0 * step THEN i0 - 1
+         WHEN i0 <> bins - 1 AND x >= (i0 + 1) * step THEN i0 + 1 ELSE i0 END AS bucket
+  FROM hb0
+), hc AS (SELECT zone_id, bins, bucket, count(*) AS cnt FROM hb GROUP BY ALL
+), hg AS (SELECT zone_id, bins, CAST(unnest(range(0, bins)) AS BIGINT) AS bucket FROM p5
+), hist AS (
+  SELECT hg.zone_id, hg.bins, hg.bucket,
+    round(hg.bucket * (CAST(1 AS DOUBLE) / CAST(hg.bins AS DOUBLE)), 4) AS min,
+    round(CASE WHEN hg.bucket = hg.bins - 1 THEN CAST(1 AS DOUBLE)
+               ELSE (hg.bucket + 1) * (CAST(1 AS DOUBLE) / CAST(hg.bins AS DOUBLE)) END, 4) AS max,
+    coalesce(hc.cnt, 0) AS counts
+  FROM hg LEFT JOIN hc USING (zone_id, bins, bucket)
+)"""
+
+_BV = ["requests", "buildings_raw", "zones"]
+
+
+def _bq(body: str) -> str:
+    return with_views(f"WITH {_BUILDINGS.format(src='buildings_raw')}, {_VALID}, {_AREA}, {_STATS}, "
+                      f"{_HIST}\n{body}", *_BV)
+
+
+ORACLES["q1_count"] = _bq("SELECT st.zone_id, st.confidence_min, st.n AS count FROM st JOIN p USING (zone_id, confidence_min)")
+ORACLES["q2_area"] = _bq("""SELECT st.zone_id, st.confidence_min,
+  CASE WHEN n > 0 THEN total / n ELSE CAST(0 AS DOUBLE) END AS avg_area,
+  coalesce(total, CAST(0 AS DOUBLE)) AS total_area, n
+FROM st JOIN p USING (zone_id, confidence_min)""")
+ORACLES["q3_density"] = _bq("SELECT zone_id, confidence_min, density_per_km2, area_km2 FROM dens JOIN p USING (zone_id, confidence_min)")
+ORACLES["q4_compare"] = _bq("SELECT * FROM cmp")
+ORACLES["q5_histogram"] = _bq("SELECT * FROM hist")
+
+# ------------------------------------------------------------------ requests
+
+_KEY = """CASE WHEN query_type = 'Q1' THEN 'count:' || coalesce(zone_id, 'None') || ':conf=' || coalesce(CAST(confidence_min AS VARCHAR), 'None')
+     WHEN query_type = 'Q2' THEN 'area:' || coalesce(zone_id, 'None') || ':conf=' || coalesce(CAST(confidence_min AS VARCHAR), 'None')
+     WHEN query_type = 'Q3' THEN 'density:' || coalesce(zone_id, 'None') || ':conf=' || coalesce(CAST(confidence_min AS VARCHAR), 'None')
+     WHEN query_type = 'Q4' THEN 'compare:density:' || coalesce(zone_id, 'None') || ':' || coalesce(zone_id_b, 'None') || ':conf=' || coalesce(CAST(confidence_min AS VARCHAR), 'None')
+     WHEN query_type = 'Q5' THEN 'confidence_dist:' || coalesce(zone_id, 'None') || ':bins=' || coalesce(CAST(bins AS VARCHAR), 'None')
+     ELSE md5(coalesce(query_type, 'None') || ':' || coalesce(zone_id, 'None') || ':' || coalesce(zone_id_b, 'None') || ':'
+              || coalesce(CAST(confidence_min AS VARCHAR), 'None') || ':' || coalesce(CAST(bins AS VARCHAR), 'None')) END"""
+
+ORACLES["cache_keys"] = with_views(f"SELECT seq, {_KEY} AS cache_key FROM requests", "requests")
+ORACLES["validate_requests"] = with_views(
+    f"WITH {_BUILDINGS.format(src='buildings_raw')}, {_VALID}\nSELECT seq, error_status, error_reason FROM checked", *_BV)
+
+ORACLES["answer_requests"] = _bq("""
+, hs AS (SELECT zone_id, bins, string_agg(CAST(counts AS VARCHAR), ',' ORDER BY bucket) AS bucket_counts
+         FROM hist GROUP BY zone_id, bins)
+SELECT v.seq, v.query_type, v.zone_id, v.zone_id_b, v.confidence_min, v.bins,
+  CASE WHEN v.query_type = 'Q1' THEN d.n END AS count,
+  CASE WHEN v.query_type = 'Q2' THEN CASE WHEN d.n > 0 THEN d.total / d.n ELSE CAST(0 AS DOUBLE) END END AS avg_area,
+  CASE WHEN v.query_type = 'Q2' THEN coalesce(d.total, CAST(0 AS DOUBLE)) END AS total_area,
+  CASE WHEN v.query_type = 'Q2' THEN d.n END AS n,
+  CASE WHEN v.query_type = 'Q3' THEN d.density_per_km2 END AS density_per_km2,
+  CASE WHEN v.query_type = 'Q3' THEN d.area_km2 END AS area_km2,
+  CASE WHEN v.query_type = 'Q4' THEN c.density_a END AS density_a,
+  CASE WHEN v.query_type = 'Q4' THEN c.density_b END AS density_b,
+  CASE WHEN v.query_type = 'Q4' THEN c.winner END AS winner,
+  CASE WHEN v.query_type = 'Q5' THEN hs.bucket_counts END AS bucket_counts
+FROM v
+LEFT JOIN dens d ON d.zone_id = v.zone_id AND d.confidence_min = v.confidence_min
+LEFT JOIN cmp c ON c.zone_a = v.zone_id AND c.zone_b = v.zone_id_b AND c.confidence_min = v.confidence_min
+LEFT JOIN hs ON hs.zone_id = v.zone_id AND hs.bins = v.bins""".replace("\n, hs AS", ", hs AS", 1))
+
+_REPLAY = """keyed AS (
+  SELECT c.*, """ + _KEY + """ AS cache_key, c.error_reason IS NULL AS valid FROM checked c
+), ordered AS (
+  SELECT seq, cache_key, t_start, valid,
+    row_number() OVER (PARTITION BY cache_key ORDER BY t_start, seq) AS rn FROM keyed
+), fold AS (
+  SELECT cache_key, rn, seq, false AS cached,
+    CASE WHEN valid THEN t_start + CAST(21600 AS DOUBLE) ELSE CAST('-inf' AS DOUBLE) END AS expiry
+  FROM ordered WHERE rn = 1
+  UNION ALL
+  SELECT o.cache_key, o.rn, o.seq, o.t_start < f.expiry,
+    CASE WHEN o.t_start < f.expiry THEN f.expiry
+         WHEN o.valid THEN o.t_start + CAST(21600 AS DOUBLE) ELSE f.expiry END
+  FROM fold f JOIN ordered o ON o.cache_key = f.cache_key AND o.rn = f.rn + 1
+), att AS (
+  SELECT k.*, f.cached, k.attempt_retries AS r, (NOT f.cached AND k.error_reason IS NOT NULL) AS failed
+  FROM keyed k JOIN fold f USING (seq)
+)"""
+
+
+def _rq(body: str) -> str:
+    sql = with_views(f"WITH RECURSIVE {_BUILDINGS.format(src='buildings_raw')}, {_VALID}, {_REPLAY}\n{body}", *_BV)
+    # with_views put the fixture CTEs first; RECURSIVE must follow WITH directly
+    return "WITH RECURSIVE " + sql[len("WITH "):].replace("RECURSIVE ", "", 1)
+
+
+ORACLES["ttl_replay"] = _rq("SELECT seq, cache_key, cached FROM att")
+ORACLES["route_failures"] = _rq("""SELECT seq,
+  CASE WHEN NOT failed THEN 'answer' WHEN r + 1 <= 3 THEN 'retry' ELSE 'dlq' END AS route,
+  CASE WHEN failed THEN r + 1 ELSE r END AS retries
+FROM att""")
+ORACLES["attempt_events"] = _rq("""
+, ev AS (
+  SELECT seq, query_type, zone_id, cache_key,
+    CASE WHEN cached THEN 'hit' WHEN NOT failed THEN CASE WHEN r > 0 THEN 'recovery' ELSE 'miss' END
+         WHEN r + 1 = 1 THEN 'miss' END AS e1,
+    CASE WHEN failed THEN CASE WHEN r + 1 <= 3 THEN 'retry' ELSE 'dlq' END END AS e2
+  FROM att)
+SELECT seq, 0 AS event_index, e1 AS event_type, query_type, zone_id, cache_key FROM ev WHERE e1 IS NOT NULL
+UNION ALL
+SELECT seq, CASE WHEN e1 IS NULL THEN 0 ELSE 1 END, e2, query_type, zone_id, cache_key FROM ev WHERE e2 IS NOT NULL
+""".replace("\n, ev AS", ", ev AS", 1))
+ORACLES["expand_failures"] = with_views(f"""WITH {_BUILDINGS.format(src='buildings_raw')}, {_VALID},
+f AS (SELECT seq FROM checked WHERE error_reason IS NOT NULL)
+SELECT seq, 0 AS retries, 0 AS event_index, 'miss' AS event_type FROM f
+UNION ALL SELECT seq, 0, 1, 'retry' FROM f
+UNION ALL SELECT seq, 1, 0, 'retry' FROM f
+UNION ALL SELECT seq, 2, 0, 'retry' FROM f
+UNION ALL SELECT seq, 3, 0, 'dlq' FROM f""", *_BV)
+
+
+# ------------------------------------------------------------------ generator
+
+def _u(stream: int, seed: int) -> str:
+    x = f"((seq * 8 + {stream} + {seed}) % 2147483648)"
+    for _ in range(2):
+        x = f"(({x} * 1103515245 + 12345) % 2147483648)"
+    return f"(CAST({x} AS DOUBLE) / CAST(2147483648 AS DOUBLE))"
+
+
+def _choice(u: str, weights: list[float], values: list[str]) -> str:
+    cum, acc = [], 0.0
+    for w in weights:
+        acc += w
+        cum.append(acc)
+    total = cum[-1]
+    parts = [f"WHEN {u} * CAST('{total!r}' AS DOUBLE) < CAST('{c!r}' AS DOUBLE) THEN {v}"
+             for c, v in zip(cum[:-1], values[:-1])]
+    return f"CASE {' '.join(parts)} ELSE {values[-1]} END"
+
+
+def _sample_sql(dist: str, alpha: float, seed: int) -> str:
+    zones = ["'Z1'", "'Z2'", "'Z3'", "'Z4'", "'Z5'"]
+    if dist == "zipf":
+        raw = [1.0 / (r ** alpha) for r in range(1, 6)]
+        zw = [w / sum(raw) for w in raw]
+    else:
+        zw = [0.2] * 5
+    qt = ["'Q1'", "'Q2'", "'Q3'", "'Q4'", "'Q5'"]
+    return f"""
+WITH s AS (
+  SELECT event_id AS seq,
+    {_choice(_u(0, seed), zw, zones)} AS zone_id,
+    {_choice(_u(1, seed), [0.40, 0.20, 0.20, 0.10, 0.10], qt)} AS query_type,
+    [CAST(0 AS DOUBLE), CAST('0.5' AS DOUBLE), CAST('0.7' AS DOUBLE)][CAST(floor({_u(2, seed)} * 3) AS INT) + 1] AS confidence_min,
+    [5, 10][CAST(floor({_u(3, seed)} * 2) AS INT) + 1] AS bins,
+    CAST(floor({_u(4, seed)} * 4) AS INT) AS other
+  FROM events)
+SELECT seq, zone_id, query_type, confidence_min, bins,
+  CASE WHEN query_type = 'Q4' THEN list_filter(['Z1', 'Z2', 'Z3', 'Z4', 'Z5'], lambda z: z <> zone_id)[other + 1] END AS zone_id_b
+FROM s"""
+
+
+ORACLES["sample_requests_zipf"] = _sample_sql("zipf", 1.5, 42)
+ORACLES["sample_requests_uniform"] = _sample_sql("uniform", 1.5, 7)

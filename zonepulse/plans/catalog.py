@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators import telemetry as tel
 from zonepulse.sources import fixtures as fx
+from zonepulse.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,3 +81,134 @@ def q_latency_histogram(spark, sf_dir):
 @register("latency_median")
 def q_latency_median(spark, sf_dir):
     return tel.latency_median(fx.telemetry(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ buildings
+
+from zonepulse.operators import buildings as bld  # noqa: E402
+from zonepulse.operators import requests as rq  # noqa: E402
+from zonepulse.plans import request_flow as flow  # noqa: E402
+
+TTL_FIXTURE = 21600.0  # the request log spans 30 days; hours-long TTL gives a mix
+
+
+def _buildings(spark, sf_dir):
+    return bld.prepare_buildings(fx.buildings_raw(spark, sf_dir))
+
+
+def _valid_requests(spark, sf_dir):
+    b = _buildings(spark, sf_dir)
+    req = fx.requests(spark, sf_dir)
+    return rq.validate_requests(req, rq.loaded_zones(b)).where(F.col("error_reason").isNull()), b
+
+
+@register("buildings")
+def q_buildings(spark, sf_dir):
+    return _buildings(spark, sf_dir)
+
+
+@register("buildings_from_wkt")
+def q_buildings_from_wkt(spark, sf_dir):
+    raw = fx.buildings_raw(spark, sf_dir).drop("latitude", "longitude")
+    return bld.prepare_buildings(raw)
+
+
+@register("zone_inventory")
+def q_zone_inventory(spark, sf_dir):
+    return bld.zone_inventory(_buildings(spark, sf_dir))
+
+
+def _conf_params(valid):
+    return valid.where(F.col("query_type").isin("Q1", "Q2", "Q3", "Q4")) \
+        .select("zone_id", "confidence_min")
+
+
+@register("q1_count")
+def q_q1(spark, sf_dir):
+    valid, b = _valid_requests(spark, sf_dir)
+    return bld.q1_count(b, _conf_params(valid))
+
+
+@register("q2_area")
+def q_q2(spark, sf_dir):
+    valid, b = _valid_requests(spark, sf_dir)
+    return bld.q2_area(b, _conf_params(valid))
+
+
+@register("q3_density")
+def q_q3(spark, sf_dir):
+    valid, b = _valid_requests(spark, sf_dir)
+    return bld.q3_density(b, _conf_params(valid))
+
+
+@register("q4_compare")
+def q_q4(spark, sf_dir):
+    valid, b = _valid_requests(spark, sf_dir)
+    return bld.q4_compare(b, valid.where(F.col("query_type") == "Q4"))
+
+
+@register("q5_histogram")
+def q_q5(spark, sf_dir):
+    valid, b = _valid_requests(spark, sf_dir)
+    return bld.q5_histogram(b, valid.where(F.col("query_type") == "Q5"))
+
+
+# ------------------------------------------------------------------ requests
+
+@register("cache_keys")
+def q_cache_keys(spark, sf_dir):
+    return rq.with_cache_key(fx.requests(spark, sf_dir)).select("seq", "cache_key")
+
+
+@register("validate_requests")
+def q_validate(spark, sf_dir):
+    b = _buildings(spark, sf_dir)
+    return rq.validate_requests(fx.requests(spark, sf_dir), rq.loaded_zones(b)) \
+        .select("seq", "error_status", "error_reason")
+
+
+@register("answer_requests")
+def q_answer_requests(spark, sf_dir):
+    ans = rq.answer_requests(fx.requests(spark, sf_dir), _buildings(spark, sf_dir))
+    counts = F.concat_ws(",", F.transform(F.col("buckets"), lambda b: b["counts"].cast("string")))
+    return ans.select("seq", "query_type", "zone_id", "zone_id_b", "confidence_min", "bins",
+                      "count", "avg_area", "total_area", "n", "density_per_km2", "area_km2",
+                      "density_a", "density_b", "winner",
+                      F.when(F.col("buckets").isNotNull(), counts).alias("bucket_counts"))
+
+
+@register("ttl_replay")
+def q_ttl_replay(spark, sf_dir):
+    r = flow.replayed(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    return r.select("seq", "cache_key", "cached")
+
+
+@register("route_failures")
+def q_route_failures(spark, sf_dir):
+    a = flow.attempts(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    return rq.route_failures(a).select("seq", "route", "retries")
+
+
+@register("attempt_events")
+def q_attempt_events(spark, sf_dir):
+    a = flow.attempts(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    return rq.attempt_events(a).select("seq", "event_index", "event_type", "query_type",
+                                       "zone_id", "cache_key")
+
+
+@register("expand_failures")
+def q_expand_failures(spark, sf_dir):
+    kv = flow.keyed_and_validated(fx.requests(spark, sf_dir), _buildings(spark, sf_dir))
+    return rq.expand_failures(kv).select("seq", "retries", "event_index", "event_type")
+
+
+@register("sample_requests_zipf")
+def q_sample_zipf(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "events", "event_id").withColumnRenamed("event_id", "seq")
+    return rq.sample_requests(ids, "zipf", 1.5, 42)
+
+
+@register("sample_requests_uniform")
+def q_sample_uniform(spark, sf_dir):
+    ids = read_table(spark, sf_dir, "events", "event_id").withColumnRenamed("event_id", "seq")
+    return rq.sample_requests(ids, "uniform", 1.5, 7)
