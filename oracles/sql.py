@@ -401,3 +401,102 @@ FROM s"""
 
 ORACLES["sample_requests_zipf"] = _sample_sql("zipf", 1.5, 42)
 ORACLES["sample_requests_uniform"] = _sample_sql("uniform", 1.5, 7)
+
+
+# ------------------------------------------------------------------ lag
+
+ORACLES["lag_samples"] = with_views("""
+SELECT *, high_watermark - msg_offset - 1 AS lag FROM offsets
+WHERE high_watermark - msg_offset - 1 > 0 AND (high_watermark - msg_offset - 1) % 10 = 0""", "offsets")
+
+ORACLES["backlog_episodes"] = with_views("""
+WITH o AS (SELECT *, high_watermark - msg_offset - 1 AS lag FROM offsets
+), i AS (
+  SELECT *, coalesce(sum(CASE WHEN lag = 0 THEN 1 ELSE 0 END) OVER (
+    PARTITION BY consumer_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS isl
+  FROM o
+), g AS (
+  SELECT consumer_id, isl,
+    min(seq) FILTER (WHERE lag > 0) AS open_seq,
+    arg_min(processed_at, seq) FILTER (WHERE lag > 0) AS open_time,
+    max(seq) FILTER (WHERE lag = 0) AS close_seq,
+    arg_max(processed_at, seq) FILTER (WHERE lag = 0) AS close_time
+  FROM i GROUP BY consumer_id, isl)
+SELECT consumer_id, open_seq, open_time, close_seq, close_time,
+  (close_time - open_time) * CAST(1000 AS DOUBLE) AS duration_ms
+FROM g WHERE open_seq IS NOT NULL AND close_seq IS NOT NULL""", "offsets")
+
+# ------------------------------------------------------------------ experiments
+
+_RUNS = """a AS (
+  SELECT t.*, r.run_id FROM telemetry t JOIN runs r ON t.timestamp >= r.start_time AND t.timestamp < r.end_time
+), c AS (
+  SELECT run_id, count(*) FILTER (WHERE event_type = 'hit') AS h, count(*) FILTER (WHERE event_type = 'miss') AS m
+  FROM a GROUP BY run_id
+), lat AS (
+  SELECT run_id, latency_ms AS v,
+    row_number() OVER (PARTITION BY run_id ORDER BY latency_ms) AS rn,
+    count(*) OVER (PARTITION BY run_id) AS n
+  FROM a WHERE event_type IN ('hit', 'miss', 'recovery') AND latency_ms IS NOT NULL AND NOT isnan(latency_ms)
+), p AS (SELECT run_id, """ + _nearest_rank(50) + " AS p50, " + _nearest_rank(95) + """ AS p95 FROM lat GROUP BY run_id
+), summary AS (
+  SELECT r.run_id, r.experiment, r.distribution, r.eviction_policy, r.maxmemory, r.ttl,
+    coalesce(""" + _pct('c.h', 'c.h + c.m') + """, CAST(0 AS DOUBLE)) AS hit_rate,
+    coalesce(c.h, 0) AS total_hits, coalesce(c.m, 0) AS total_misses,
+    coalesce(p.p50, CAST(0 AS DOUBLE)) AS latency_p50_ms, coalesce(p.p95, CAST(0 AS DOUBLE)) AS latency_p95_ms,
+    CAST(r.evicted_keys AS BIGINT) AS evicted_keys,
+    CASE WHEN r.sent > 0 THEN r.hits / r.sent * CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS log_hit_rate
+  FROM runs r LEFT JOIN c USING (run_id) LEFT JOIN p USING (run_id)
+), labelled AS (
+  SELECT *, CASE experiment WHEN 'dist_comparison' THEN distribution WHEN 'policy_comparison' THEN eviction_policy
+    WHEN 'size_comparison' THEN maxmemory WHEN 'ttl_comparison' THEN CAST(ttl AS VARCHAR) || 's' END AS label
+  FROM summary)"""
+
+ORACLES["assign_runs"] = with_views(
+    "SELECT t.seq, r.run_id FROM telemetry t JOIN runs r ON t.timestamp >= r.start_time AND t.timestamp < r.end_time",
+    "telemetry", "runs")
+ORACLES["run_summary"] = with_views(f"WITH {_RUNS}\nSELECT * FROM summary", "telemetry", "runs")
+ORACLES["compare_experiment"] = with_views(f"""WITH {_RUNS}
+SELECT experiment, label, 'hit_rate' AS metric, hit_rate AS value FROM labelled
+UNION ALL SELECT experiment, label, 'latency_p50_ms', latency_p50_ms FROM labelled
+UNION ALL SELECT experiment, label, 'latency_p95_ms', latency_p95_ms FROM labelled""", "telemetry", "runs")
+_REPORT = """SELECT
+  list_aggr(list_transform(string_split(replace(experiment, '_', ' '), ' '),
+            lambda w: upper(w[1]) || lower(w[2:])), 'string_agg', ' ') AS title,
+  label, round(hit_rate, 1) AS hit_rate, round(latency_p50_ms, 1) AS latency_p50_ms,
+  round(latency_p95_ms, 1) AS latency_p95_ms, evicted_keys
+FROM labelled"""
+ORACLES["experiment_report"] = with_views(f"WITH {_RUNS}\n{_REPORT}", "telemetry", "runs")
+ORACLES["summary_roundtrip"] = ORACLES["experiment_report"]
+
+# ------------------------------------------------------------------ sources and sinks
+
+ORACLES["telemetry_roundtrip"] = with_views("""
+SELECT CASE WHEN seq % 101 = 0 THEN CAST(1700000000 AS DOUBLE) ELSE timestamp END AS timestamp,
+  event_type, query_type, zone_id, cache_key, latency_ms,
+  make_timestamp(CAST(trunc(CASE WHEN seq % 101 = 0 THEN CAST(1700000000 AS DOUBLE) ELSE timestamp END) AS BIGINT) * 1000000) AS event_time
+FROM telemetry""", "telemetry")
+
+ORACLES["request_envelopes"] = with_views(f"""
+WITH e AS (
+  SELECT *,
+    CASE WHEN seq % 3 = 0 THEN NULL ELSE 'req_' || CAST(seq AS VARCHAR) END AS id,
+    CASE WHEN seq % 3 = 0 THEN 0 ELSE attempt_retries END AS retries,
+    CASE WHEN seq % 3 = 0 OR seq % 7 = 0 THEN CAST(1700000000 AS DOUBLE) ELSE t_start END AS t_start2,
+    CASE WHEN seq % 3 = 0 THEN NULL WHEN seq % 5 = 0 THEN 'pre:' || CAST(seq AS VARCHAR) END AS given_key
+  FROM requests)
+SELECT id, zone_id, query_type, confidence_min, bins, zone_id_b, retries, t_start2 AS t_start,
+  coalesce(given_key, {_KEY}) AS cache_key
+FROM e""", "requests")
+
+ORACLES["telemetry_log_roundtrip"] = ORACLES["telemetry_by_query_zone"]
+ORACLES["buildings_roundtrip"] = with_views(
+    f"WITH {_BUILDINGS.format(src='buildings_raw')}\n"
+    "SELECT zone_id, count(*) AS buildings, sum(area_in_meters) AS total_area FROM buildings GROUP BY zone_id",
+    "buildings_raw", "zones")
+ORACLES["tiles_scan"] = ORACLES["buildings"]
+
+# ------------------------------------------------------------------ streaming
+
+ORACLES["window_metrics_stream"] = ORACLES["window_metrics"]
+ORACLES["ttl_replay_stream"] = ORACLES["ttl_replay"]

@@ -212,3 +212,147 @@ def q_sample_zipf(spark, sf_dir):
 def q_sample_uniform(spark, sf_dir):
     ids = read_table(spark, sf_dir, "events", "event_id").withColumnRenamed("event_id", "seq")
     return rq.sample_requests(ids, "uniform", 1.5, 7)
+
+
+# ------------------------------------------------------------------ lag, experiments
+
+from zonepulse.operators import experiments as exq  # noqa: E402
+from zonepulse.operators import lag as lg  # noqa: E402
+
+
+@register("lag_samples")
+def q_lag_samples(spark, sf_dir):
+    return lg.lag_samples(fx.offsets(spark, sf_dir))
+
+
+@register("backlog_episodes")
+def q_backlog_episodes(spark, sf_dir):
+    return lg.backlog_episodes(fx.offsets(spark, sf_dir))
+
+
+@register("assign_runs")
+def q_assign_runs(spark, sf_dir):
+    return exq.assign_runs(fx.telemetry(spark, sf_dir), fx.runs(spark)).select("seq", "run_id")
+
+
+def _summary(spark, sf_dir):
+    return exq.summarise_runs(fx.telemetry(spark, sf_dir), fx.runs(spark))
+
+
+@register("run_summary")
+def q_run_summary(spark, sf_dir):
+    return _summary(spark, sf_dir)
+
+
+@register("compare_experiment")
+def q_compare_experiment(spark, sf_dir):
+    return exq.compare_experiment(_summary(spark, sf_dir))
+
+
+@register("experiment_report")
+def q_experiment_report(spark, sf_dir):
+    return exq.experiment_report(_summary(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ sources and sinks
+
+from zonepulse.session import scratch_path  # noqa: E402
+from zonepulse.sources import buildings_io as bio  # noqa: E402
+from zonepulse.sources import experiments_io as xio  # noqa: E402
+from zonepulse.sources import requests_io as rio  # noqa: E402
+from zonepulse.sources import telemetry_io as tio  # noqa: E402
+
+FIXED_NOW = 1.7e9  # ingest time used where a timestamp is missing (deterministic checks)
+
+
+@register("telemetry_roundtrip")
+def q_telemetry_roundtrip(spark, sf_dir):
+    t = fx.telemetry(spark, sf_dir)
+    t = t.withColumn("timestamp", F.when(F.col("seq") % 101 == 0, F.lit(0.0)).otherwise(F.col("timestamp")))
+    t = tel.normalise_telemetry(t, F.lit(FIXED_NOW))                        # S3
+    msgs = tio.encode_telemetry(t)                                           # S4
+    junk = t.where(F.col("seq") % 97 == 0).select(F.lit('{"timestamp": oops').alias("value"))
+    decoded = tio.decode_telemetry(msgs.unionByName(junk))                   # S2
+    out = tel.drop_invalid(tel.with_event_time(decoded))                     # P1, P2
+    return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def _envelopes(spark, sf_dir):
+    r = fx.requests(spark, sf_dir)
+    seq = F.col("seq")
+    r = r.select("*", F.concat(F.lit("req_"), seq.cast("string")).alias("id"),
+                 F.col("attempt_retries").alias("retries"),
+                 F.when(seq % 5 == 0, F.concat(F.lit("pre:"), seq.cast("string")))
+                 .when(seq % 11 == 0, F.lit("")).alias("cache_key"))
+    r = r.withColumn("t_start", F.when(seq % 7 == 0, F.lit(0.0)).otherwise(F.col("t_start")))
+    bare = rio.encode_bare_requests(r.where(seq % 3 == 0))
+    failed = rio.encode_failed(r.where((seq % 3 != 0) & F.col("cache_key").isNotNull()))
+    plain = rio.encode_requests(r.where((seq % 3 != 0) & F.col("cache_key").isNull()))
+    return bare.unionByName(failed).unionByName(plain)
+
+
+@register("request_envelopes")
+def q_request_envelopes(spark, sf_dir):
+    return rio.decode_requests(_envelopes(spark, sf_dir), F.lit(FIXED_NOW))   # S9 -> S8
+
+
+@register("telemetry_log_roundtrip")
+def q_telemetry_log(spark, sf_dir):
+    path = scratch_path(spark, "event-log")
+    tio.append_telemetry(fx.telemetry(spark, sf_dir), path)                  # S5
+    return tel.telemetry_by_query_zone(tio.read_telemetry_log(spark, path))
+
+
+@register("buildings_roundtrip")
+def q_buildings_roundtrip(spark, sf_dir):
+    base = scratch_path(spark, "buildings")
+    bio.write_buildings(_buildings(spark, sf_dir), base)                    # S12
+    b = bio.load_buildings(spark, base)                                      # S11
+    return b.groupBy("zone_id").agg(F.count(F.lit(1)).alias("buildings"),
+                                    F.sum("area_in_meters").alias("total_area"))
+
+
+@register("tiles_scan")
+def q_tiles_scan(spark, sf_dir):
+    path = scratch_path(spark, "tiles")
+    fx.buildings_raw(spark, sf_dir).write.option("header", True) \
+        .option("compression", "gzip").csv(path)
+    return bld.prepare_buildings(bio.scan_tiles(spark, path))              # S10
+
+
+@register("summary_roundtrip")
+def q_summary_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "summary")
+    xio.write_summary(_summary(spark, sf_dir), path)                         # S14
+    return exq.experiment_report(xio.read_summary(spark, path))
+
+
+# ------------------------------------------------------------------ streaming
+
+from zonepulse.plans.metrics_job import start_metrics_job  # noqa: E402
+from zonepulse.streaming.ttl_state import ttl_replay_stream  # noqa: E402
+from zonepulse.streaming.upsert import read_upserted  # noqa: E402
+
+
+@register("window_metrics_stream")
+def q_window_metrics_stream(spark, sf_dir):
+    base = scratch_path(spark, "metrics-stream")
+    tio.encode_telemetry(fx.telemetry(spark, sf_dir)).write.text(f"{base}/in")
+    q = start_metrics_job(spark, f"{base}/out", f"{base}/checkpoint", source="text",
+                          path=f"{base}/in", trigger={"availableNow": True})
+    q.awaitTermination()
+    return read_upserted(spark, f"{base}/out")
+
+
+@register("ttl_replay_stream")
+def q_ttl_replay_stream(spark, sf_dir):
+    base = scratch_path(spark, "ttl-stream")
+    kv = flow.keyed_and_validated(fx.requests(spark, sf_dir), _buildings(spark, sf_dir)) \
+        .withColumn("valid", F.col("error_reason").isNull())
+    kv.select("seq", "t_start", "cache_key", "valid").write.parquet(f"{base}/in")
+    src = spark.readStream.schema(spark.read.parquet(f"{base}/in").schema).parquet(f"{base}/in")
+    q = (ttl_replay_stream(src, TTL_FIXTURE).writeStream.format("parquet")
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("seq", "cache_key", "cached")
