@@ -102,8 +102,15 @@ def zone_inventory(buildings: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------- A1 - A3, J2
 
-def _by_confidence(buildings: DataFrame) -> DataFrame:
-    """Buildings reduced to (zone, confidence value): count and area sum (map-side combined)."""
+def reduce_by_confidence(buildings: DataFrame) -> DataFrame:
+    """Buildings reduced to one row per (zone, confidence value): count and area sum.
+
+    A partial + final aggregate (map-side combined, so a hot zone costs nothing extra).
+    Every zone question is answered from this table, whose size is bounded by
+    zones x distinct confidence values rather than by the number of buildings.
+    """
+    if "_n" in buildings.columns:
+        return buildings
     conf = F.col("confidence")
     return (buildings.where(conf.isNotNull() & ~F.isnan(conf))
             .groupBy("zone_id", "confidence")
@@ -112,8 +119,8 @@ def _by_confidence(buildings: DataFrame) -> DataFrame:
 
 def threshold_stats(buildings: DataFrame, params: DataFrame) -> DataFrame:
     """Count and area sum per (zone_id, confidence_min) in ``params``; zones of params
-    without qualifying buildings get 0. ``params`` holds distinct parameter pairs."""
-    reduced = _by_confidence(buildings)
+    without qualifying buildings get 0. ``buildings`` may be the reduced table."""
+    reduced = reduce_by_confidence(buildings)
     p = params.select("zone_id", "confidence_min").distinct()
     hits = (p.join(reduced, (p.zone_id == reduced.zone_id)
                    & (reduced.confidence >= p.confidence_min))
@@ -125,48 +132,53 @@ def threshold_stats(buildings: DataFrame, params: DataFrame) -> DataFrame:
                     F.col("_area").alias("total_area")))
 
 
-def q1_count(buildings: DataFrame, params: DataFrame) -> DataFrame:
-    """A1: buildings per zone with confidence >= confidence_min (0 when none)."""
-    return threshold_stats(buildings, params).select("zone_id", "confidence_min", "count")
+def zone_areas(spark: SparkSession, zones: DataFrame | None = None) -> DataFrame:
+    from zonepulse.sources.zones import zones as zone_table
+    z = zones if zones is not None else zone_table(spark)
+    return with_zone_area(z).select("zone_id", "area_km2")
 
 
-def q2_area(buildings: DataFrame, params: DataFrame) -> DataFrame:
-    """A2: mean, sum and number of building areas at the threshold; empty gives 0."""
+def zone_answers(buildings: DataFrame, params: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Q1-Q3 answers per (zone_id, confidence_min) in ``params``, from one threshold pass:
+    count; avg_area, total_area, n (0 when empty); density_per_km2 = count / area (round 4)
+    and area_km2 (round 4), area 1.0 for a zone without a box."""
     s = threshold_stats(buildings, params)
-    return s.select("zone_id", "confidence_min",
+    areas = F.broadcast(zone_areas(buildings.sparkSession, zones))  # one row per zone (bounded)
+    area = F.coalesce(F.col("area_km2"), F.lit(1.0))
+    return (s.join(areas, "zone_id", "left")
+            .select("zone_id", "confidence_min", "count",
                     F.when(F.col("count") > 0, F.col("total_area") / F.col("count"))
                     .otherwise(F.lit(0.0)).alias("avg_area"),
                     F.coalesce(F.col("total_area"), F.lit(0.0)).alias("total_area"),
-                    F.col("count").alias("n"))
+                    F.col("count").alias("n"),
+                    F.round(F.col("count") / area, 4).alias("density_per_km2"),
+                    F.round(area, 4).alias("area_km2")))
 
 
-def zone_areas(spark: SparkSession, zones: DataFrame | None = None) -> DataFrame:
-    from zonepulse.sources.zones import zones as zone_table
-    z = zones if zones is not None else zone_table(spark)
-    return with_zone_area(z).select("zone_id", "area_km2")
+def q1_count(buildings: DataFrame, params: DataFrame) -> DataFrame:
+    """A1: buildings per zone with confidence >= confidence_min (0 when none)."""
+    return threshold_stats(buildings, params).select("zone_id", "confidence_min", "count")
+
+
+def q2_area(buildings: DataFrame, params: DataFrame) -> DataFrame:
+    """A2: mean, sum and number of building areas at the threshold; empty gives 0."""
+    return zone_answers(buildings, params).select("zone_id", "confidence_min", "avg_area",
+                                                   "total_area", "n")
 
 
 def q3_density(buildings: DataFrame, params: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """A3: count / zone area (km^2) rounded to 4; unknown zones use area 1.0."""
-    s = threshold_stats(buildings, params)
-    areas = F.broadcast(zone_areas(buildings.sparkSession, zones))  # one row per zone
-    area = F.coalesce(F.col("area_km2"), F.lit(1.0))
-    return (s.join(areas, "zone_id", "left")
-            .select("zone_id", "confidence_min",
-                    F.round(F.col("count") / area, 4).alias("density_per_km2"),
-                    F.round(area, 4).alias("area_km2")))
+    return zone_answers(buildings, params, zones).select("zone_id", "confidence_min",
+                                                          "density_per_km2", "area_km2")
 
 
-def q4_compare(buildings: DataFrame, pairs: DataFrame, zones: DataFrame | None = None) -> DataFrame:
-    """Densities of zone A and zone B at a threshold; winner A only if strictly denser."""
-    p = pairs.select("zone_id", "zone_id_b", "confidence_min").distinct()
-    params = p.select("zone_id", "confidence_min").unionByName(
-        p.select(F.col("zone_id_b").alias("zone_id"), "confidence_min"))
-    d = q3_density(buildings, params, zones).select("zone_id", "confidence_min", "density_per_km2")
-    da = d.select(F.col("zone_id"), "confidence_min", F.col("density_per_km2").alias("density_a"))
+def compare_pairs(pairs: DataFrame, answers: DataFrame) -> DataFrame:
+    """J2 from per-zone answers: densities of A and B; winner A only if strictly denser."""
+    d = answers.select("zone_id", "confidence_min", "density_per_km2")
+    da = d.withColumnRenamed("density_per_km2", "density_a")
     db = d.select(F.col("zone_id").alias("zone_id_b"), "confidence_min",
                   F.col("density_per_km2").alias("density_b"))
-    out = p.join(da, ["zone_id", "confidence_min"]).join(db, ["zone_id_b", "confidence_min"])
+    out = pairs.join(da, ["zone_id", "confidence_min"]).join(db, ["zone_id_b", "confidence_min"])
     return out.select(
         F.col("zone_id").alias("zone_a"), F.col("zone_id_b").alias("zone_b"), "confidence_min",
         "density_a", "density_b",
@@ -174,6 +186,14 @@ def q4_compare(buildings: DataFrame, pairs: DataFrame, zones: DataFrame | None =
         .otherwise(F.col("zone_id_b")).alias("winner"))
 
 
+def q4_compare(buildings: DataFrame, pairs: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Densities of zone A and zone B at a threshold; winner A only if strictly denser."""
+    p = pairs.select("zone_id", "zone_id_b", "confidence_min").distinct()
+    params = p.select("zone_id", "confidence_min").unionByName(
+        p.select(F.col("zone_id_b").alias("zone_id"), "confidence_min"))
+    return compare_pairs(p, zone_answers(buildings, params, zones))
+
+
 # ------------------------------------------------------------- A4
 
 def q5_histogram(buildings: DataFrame, params: DataFrame) -> DataFrame:
@@ -182,9 +202,7 @@ def q5_histogram(buildings: DataFrame, params: DataFrame) -> DataFrame:
     p = params.select("zone_id", F.col("bins").cast("int").alias("bins")) \
         .where(F.col("bins") >= 1).distinct()
     conf = F.col("confidence")
-    # reduce first: one row per (zone, confidence value)
-    reduced = (buildings.where(conf.between(0.0, 1.0) & ~F.isnan(conf))
-               .groupBy("zone_id", "confidence").agg(F.count(F.lit(1)).alias("_n")))
+    reduced = reduce_by_confidence(buildings).where(conf.between(0.0, 1.0))
     binned = (reduced.join(p, "zone_id")
               .select("zone_id", "bins", "_n",
                       hist_bin(conf, F.lit(0.0), F.lit(1.0), F.col("bins")).alias("bucket"))

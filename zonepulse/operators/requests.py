@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,7 +34,8 @@ def with_cache_key(df: DataFrame, keep_existing: bool = False) -> DataFrame:
 # ------------------------------------------------------------- P9
 
 def loaded_zones(buildings: DataFrame) -> DataFrame:
-    """Zones that have buildings (only these answer; others are 'not found')."""
+    """Zones that have buildings (only these answer; others are 'not found').
+    Accepts the buildings or their reduced form."""
     return buildings.select("zone_id").distinct()
 
 
@@ -69,21 +72,28 @@ def validate_requests(req: DataFrame, loaded: DataFrame) -> DataFrame:
 def answer_requests(req: DataFrame, buildings: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """Answer every valid request (Q1-Q5) in one plan.
 
-    Each distinct parameter set is computed once (small tables), then joined back to
-    the requests on its parameters; the answer columns of other query types are null.
+    The buildings are reduced once to (zone, confidence) counts and the requests once
+    to their distinct parameter tuples; both are small, persisted, and every answer
+    table is computed from them a single time. The answers then join back to the
+    requests on their parameters (broadcast when Spark's size check allows); the answer
+    columns of other query types are null.
     """
-    valid = validate_requests(req, loaded_zones(buildings)).where(F.col("error_reason").isNull())
+    reduced = bld.reduce_by_confidence(buildings).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = validate_requests(req, loaded_zones(reduced))
+    valid = checked.where(F.col("error_reason").isNull())
+    params = valid.select("query_type", "zone_id", "zone_id_b", "confidence_min", "bins") \
+        .distinct().persist(StorageLevel.MEMORY_AND_DISK)
     qt = F.col("query_type")
-    conf_params = valid.where(qt.isin("Q1", "Q2", "Q3", "Q4")).select("zone_id", "confidence_min")
-    pair_params = valid.where(qt == "Q4").select("zone_id", "zone_id_b", "confidence_min")
-    hist_params = valid.where(qt == "Q5").select("zone_id", "bins")
+    pair_params = params.where(qt == "Q4").select("zone_id", "zone_id_b", "confidence_min").distinct()
+    conf_params = params.where(qt.isin("Q1", "Q2", "Q3", "Q4")).select("zone_id", "confidence_min") \
+        .unionByName(pair_params.select(F.col("zone_id_b").alias("zone_id"), "confidence_min"))
+    hist_params = params.where(qt == "Q5").select("zone_id", "bins")
 
-    stats = bld.q2_area(buildings, conf_params).join(
-        bld.q3_density(buildings, conf_params, zones), ["zone_id", "confidence_min"])
-    pairs = bld.q4_compare(buildings, pair_params, zones).select(
+    stats = bld.zone_answers(reduced, conf_params, zones).persist(StorageLevel.MEMORY_AND_DISK)
+    pairs = bld.compare_pairs(pair_params, stats).select(
         F.col("zone_a").alias("zone_id"), F.col("zone_b").alias("zone_id_b"), "confidence_min",
         "density_a", "density_b", "winner")
-    hists = bld.q5_nested(bld.q5_histogram(buildings, hist_params))
+    hists = bld.q5_nested(bld.q5_histogram(reduced, hist_params))
 
     out = (valid.join(stats, ["zone_id", "confidence_min"], "left")
            .join(pairs, ["zone_id", "zone_id_b", "confidence_min"], "left")
@@ -109,18 +119,25 @@ _REPLAY_OUT = T.StructType([T.StructField("seq", T.LongType()),
                             T.StructField("cached", T.BooleanType())])
 
 
-def _fold_segment(ttl: float):
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "seq"], kind="stable")
-        expiry = float("-inf")
-        cached = []
-        for t, ok in zip(pdf["t"].to_numpy(), pdf["valid"].to_numpy()):
-            hit = bool(t < expiry)
-            if not hit and ok:
-                expiry = t + ttl
-            cached.append(hit)
-        return pd.DataFrame({"seq": pdf["seq"].to_numpy(), "cached": cached})
-    return fold
+def _fold_sorted(ttl: float):
+    """Fold rows sorted by (key, segment, t, seq), batch by batch; the cache state is
+    reset at every new (key, segment). Memory is one Arrow batch, whatever the group size."""
+    def run(batches):
+        current, expiry = None, float("-inf")
+        for pdf in batches:
+            keys, segs = pdf["key"].to_numpy(), pdf["segment"].to_numpy()
+            ts, ok = pdf["t"].to_numpy(), pdf["valid"].to_numpy()
+            cached = np.zeros(len(pdf), dtype=bool)
+            for i in range(len(pdf)):
+                g = (keys[i], segs[i])
+                if g != current:
+                    current, expiry = g, float("-inf")
+                if ts[i] < expiry:
+                    cached[i] = True
+                elif ok[i]:
+                    expiry = ts[i] + ttl
+            yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "cached": cached})
+    return run
 
 
 def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col: str = "seq",
@@ -135,8 +152,8 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
     influence each other: time is cut into blocks of length ``ttl``; a block whose
     previous block holds no valid request starts with an empty cache (any expiry set
     earlier has passed), so its first valid request is a certain miss. Segment ids come
-    from a window over one summary row per non-empty (key, block), and each segment is
-    folded on its own in parallel.
+    from a window over one summary row per non-empty (key, block). Segments are hashed
+    across tasks, sorted inside each task and folded in one streaming pass.
     """
     ttl = float(ttl)
     ev = req.select(F.col("cache_key").alias("key"), F.col(order_col).cast("long").alias("seq"),
@@ -151,9 +168,10 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
                                | (prev_valid == 0))
     seg = starts.withColumn("segment", F.max(F.when(F.col("is_start"), F.col("block"))).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).select("key", "block", "segment")
-    tagged = ev.join(seg, ["key", "block"])
-    return (tagged.groupBy("key", "segment")
-            .applyInPandas(_fold_segment(ttl), schema=_REPLAY_OUT))
+    tagged = ev.join(seg, ["key", "block"]).select("key", "segment", "t", "seq", "valid")
+    return (tagged.repartition("key", "segment")
+            .sortWithinPartitions("key", "segment", "t", "seq")
+            .mapInPandas(_fold_sorted(ttl), schema=_REPLAY_OUT))
 
 
 # ------------------------------------------------------------- T5 - T7

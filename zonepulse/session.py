@@ -9,7 +9,13 @@ from pyspark.sql import SparkSession
 
 # Settings every job in this package assumes. Time zone matters: epoch <-> timestamp
 # conversions and window boundaries are defined in UTC.
+# Wide generated code (many CASE branches over computed columns) exceeds the JVM's
+# default 8000-byte JIT limit and would run interpreted; let the JIT compile it.
+JVM_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 BASE_CONF = {
+    "spark.driver.extraJavaOptions": JVM_OPTIONS,
+    "spark.executor.extraJavaOptions": JVM_OPTIONS,
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
