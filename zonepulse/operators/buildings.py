@@ -26,8 +26,11 @@ def parse_point(df: DataFrame) -> DataFrame:
     geometry column but no latitude column; unmatched text gives nulls."""
     if "latitude" in df.columns or "geometry" not in df.columns:
         return df
-    return df.withColumns({"longitude": point_coordinate(F.col("geometry"), 1),
-                           "latitude": point_coordinate(F.col("geometry"), 2)})
+    # The coordinates leave through a one-element generator: predicates on them then
+    # read its output instead of being inlined (regex and all) into every filter term.
+    point = F.struct(point_coordinate(F.col("geometry"), 1).alias("longitude"),
+                     point_coordinate(F.col("geometry"), 2).alias("latitude"))
+    return df.drop("longitude").select("*", F.inline(F.array(point)))
 
 
 def filter_global_bbox(df: DataFrame) -> DataFrame:

@@ -137,13 +137,15 @@ def telemetry_totals(df: DataFrame, by: Sequence[str] = (), order: Sequence[str]
         out = stats.join(perc, list(by), "left")
         return out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0))
                                 for c in ("latency_p50_ms", "latency_p95_ms")})
-    backlog = backlog_state(df, order)
+    # one-row side results enter as scalar subqueries (one each), not as joins
+    backlog = backlog_state(df, order).select(F.struct("*")).scalar()
+    p = perc.select(F.struct("*")).scalar()
     return stats.select(
         "*",
-        backlog.select("backlog_size").scalar().alias("backlog_size"),
-        backlog.select("last_recovery_time_ms").scalar().alias("last_recovery_time_ms"),
-        perc.select("latency_p50_ms").scalar().alias("latency_p50_ms"),
-        perc.select("latency_p95_ms").scalar().alias("latency_p95_ms"))
+        backlog["backlog_size"].alias("backlog_size"),
+        backlog["last_recovery_time_ms"].alias("last_recovery_time_ms"),
+        p["latency_p50_ms"].alias("latency_p50_ms"),
+        p["latency_p95_ms"].alias("latency_p95_ms"))
 
 
 def telemetry_by_query_zone(df: DataFrame) -> DataFrame:
