@@ -211,6 +211,30 @@ def test_ttl_replay_vs_python(spark, events):
     assert got == _replay_python(rows, 30.0)
 
 
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 300), st.booleans()),
+                min_size=1, max_size=60))
+def test_ttl_replay_doubling_vs_python(spark, events):
+    rows = [(k, i, float(t), ok) for i, (k, t, ok) in enumerate(events)]
+    df = spark.createDataFrame(rows, "cache_key string, seq long, t_start double, valid boolean")
+    # segment_limit 0 sends every segment through the parallel path
+    got = {r.seq: r.cached for r in rq.ttl_replay(df, 30.0, segment_limit=0).collect()}
+    assert got == _replay_python(rows, 30.0)
+
+
+def test_ttl_replay_doubling_on_fixture(spark):
+    from tests.conftest import SF_SMALL
+    from zonepulse.operators.buildings import prepare_buildings
+    from zonepulse.plans import request_flow as flow
+    from zonepulse.sources import fixtures as fx
+    b = prepare_buildings(fx.buildings_raw(spark, SF_SMALL))
+    kv = flow.keyed_and_validated(fx.requests(spark, SF_SMALL), b) \
+        .withColumn("valid", F.col("error_reason").isNull())
+    fold = {r.seq: r.cached for r in rq.ttl_replay(kv, 7200.0).collect()}
+    par = {r.seq: r.cached for r in rq.ttl_replay(kv, 7200.0, segment_limit=5).collect()}
+    assert fold == par and sum(fold.values()) > 0
+
+
 def test_zipf_weights():
     w = rq.zipf_weights(5, 1.5)
     assert sum(w) == pytest.approx(1.0) and w == sorted(w, reverse=True)

@@ -141,7 +141,7 @@ def _fold_sorted(ttl: float):
 
 
 def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col: str = "seq",
-               valid_col: str = "valid") -> DataFrame:
+               valid_col: str = "valid", segment_limit: int = 5_000_000) -> DataFrame:
     """T4: label each request of a log as cache hit or miss under a TTL.
 
     Per cache key in (time, order) order: a request is a hit iff its time is before the
@@ -152,23 +152,43 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
     influence each other: time is cut into blocks of length ``ttl``; a block whose
     previous block holds no valid request starts with an empty cache (any expiry set
     earlier has passed), so its first valid request is a certain miss. Segment ids come
-    from a window over one summary row per non-empty (key, block). Segments are hashed
-    across tasks, sorted inside each task and folded in one streaming pass.
+    from a window over one summary row per non-empty (key, block).
+
+    Segments of at most ``segment_limit`` rows are hashed across tasks, sorted inside
+    each task and folded in one streaming pass. Larger segments (a hot key with
+    uninterrupted traffic) are labelled in parallel by pointer doubling over the
+    "next miss" function (``ttl_parallel``), so no task ever holds such a segment.
     """
     ttl = float(ttl)
     ev = req.select(F.col("cache_key").alias("key"), F.col(order_col).cast("long").alias("seq"),
                     F.col(time_col).cast("double").alias("t"),
                     F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"))
     ev = ev.withColumn("block", F.floor(F.col("t") / F.lit(ttl)).cast("long"))
-    blocks = ev.groupBy("key", "block").agg(F.max(F.col("valid").cast("int")).alias("has_valid"))
+    blocks = ev.groupBy("key", "block").agg(F.max(F.col("valid").cast("int")).alias("has_valid"),
+                                            F.count(F.lit(1)).alias("rows"))
     w = Window.partitionBy("key").orderBy("block")
     prev_block = F.lag("block").over(w)
     prev_valid = F.lag("has_valid").over(w)
     starts = blocks.withColumn("is_start", prev_block.isNull() | (prev_block != F.col("block") - 1)
                                | (prev_valid == 0))
     seg = starts.withColumn("segment", F.max(F.when(F.col("is_start"), F.col("block"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).select("key", "block", "segment")
-    tagged = ev.join(seg, ["key", "block"]).select("key", "segment", "t", "seq", "valid")
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    tagged = ev.join(seg.select("key", "block", "segment"), ["key", "block"]) \
+        .select("key", "segment", "t", "seq", "valid")
+
+    big = (seg.groupBy("key", "segment").agg(F.sum("rows").alias("rows"))
+           .where(F.col("rows") > segment_limit).select("key", "segment"))
+    if big.limit(1).count() == 0:
+        return _fold(tagged, ttl)
+    from zonepulse.operators.ttl_parallel import replay_by_doubling
+    # at most rows / segment_limit entries: a bounded broadcast
+    big = F.broadcast(big.persist(StorageLevel.MEMORY_AND_DISK))
+    small = tagged.join(big, ["key", "segment"], "left_anti")
+    large = tagged.join(big, ["key", "segment"], "left_semi")
+    return _fold(small, ttl).unionByName(replay_by_doubling(large, ttl))
+
+
+def _fold(tagged: DataFrame, ttl: float) -> DataFrame:
     return (tagged.repartition("key", "segment")
             .sortWithinPartitions("key", "segment", "t", "seq")
             .mapInPandas(_fold_sorted(ttl), schema=_REPLAY_OUT))
