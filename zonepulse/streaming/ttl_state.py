@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 REPLAY_SCHEMA = T.StructType([T.StructField("cache_key", T.StringType()),
                               T.StructField("seq", T.LongType()),
                               T.StructField("cached", T.BooleanType())])
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _EXPIRY = T.StructType([T.StructField("expiry", T.DoubleType())])
 
 
@@ -44,8 +45,13 @@ class TTLCacheProcessor(StatefulProcessor):
 
 def ttl_replay_stream(req: DataFrame, ttl: float, time_col: str = "t_start",
                       order_col: str = "seq", valid_col: str = "valid") -> DataFrame:
-    """Streaming T4: needs the RocksDB state store provider (see session settings)."""
+    """Streaming T4 (per-key ValueState; needs the RocksDB state store provider, which is
+    selected here when the session still uses another one)."""
     from pyspark.sql import functions as F
+    spark = req.sparkSession
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(key, "") or ""):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
     ev = req.select(F.col("cache_key"), F.col(order_col).cast("long").alias("seq"),
                     F.col(time_col).cast("double").alias("t"),
                     F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"))
