@@ -44,7 +44,7 @@ def window_metrics(df: DataFrame, length: str = "1 minute", slide: str = "10 sec
                    time_col: str = "event_time") -> DataFrame:
     """A5: sliding-window request metrics.
 
-    Rates divide by all rows of the window (the reference's denominator counts every
+    Rates divide by all rows of the window (the denominator counts every
     event), so the divisor is never zero. Percentiles are the mergeable approximate
     sketch, combined partially before the shuffle.
     """

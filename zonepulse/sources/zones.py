@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Fixed values that must equal the reference: zone id, name, lat_min, lat_max,
-# lon_min, lon_max, and the reference latitude used for the zone area (33.43 for Z1
-# is the reference's literal, not the box midpoint). Listed in priority order.
+# Priority, zone id, name, lat_min, lat_max, lon_min, lon_max, and the
+# latitude used for the zone's area (33.43 for Z1 is a given value, not the box
+# midpoint). Listed in priority order.
 ZONE_ROWS = [
     (1, "Z1", "Providencia", -33.445, -33.420, -70.640, -70.600, 33.43),
     (2, "Z2", "Las Condes", -33.420, -33.390, -70.600, -70.550, 33.405),
