@@ -320,3 +320,64 @@ def test_window_rate_divides_by_all_rows(spark):
     df = spark.createDataFrame(rows, "timestamp double, event_type string, latency_ms double")
     w = tel.sliding_window_report(df).where("window_start = timestamp_ntz'1970-01-01 00:00:10'").collect()[0]
     assert (w.total_requests, w.hit_rate, w.retry_rate) == (2, 0.25, 0.25)
+
+
+# ------------------------------------------------------------ sources, plans
+
+def test_requests_stream_reads_main_and_retry(spark, tmp_dir):
+    import os
+    for sub, payload in (("main", {"req": {"zone_id": "Z1", "query_type": "Q1"}, "retries": 0}),
+                         ("retry", {"req": {"zone_id": "Z2", "query_type": "Q2"}, "retries": 1})):
+        os.makedirs(f"{tmp_dir}/{sub}")
+        with open(f"{tmp_dir}/{sub}/a.json", "w") as f:
+            f.write(json.dumps(payload) + "\n")
+    s = rio.read_requests_stream(spark, "text", (f"{tmp_dir}/main", f"{tmp_dir}/retry"))
+    q = (rio.decode_requests(s, F.lit(1.0)).writeStream.format("memory").queryName("req_in")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted((r.topic, r.zone_id, r.retries) for r in spark.sql("select * from req_in").collect())
+    assert got == [("consultas_geoespaciales", "Z1", 0), ("consultas_retry", "Z2", 1)]
+
+
+def test_load_buildings_falls_back_to_csv(spark, tmp_dir):
+    from zonepulse.sources import buildings_io as bio
+    b = _buildings(spark, [(-33.43, -70.62, 10.0, 0.9, "Z1")])
+    b.write.option("header", True).csv(f"{tmp_dir}/csv")
+    assert bio.load_buildings(spark, tmp_dir).collect()[0].zone_id == "Z1"
+    with pytest.raises(FileNotFoundError):
+        bio.load_buildings(spark, f"{tmp_dir}/nothing")
+
+
+def test_scan_tiles_gzip_with_wkt_only(spark, tmp_dir):
+    import gzip
+    from zonepulse.sources import buildings_io as bio
+    with gzip.open(f"{tmp_dir}/t.csv.gz", "wt") as f:
+        f.write("area_in_meters,confidence,geometry,full_plus_code\n")
+        f.write('12.5,0.8,"POINT (-70.62 -33.43)",X\n')
+        f.write('3.0,0.1,"POINT (-75.0 -30.0)",Y\n')
+    got = bld.prepare_buildings(bio.scan_tiles(spark, f"{tmp_dir}/t.csv.gz")).collect()
+    assert [(r.zone_id, r.latitude, r.area_in_meters) for r in got] == [("Z1", -33.43, 12.5)]
+
+
+def test_since_bound_resets_counters(spark):
+    rows = [(1.0, "hit", "Q1", "Z1", "k", 5.0, 1), (10.0, "miss", "Q1", "Z1", "k", 7.0, 2)]
+    df = spark.createDataFrame(rows, "timestamp double, event_type string, query_type string, "
+                                     "zone_id string, cache_key string, latency_ms double, seq long")
+    r = tel.telemetry_totals(df, start=5.0).collect()[0]
+    assert (r.total_hits, r.total_misses, r.latency_p50_ms) == (0, 1, 7.0)
+
+
+def test_process_requests_end_to_end(spark):
+    from zonepulse.plans.request_flow import process_requests
+    b = _buildings(spark, [(-33.43, -70.62, 10.0, 0.9, "Z1"), (-33.41, -70.57, 20.0, 0.6, "Z2")])
+    msgs = [(1, {"req": {"zone_id": "Z1", "query_type": "Q1", "confidence_min": 0.5}, "t_start": 100.0}),
+            (2, {"req": {"zone_id": "Z1", "query_type": "Q1", "confidence_min": 0.5}, "t_start": 110.0}),
+            (3, {"req": {"zone_id": "Z9", "query_type": "Q1"}, "t_start": 120.0}),
+            (4, {"zone_id": "Z2", "query_type": "Q5", "bins": 5, "t_start": 130.0})]
+    df = spark.createDataFrame([(s, json.dumps(m)) for s, m in msgs], "seq long, value string")
+    out = process_requests(df, b, 300.0, F.lit(1000.0))
+    ev = sorted((r.seq, r.event_type) for r in out["events"].collect())
+    assert ev == [(1, "miss"), (2, "hit"), (3, "miss"), (3, "retry"), (4, "miss")]
+    ans = {r.seq: (r["count"], r.buckets is not None) for r in out["answers"].collect()}
+    assert ans == {1: (1, False), 4: (None, True)}
+    assert {r.seq: r.route for r in out["routed"].collect()}[3] == "retry"

@@ -117,10 +117,18 @@ def _counters(df: DataFrame, by: Sequence[str]) -> DataFrame:
         F.sum(lat).alias("_lat_sum"), F.count(lat).alias("_lat_n"))
 
 
+def since(df: DataFrame, start: float | None, ts: str = "timestamp") -> DataFrame:
+    """Events at or after ``start`` (epoch seconds): counters "reset" at ``start``
+    without touching the log."""
+    return df if start is None else df.where(F.col(ts) >= F.lit(float(start)))
+
+
 def telemetry_totals(df: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("seq",),
-                     **kw) -> DataFrame:
+                     start: float | None = None, **kw) -> DataFrame:
     """Cumulative statistics (percent rates rounded to 2, 0 when undefined), exact
-    percentiles (A8) and backlog (A9). With ``by`` one row per group (A15)."""
+    percentiles (A8) and backlog (A9). With ``by`` one row per group (A15); with
+    ``start`` only events since that reset time count."""
+    df = since(df, start)
     c = _counters(df, by)
     total = F.col("total_hits") + F.col("total_misses")
     stats = c.select(
@@ -148,9 +156,9 @@ def telemetry_totals(df: DataFrame, by: Sequence[str] = (), order: Sequence[str]
         p["latency_p95_ms"].alias("latency_p95_ms"))
 
 
-def telemetry_by_query_zone(df: DataFrame) -> DataFrame:
+def telemetry_by_query_zone(df: DataFrame, start: float | None = None) -> DataFrame:
     """Per ``query_type:zone_id`` hits, misses, retries, dlq and hit rate (percent)."""
-    c = df.groupBy("query_type", "zone_id").agg(
+    c = since(df, start).groupBy("query_type", "zone_id").agg(
         _n(_et() == "hit").alias("hits"), _n(_et() == "miss").alias("misses"),
         _n(_et() == "retry").alias("retries"), _n(_et() == "dlq").alias("dlq"))
     return c.select(

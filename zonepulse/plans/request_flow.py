@@ -30,3 +30,18 @@ def attempts(req: DataFrame, buildings: DataFrame, ttl: float,
 
 def buildings_from_raw(raw: DataFrame) -> DataFrame:
     return bld.prepare_buildings(raw)
+
+
+def process_requests(messages: DataFrame, buildings: DataFrame, ttl: float,
+                     now=None) -> dict[str, DataFrame]:
+    """The request consumer as a batch job over a message log (``value`` plus an arrival
+    order ``seq``): S8 -> P7 -> P9 -> T4, then J3 for the misses (hits are served from
+    the cache), T5 routing and T6 telemetry events."""
+    from zonepulse.sources.requests_io import decode_requests
+    req = decode_requests(messages, now)
+    rep = replayed(req, buildings, ttl)
+    return {
+        "answers": rq.answer_requests(rep.where(~F.col("cached")).select(*req.columns), buildings),
+        "routed": rq.route_failures(rep),
+        "events": rq.attempt_events(rep),
+    }

@@ -47,13 +47,14 @@ def decode_requests(df: DataFrame, now: Column | None = None) -> DataFrame:
     text = F.col("value").cast("string")
     env = F.from_json(text, ENVELOPE)
     bare = F.from_json(text, REQUEST)
-    d = df.select(env.alias("env"), bare.alias("bare"))
+    extra = [c for c in df.columns if c != "value"]  # e.g. an arrival order, the topic
+    d = df.select(*extra, env.alias("env"), bare.alias("bare"))
     req = F.when(F.col("env.req").isNotNull(), F.col("env.req")).otherwise(F.col("bare"))
-    d = d.select(F.col("env.id").alias("id"), req.alias("req"),
+    d = d.select(*extra, F.col("env.id").alias("id"), req.alias("req"),
                  F.col("env.retries").alias("retries"), F.col("env.t_start").alias("t_start"),
                  F.col("env.cache_key").alias("cache_key"))
     out = d.select(
-        "id",
+        *extra, "id",
         F.col("req.zone_id").alias("zone_id"),
         F.col("req.query_type").alias("query_type"),
         F.coalesce(F.col("req.confidence_min"), F.lit(0.0)).alias("confidence_min"),

@@ -61,6 +61,15 @@ def append_telemetry(df: DataFrame, path: str) -> None:
         .option("header", True).csv(path)
 
 
+def append_telemetry_stream(stream: DataFrame, path: str, checkpoint: str,
+                            trigger: dict | None = None):
+    """S5 for a stream: decoded events appended to the CSV log, exactly once per batch
+    (the file sink's log in ``path`` and the checkpoint make retries idempotent)."""
+    return (stream.select(*[f.name for f in TELEMETRY.fields]).writeStream.format("csv")
+            .option("header", True).option("path", path).option("checkpointLocation", checkpoint)
+            .outputMode("append").trigger(**(trigger or {"processingTime": "10 seconds"})).start())
+
+
 def read_telemetry_log(spark: SparkSession, path: str) -> DataFrame:
     """The event log as a table with the declared schema."""
     return spark.read.schema(TELEMETRY).option("header", True).csv(path)
