@@ -381,3 +381,31 @@ def test_process_requests_end_to_end(spark):
     ans = {r.seq: (r["count"], r.buckets is not None) for r in out["answers"].collect()}
     assert ans == {1: (1, False), 4: (None, True)}
     assert {r.seq: r.route for r in out["routed"].collect()}[3] == "retry"
+
+
+def test_grid_assignment_equals_case_chain(spark):
+    from tests.conftest import SF_SMALL
+    from zonepulse.sources import fixtures as fx
+    pts = bld.project_complete(fx.buildings_raw(spark, SF_SMALL))
+    case = sorted(tuple(r) for r in bld.assign_zone(pts).collect())
+    grid = sorted(tuple(r) for r in bld.assign_zone_grid(pts, zones(spark), 0.013).collect())
+    assert case == grid and len(case) > 0
+
+
+def test_large_zone_table_uses_grid(spark):
+    # 300 small boxes generated by rule, overlapping in pairs; priority = index
+    rows = [(i, f"G{i}", -34.0 + (i // 20) * 0.01, -34.0 + (i // 20) * 0.01 + 0.015,
+             -71.0 + (i % 20) * 0.01, -71.0 + (i % 20) * 0.01 + 0.015, -34.0) for i in range(300)]
+    zt = spark.createDataFrame(rows, "priority int, zone_id string, lat_min double, lat_max double, "
+                                     "lon_min double, lon_max double, ref_lat double")
+    pts_rows = [(-34.0 + a * 0.0037, -71.0 + b * 0.0041, 1.0, 0.5) for a in range(45) for b in range(55)]
+    pts = spark.createDataFrame(pts_rows, "latitude double, longitude double, area_in_meters double, "
+                                          "confidence double")
+    got = {(r.latitude, r.longitude): r.zone_id for r in bld.assign_zone(pts, zt).collect()}
+    want = {}
+    for la, lo, _, _ in pts_rows:
+        for p, zid, a, b, c, d, _ in rows:
+            if a <= la <= b and c <= lo <= d:
+                want[(la, lo)] = zid
+                break
+    assert got == want

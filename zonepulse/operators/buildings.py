@@ -58,16 +58,13 @@ def filter_confidence(df: DataFrame, c: float | Column) -> DataFrame:
 def _zone_rows(zones: DataFrame | None) -> list[tuple]:
     if zones is None:
         return [(r[0], r[1], r[3], r[4], r[5], r[6]) for r in ZONE_ROWS]
-    n = zones.limit(MAX_INLINE_ZONES + 1).count()
-    if n > MAX_INLINE_ZONES:
-        raise ValueError(f"zone table has more than {MAX_INLINE_ZONES} rows; "
-                         "partition it into spatial cells before assigning")
     rows = zones.select("priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max").collect()
     return sorted((tuple(r) for r in rows), key=lambda r: r[0])
 
 
 def zone_of(lat: Column, lon: Column, zones: DataFrame | None = None) -> Column:
-    """First zone (by priority) whose box contains the point, bounds inclusive."""
+    """First zone (by priority) whose box contains the point, bounds inclusive
+    (an inline CASE chain; meant for a zone table of at most MAX_INLINE_ZONES rows)."""
     expr = None
     for _, zid, a, b, c, d in _zone_rows(zones):
         inside = lat.between(F.lit(a), F.lit(b)) & lon.between(F.lit(c), F.lit(d))
@@ -75,16 +72,51 @@ def zone_of(lat: Column, lon: Column, zones: DataFrame | None = None) -> Column:
     return expr
 
 
-def assign_zone(points: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+def assign_zone(points: DataFrame, zones: DataFrame | None = None,
+                cell_degrees: float = 0.01) -> DataFrame:
     """Point-in-box zone assignment, first match by zone priority, unmatched dropped.
 
-    The zone table is a bounded dimension (size checked), so the range join becomes a
-    CASE chain evaluated inside the scan stage: no shuffle, no broadcast, no pairs.
+    A zone table of at most MAX_INLINE_ZONES rows (size checked) becomes a CASE chain
+    evaluated inside the scan stage: no shuffle, no broadcast, no pairs. A larger one
+    goes through ``assign_zone_grid``.
     """
+    if zones is not None and zones.limit(MAX_INLINE_ZONES + 1).count() > MAX_INLINE_ZONES:
+        return assign_zone_grid(points, zones, cell_degrees)
     z = zone_of(F.col("latitude"), F.col("longitude"), zones)
     return points.withColumn("zone_id", z).where(F.col("zone_id").isNotNull())
 
 
+def _cell(c: Column, size: float) -> Column:
+    return F.floor(c / F.lit(size)).cast("long")
+
+
+def assign_zone_grid(points: DataFrame, zones: DataFrame, cell_degrees: float = 0.01) -> DataFrame:
+    """J1 for zone tables of any size: a grid-cell equi-join.
+
+    Every zone is listed under each grid cell its box touches; each cell keeps its
+    candidate zones as one array sorted by priority. A point joins exactly one cell row
+    (many-to-one, so no pairs and no point key) and takes the first candidate whose box
+    contains it. Hot cells are split by AQE's skew handling of the join.
+    """
+    size = float(cell_degrees)
+    z = zones.select(
+        "priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max",
+        F.explode(F.sequence(_cell(F.col("lat_min"), size), _cell(F.col("lat_max"), size))).alias("ci"))
+    z = z.withColumn("cj", F.explode(F.sequence(_cell(F.col("lon_min"), size),
+                                                _cell(F.col("lon_max"), size))))
+    cells = z.groupBy("ci", "cj").agg(F.array_sort(F.collect_list(F.struct(
+        "priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max"))).alias("_cand"))
+    lat, lon = F.col("latitude"), F.col("longitude")
+    pts = points.withColumns({"ci": _cell(lat, size), "cj": _cell(lon, size)})
+    inside = lambda c: (lat.between(c["lat_min"], c["lat_max"])
+                        & lon.between(c["lon_min"], c["lon_max"]))
+    hit = F.try_element_at(F.filter(F.col("_cand"), inside), F.lit(1))
+    return (pts.join(cells, ["ci", "cj"], "inner")
+            .withColumn("zone_id", hit["zone_id"])
+            .where(F.col("zone_id").isNotNull())
+            .drop("ci", "cj", "_cand"))
+
+
 def with_zone_area(zones: DataFrame) -> DataFrame:
     """Zone area in km^2 from the box and the zone's reference latitude."""
     return zones.withColumn("area_km2", zone_area_km2(

@@ -171,8 +171,10 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
     prev_valid = F.lag("has_valid").over(w)
     starts = blocks.withColumn("is_start", prev_block.isNull() | (prev_block != F.col("block") - 1)
                                | (prev_valid == 0))
+    # one row per non-empty (key, block): small, reused by the size check and the plan
     seg = starts.withColumn("segment", F.max(F.when(F.col("is_start"), F.col("block"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
     tagged = ev.join(seg.select("key", "block", "segment"), ["key", "block"]) \
         .select("key", "segment", "t", "seq", "valid")
 

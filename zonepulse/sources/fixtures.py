@@ -89,13 +89,17 @@ def buildings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     geometry = F.when(pk % 89 == 0, F.lit("POLYGON EMPTY")).otherwise(F.concat(
         F.lit("POINT (-70."), F.lpad((ok * 6101 % 1000000).cast("string"), 6, "0"),
         F.lit(" -33."), F.lpad((pk * 7919 % 1000000).cast("string"), 6, "0"), F.lit(")")))
-    return li.select(
+    row = F.struct(
         (F.lit(-33.54) + F.lit(0.16) * frac_lat).alias("latitude"),
         (F.lit(-70.82) + F.lit(0.28) * frac_lon).alias("longitude"),
         area.alias("area_in_meters"),
         conf.alias("confidence"),
         geometry.alias("geometry"),
     )
+    # Emitted through a one-row generator so that filters on these computed columns
+    # read them instead of inlining the formulas into every predicate, as they would
+    # for columns stored in a file.
+    return li.select(F.inline(F.array(row)))
 
 
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
