@@ -116,7 +116,7 @@ _SERIES = """s AS (
 ORACLES["throughput_series"] = with_views(f"WITH {_SERIES}\nSELECT * FROM s", "telemetry")
 ORACLES["throughput_mean"] = with_views(f"""
 WITH {_SERIES}
-SELECT count(*) AS seconds, sum(events) AS events, CAST(sum(events) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_per_second
+SELECT count(*) AS seconds, CAST(sum(events) AS BIGINT) AS events, CAST(sum(events) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS mean_per_second
 FROM s""", "telemetry")
 
 ORACLES["latency_histogram"] = with_views("""
