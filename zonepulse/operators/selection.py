@@ -78,8 +78,9 @@ def select_ranks(df: DataFrame, value: str, ranks: dict[str, RankFn],
     by = list(by)
     v = F.col(value)
     data = df.select(*by, v.cast("double").alias(_V)).where(v.isNotNull() & ~F.isnan(v))
+    # one row per group, reused by every round and the result
     stats = data.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(_V).alias(_LO),
-                                  F.max(_V).alias(_HI))
+                                  F.max(_V).alias(_HI)).persist(StorageLevel.MEMORY_AND_DISK)
     names = list(ranks)
     tgt = stats.select(*by, F.col(_LO), F.col(_HI), F.col("n").alias(_CNT), F.explode(F.array(*[
         F.struct(F.lit(name).alias(_NAME), ranks[name](F.col("n")).cast("long").alias(_K))
