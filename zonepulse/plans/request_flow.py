@@ -45,3 +45,37 @@ def process_requests(messages: DataFrame, buildings: DataFrame, ttl: float,
         "routed": rq.route_failures(rep),
         "events": rq.attempt_events(rep),
     }
+
+
+def start_request_consumer(messages: DataFrame, buildings: DataFrame, ttl: float, base: str,
+                           checkpoint: str, trigger: dict | None = None):
+    """The request consumer as one Structured Streaming job.
+
+    ``messages`` is the stream of S7 (value, topic, seq). Per micro-batch: decode (S8),
+    key (P7), validate against the static building table (P9, stream-static join),
+    replay the cache with per-key state (T4), then write the attempt events (T6) under
+    ``{base}/events`` and the routed attempts (T5) under ``{base}/{answer,retry,dlq}``,
+    each as an overwrite of its ``batch_id`` partition so a retried batch is idempotent.
+    """
+    from pyspark import StorageLevel
+
+    from zonepulse.sources.requests_io import decode_requests
+    from zonepulse.streaming.router import route_batch
+    from zonepulse.streaming.ttl_state import ttl_replay_stream
+
+    kv = keyed_and_validated(decode_requests(messages), buildings) \
+        .withColumn("valid", F.col("error_reason").isNull())
+    labelled = ttl_replay_stream(kv, ttl, keep=("id", "query_type", "zone_id", "retries",
+                                                "error_reason", "t_start"))
+    routes = route_batch(base)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rq.attempt_events(b).write.mode("overwrite").parquet(f"{base}/events/batch_id={batch_id}")
+            routes(b, batch_id)
+        finally:
+            b.unpersist()
+
+    return (labelled.writeStream.option("checkpointLocation", checkpoint).foreachBatch(sink)
+            .trigger(**(trigger or {"processingTime": "10 seconds"})).start())

@@ -24,7 +24,8 @@ def read_requests_stream(spark: SparkSession, source: str = "kafka",
         r = spark.readStream.format("kafka").option("subscribe", f"{REQUEST_TOPIC},{RETRY_TOPIC}")
         for k, v in options.items():
             r = r.option(k, v)
-        return r.load().select(F.col("value").cast("string").alias("value"), "topic")
+        return r.load().select(F.col("value").cast("string").alias("value"), "topic",
+                               F.col("offset").alias("seq"))
     if source == "text":
         main, retry = paths
         def one(p, topic):
@@ -32,7 +33,9 @@ def read_requests_stream(spark: SparkSession, source: str = "kafka",
             for k, v in options.items():
                 r = r.option(k, v)
             return r.load(p).withColumn("topic", F.lit(topic))
-        return one(main, REQUEST_TOPIC).unionByName(one(retry, RETRY_TOPIC))
+        both = one(main, REQUEST_TOPIC).unionByName(one(retry, RETRY_TOPIC))
+        # files carry no offsets: a deterministic tie-breaker after t_start
+        return both.withColumn("seq", F.xxhash64("topic", "value"))
     raise ValueError(f"unknown request source {source!r}")
 
 

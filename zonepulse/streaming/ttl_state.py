@@ -17,10 +17,12 @@ _EXPIRY = T.StructType([T.StructField("expiry", T.DoubleType())])
 
 
 class TTLCacheProcessor(StatefulProcessor):
-    """Per cache key: hit iff t < expiry; a valid miss sets expiry = t + ttl."""
+    """Per cache key: hit iff t < expiry; a valid miss sets expiry = t + ttl.
+    Columns named in ``keep`` pass through to the output."""
 
-    def __init__(self, ttl: float):
+    def __init__(self, ttl: float, keep: tuple[str, ...] = ()):
         self.ttl = float(ttl)
+        self.keep = tuple(keep)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.expiry = handle.getValueState("expiry", _EXPIRY)
@@ -36,25 +38,32 @@ class TTLCacheProcessor(StatefulProcessor):
             cached.append(hit)
         if expiry != float("-inf"):
             self.expiry.update((float(expiry),))
-        yield pd.DataFrame({"cache_key": [key[0]] * len(pdf),
-                            "seq": pdf["seq"].astype("int64").to_numpy(), "cached": cached})
+        out = {"cache_key": [key[0]] * len(pdf), "seq": pdf["seq"].astype("int64").to_numpy(),
+               "cached": cached}
+        for c in self.keep:
+            out[c] = pdf[c].to_numpy()
+        yield pd.DataFrame(out)
 
     def close(self) -> None:
         pass
 
 
 def ttl_replay_stream(req: DataFrame, ttl: float, time_col: str = "t_start",
-                      order_col: str = "seq", valid_col: str = "valid") -> DataFrame:
+                      order_col: str = "seq", valid_col: str = "valid",
+                      keep: tuple[str, ...] = ()) -> DataFrame:
     """Streaming T4 (per-key ValueState; needs the RocksDB state store provider, which is
-    selected here when the session still uses another one)."""
+    selected here when the session still uses another one). ``keep`` names input
+    columns carried to the output next to cache_key, seq and cached."""
     from pyspark.sql import functions as F
     spark = req.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    if "RocksDB" not in (spark.conf.get(key, "") or ""):
-        spark.conf.set(key, ROCKSDB_PROVIDER)
+    conf_key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(conf_key, "") or ""):
+        spark.conf.set(conf_key, ROCKSDB_PROVIDER)
+    keep = tuple(c for c in keep if c not in ("cache_key", "seq", "t", "valid", "cached"))
     ev = req.select(F.col("cache_key"), F.col(order_col).cast("long").alias("seq"),
                     F.col(time_col).cast("double").alias("t"),
-                    F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"))
+                    F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"), *keep)
+    schema = T.StructType(list(REPLAY_SCHEMA.fields) + [ev.schema[c] for c in keep])
     return ev.groupBy("cache_key").transformWithStateInPandas(
-        statefulProcessor=TTLCacheProcessor(ttl), outputStructType=REPLAY_SCHEMA,
+        statefulProcessor=TTLCacheProcessor(ttl, keep), outputStructType=schema,
         outputMode="Append", timeMode="None")
