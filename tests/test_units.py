@@ -409,3 +409,20 @@ def test_large_zone_table_uses_grid(spark):
                 want[(la, lo)] = zid
                 break
     assert got == want
+
+
+# Total hits, total misses and the hit rate (percent, 2 decimals) of the
+# eleven recorded experiment runs.
+RECORDED_RUNS = [
+    (485, 15, 97.0), (451, 49, 90.2), (477, 23, 95.4), (485, 15, 97.0), (485, 15, 97.0),
+    (463, 37, 92.6), (474, 26, 94.8), (479, 21, 95.8), (873, 57, 93.87), (762, 115, 86.89),
+    (724, 145, 83.31),
+]
+
+
+def test_recorded_hit_rates_reproduced(spark):
+    from zonepulse.functions import pct
+    df = spark.createDataFrame(RECORDED_RUNS, "h long, m long, rate double")
+    got = [(r.rate, r.mine) for r in df.select(
+        "rate", pct(F.col("h"), F.col("h") + F.col("m")).alias("mine")).collect()]
+    assert all(a == b for a, b in got)
