@@ -8,6 +8,7 @@ current state into a new version directory.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,16 +42,36 @@ def upsert_to_index(docs: DataFrame, resource: str, checkpoint: str, **es_option
     return w.start()
 
 
+def _latest_version(spark: SparkSession, target: str) -> tuple[str, int] | None:
+    """(path, upto batch id) of the newest compacted version, if any."""
+    try:
+        versions = spark.read.parquet(f"{target}/versions").select("upto").distinct()
+    except AnalysisException:
+        return None
+    upto = versions.agg(F.max("upto")).first()[0]
+    return None if upto is None else (f"{target}/versions/upto={upto}", int(upto))
+
+
 def read_upserted(spark: SparkSession, target: str, key: str = "doc_id") -> DataFrame:
-    """Current documents: for each key the row of the highest batch id."""
+    """Current documents: for each key the row of the highest batch id, read from the
+    newest compacted version plus the change batches written after it."""
     changes = spark.read.parquet(f"{target}/changes")
+    version = _latest_version(spark, target)
+    if version is not None:
+        path, upto = version
+        changes = spark.read.parquet(path).unionByName(changes.where(F.col("batch_id") > upto))
     cols = [c for c in changes.columns if c != "batch_id"]
     latest = changes.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("_d"))
     return latest.select("_d.*")
 
 
-def compact(spark: SparkSession, target: str, version: str) -> str:
-    """Write the current state to ``{target}/versions/{version}`` and return the path."""
-    path = f"{target}/versions/{version}"
-    read_upserted(spark, target).write.mode("overwrite").parquet(path)
+def compact(spark: SparkSession, target: str, key: str = "doc_id") -> str:
+    """Fold every change batch so far into ``versions/upto=N`` (N = last batch id) and
+    return its path; later reads start from it. Older change batches can then be
+    dropped by retention."""
+    changes = spark.read.parquet(f"{target}/changes")
+    upto = changes.agg(F.max("batch_id")).first()[0]
+    current = read_upserted(spark, target, key).withColumn("batch_id", F.lit(upto).cast("int"))
+    path = f"{target}/versions/upto={upto}"
+    current.write.mode("overwrite").parquet(path)
     return path
