@@ -66,3 +66,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediates."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of input on ``total_cores`` cores.
+
+    Scan splits and shuffle partitions aim at ``target_partition_mb`` each so every
+    task's working set fits executor memory; AQE then coalesces small partitions and
+    splits skewed ones (a hot key becomes several tasks instead of one straggler).
+    """
+    target = target_partition_mb << 20
+    shuffle = max(3 * total_cores, -(-input_bytes // target))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }
