@@ -500,3 +500,5 @@ ORACLES["tiles_scan"] = ORACLES["buildings"]
 
 ORACLES["window_metrics_stream"] = ORACLES["window_metrics"]
 ORACLES["ttl_replay_stream"] = ORACLES["ttl_replay"]
+
+ORACLES["request_outcomes"] = ORACLES["attempt_events"]

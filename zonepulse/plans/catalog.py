@@ -355,3 +355,16 @@ def q_ttl_replay_stream(spark, sf_dir):
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out").select("seq", "cache_key", "cached")
+
+
+@register("request_outcomes")
+def q_request_outcomes(spark, sf_dir):
+    """End to end: requests as envelopes on a log -> decode -> key -> validate -> TTL
+    replay -> telemetry events (equal to attempt_events on the same requests)."""
+    r = fx.requests(spark, sf_dir).select(
+        "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
+        F.col("attempt_retries").alias("retries"))
+    msgs = rio.encode_requests(r, keep=["seq"])                               # S9
+    out = flow.process_requests(msgs, _buildings(spark, sf_dir), TTL_FIXTURE)
+    return out["events"].select("seq", "event_index", "event_type", "query_type", "zone_id",
+                                "cache_key")

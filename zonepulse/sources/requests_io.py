@@ -75,10 +75,11 @@ def _req_struct() -> Column:
     return F.struct("zone_id", "query_type", "confidence_min", "bins", "zone_id_b")
 
 
-def encode_requests(df: DataFrame) -> DataFrame:
-    """{id, req{...}, retries, t_start} as JSON; a null zone_id_b is omitted."""
-    return df.select(F.to_json(F.struct(F.col("id"), _req_struct().alias("req"),
-                                        F.col("retries"), F.col("t_start"))).alias("value"))
+def encode_requests(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """{id, req{...}, retries, t_start} as JSON; a null zone_id_b is omitted.
+    Columns in ``keep`` (e.g. an arrival order) stay next to ``value``."""
+    return df.select(*(keep or []), F.to_json(F.struct(
+        F.col("id"), _req_struct().alias("req"), F.col("retries"), F.col("t_start"))).alias("value"))
 
 
 def encode_bare_requests(df: DataFrame) -> DataFrame:
