@@ -426,3 +426,18 @@ def test_recorded_hit_rates_reproduced(spark):
     got = [(r.rate, r.mine) for r in df.select(
         "rate", pct(F.col("h"), F.col("h") + F.col("m")).alias("mine")).collect()]
     assert all(a == b for a, b in got)
+
+
+def test_ttl_fold_carries_state_across_arrow_batches(spark):
+    rng = np.random.default_rng(7)
+    rows = [(["a", "b"][i % 2], i, float(rng.integers(0, 2000)), bool(rng.integers(0, 4)))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "cache_key string, seq long, t_start double, valid boolean")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")  # every segment spans many batches
+    try:
+        got = {r.seq: r.cached for r in rq.ttl_replay(df, 120.0).collect()}
+    finally:
+        spark.conf.set(key, old)
+    assert got == _replay_python(rows, 120.0)

@@ -121,21 +121,38 @@ _REPLAY_OUT = T.StructType([T.StructField("seq", T.LongType()),
 
 def _fold_sorted(ttl: float):
     """Fold rows sorted by (key, segment, t, seq), batch by batch; the cache state is
-    reset at every new (key, segment). Memory is one Arrow batch, whatever the group size."""
+    reset at every new (key, segment) and carried across batch boundaries.
+
+    Vectorised per run of one (key, segment): from the current expiry, a binary search
+    finds the next valid request at or after it (the next miss that fills the cache);
+    every row before it is a hit iff it is earlier than the expiry. Python steps once
+    per cache fill, not once per request; memory is one Arrow batch.
+    """
     def run(batches):
-        current, expiry = None, float("-inf")
+        carry_group, carry_expiry = None, float("-inf")
         for pdf in batches:
+            n = len(pdf)
             keys, segs = pdf["key"].to_numpy(), pdf["segment"].to_numpy()
-            ts, ok = pdf["t"].to_numpy(), pdf["valid"].to_numpy()
-            cached = np.zeros(len(pdf), dtype=bool)
-            for i in range(len(pdf)):
-                g = (keys[i], segs[i])
-                if g != current:
-                    current, expiry = g, float("-inf")
-                if ts[i] < expiry:
-                    cached[i] = True
-                elif ok[i]:
-                    expiry = ts[i] + ttl
+            ts = pdf["t"].to_numpy(dtype="float64")
+            ok = pdf["valid"].to_numpy(dtype=bool)
+            cached = np.zeros(n, dtype=bool)
+            new_run = np.ones(n, dtype=bool)
+            new_run[1:] = (keys[1:] != keys[:-1]) | (segs[1:] != segs[:-1])
+            starts = np.flatnonzero(new_run)
+            for s, e in zip(starts, np.append(starts[1:], n)):
+                group = (keys[s], segs[s])
+                expiry = carry_expiry if group == carry_group else float("-inf")
+                t, valid_at = ts[s:e], np.flatnonzero(ok[s:e])
+                pos, m = 0, e - s
+                while pos < m:
+                    first_late = max(pos, int(np.searchsorted(t, expiry, "left")))
+                    k = int(np.searchsorted(valid_at, first_late, "left"))
+                    fill = int(valid_at[k]) if k < len(valid_at) else m
+                    cached[s + pos:s + fill] = t[pos:fill] < expiry
+                    if fill >= m:
+                        break
+                    expiry, pos = t[fill] + ttl, fill + 1
+                carry_group, carry_expiry = group, expiry
             yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "cached": cached})
     return run
 
