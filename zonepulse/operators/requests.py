@@ -119,15 +119,33 @@ _REPLAY_OUT = T.StructType([T.StructField("seq", T.LongType()),
                             T.StructField("cached", T.BooleanType())])
 
 
-def _fold_sorted(ttl: float):
-    """Fold rows sorted by (key, segment, t, seq), batch by batch; the cache state is
-    reset at every new (key, segment) and carried across batch boundaries.
+def fold_run(t: np.ndarray, ok: np.ndarray, expiry: float, ttl: float) -> tuple[np.ndarray, float]:
+    """Cache decisions for one key's requests sorted by (t, seq), starting from
+    ``expiry``; returns (cached flags, final expiry).
 
-    Vectorised per run of one (key, segment): from the current expiry, a binary search
-    finds the next valid request at or after it (the next miss that fills the cache);
-    every row before it is a hit iff it is earlier than the expiry. Python steps once
-    per cache fill, not once per request; memory is one Arrow batch.
+    From the current expiry a binary search finds the next valid request at or after it
+    (the next miss that fills the cache); every row before it is a hit iff it is earlier
+    than the expiry. Python steps once per cache fill, not once per request.
     """
+    m = len(t)
+    cached = np.zeros(m, dtype=bool)
+    valid_at = np.flatnonzero(ok)
+    pos = 0
+    while pos < m:
+        first_late = max(pos, int(np.searchsorted(t, expiry, "left")))
+        k = int(np.searchsorted(valid_at, first_late, "left"))
+        fill = int(valid_at[k]) if k < len(valid_at) else m
+        cached[pos:fill] = t[pos:fill] < expiry
+        if fill >= m:
+            break
+        expiry, pos = float(t[fill]) + ttl, fill + 1
+    return cached, expiry
+
+
+def _fold_sorted(ttl: float):
+    """Fold rows sorted by (key, segment, t, seq), batch by batch; the cache state is
+    reset at every new (key, segment) and carried across batch boundaries. Memory is
+    one Arrow batch."""
     def run(batches):
         carry_group, carry_expiry = None, float("-inf")
         for pdf in batches:
@@ -142,16 +160,7 @@ def _fold_sorted(ttl: float):
             for s, e in zip(starts, np.append(starts[1:], n)):
                 group = (keys[s], segs[s])
                 expiry = carry_expiry if group == carry_group else float("-inf")
-                t, valid_at = ts[s:e], np.flatnonzero(ok[s:e])
-                pos, m = 0, e - s
-                while pos < m:
-                    first_late = max(pos, int(np.searchsorted(t, expiry, "left")))
-                    k = int(np.searchsorted(valid_at, first_late, "left"))
-                    fill = int(valid_at[k]) if k < len(valid_at) else m
-                    cached[s + pos:s + fill] = t[pos:fill] < expiry
-                    if fill >= m:
-                        break
-                    expiry, pos = t[fill] + ttl, fill + 1
+                cached[s:e], expiry = fold_run(ts[s:e], ok[s:e], expiry, ttl)
                 carry_group, carry_expiry = group, expiry
             yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "cached": cached})
     return run

@@ -28,14 +28,11 @@ class TTLCacheProcessor(StatefulProcessor):
         self.expiry = handle.getValueState("expiry", _EXPIRY)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        from zonepulse.operators.requests import fold_run
         pdf = pd.concat(list(rows)).sort_values(["t", "seq"], kind="stable")
         expiry = self.expiry.get()[0] if self.expiry.exists() else float("-inf")
-        cached = []
-        for t, ok in zip(pdf["t"].to_numpy(), pdf["valid"].to_numpy()):
-            hit = bool(t < expiry)
-            if not hit and ok:
-                expiry = t + self.ttl
-            cached.append(hit)
+        cached, expiry = fold_run(pdf["t"].to_numpy(dtype="float64"),
+                                  pdf["valid"].to_numpy(dtype=bool), expiry, self.ttl)
         if expiry != float("-inf"):
             self.expiry.update((float(expiry),))
         out = {"cache_key": [key[0]] * len(pdf), "seq": pdf["seq"].astype("int64").to_numpy(),
