@@ -128,5 +128,5 @@ def select_ranks(df: DataFrame, value: str, ranks: dict[str, RankFn],
 
 def _attach_single(stats: DataFrame, wide: DataFrame, names: list[str]) -> DataFrame:
     """Ungrouped result: one row with n and the picked values (null when empty)."""
-    picked = wide.select(*[F.first(c, ignorenulls=True).alias(c) for c in names])
-    return stats.select("n", *[picked.select(F.col(c)).scalar().alias(c) for c in names])
+    row = wide.agg(F.struct(*[F.first(c, ignorenulls=True).alias(c) for c in names])).scalar()
+    return stats.select("n", *[row[c].alias(c) for c in names])
