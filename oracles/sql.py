@@ -502,3 +502,4 @@ ORACLES["window_metrics_stream"] = ORACLES["window_metrics"]
 ORACLES["ttl_replay_stream"] = ORACLES["ttl_replay"]
 
 ORACLES["request_outcomes"] = ORACLES["attempt_events"]
+ORACLES["request_outcomes_stream"] = ORACLES["attempt_events"]

@@ -368,3 +368,22 @@ def q_request_outcomes(spark, sf_dir):
     out = flow.process_requests(msgs, _buildings(spark, sf_dir), TTL_FIXTURE)
     return out["events"].select("seq", "event_index", "event_type", "query_type", "zone_id",
                                 "cache_key")
+
+
+@register("request_outcomes_stream")
+def q_request_outcomes_stream(spark, sf_dir):
+    """The streaming request consumer over the same envelopes (main topic as files, an
+    empty retry topic): its events equal the batch replay's."""
+    base = scratch_path(spark, "consumer")
+    r = fx.requests(spark, sf_dir).select(
+        "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
+        F.col("attempt_retries").alias("retries"))
+    rio.encode_requests(r).write.text(f"{base}/main")
+    spark.createDataFrame([], "value string").write.text(f"{base}/retry")
+    msgs = rio.read_requests_stream(spark, "text", (f"{base}/main", f"{base}/retry"))
+    q = flow.start_request_consumer(msgs, _buildings(spark, sf_dir), TTL_FIXTURE, f"{base}/out",
+                                    f"{base}/checkpoint", trigger={"availableNow": True})
+    q.awaitTermination()
+    ev = spark.read.parquet(f"{base}/out/events")
+    return ev.select(F.regexp_extract("id", r"^req_(\d+)$", 1).cast("long").alias("seq"),
+                     "event_index", "event_type", "query_type", "zone_id", "cache_key")
