@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonepulse.functions import cache_key
 from zonepulse.schemas import ENVELOPE, REQUEST
@@ -48,11 +49,12 @@ def decode_requests(df: DataFrame, now: Column | None = None) -> DataFrame:
     """
     now = now if now is not None else F.unix_micros(F.current_timestamp()) / F.lit(1e6)
     text = F.col("value").cast("string")
-    env = F.from_json(text, ENVELOPE)
-    bare = F.from_json(text, REQUEST)
+    # one parse: the envelope fields and the bare request fields share no names
+    env = F.from_json(text, T.StructType(ENVELOPE.fields + REQUEST.fields))
     extra = [c for c in df.columns if c != "value"]  # e.g. an arrival order, the topic
-    d = df.select(*extra, env.alias("env"), bare.alias("bare"))
-    req = F.when(F.col("env.req").isNotNull(), F.col("env.req")).otherwise(F.col("bare"))
+    d = df.select(*extra, env.alias("env"))
+    bare = F.struct(*[F.col(f"env.{f.name}").alias(f.name) for f in REQUEST.fields])
+    req = F.when(F.col("env.req").isNotNull(), F.col("env.req")).otherwise(bare)
     d = d.select(*extra, F.col("env.id").alias("id"), req.alias("req"),
                  F.col("env.retries").alias("retries"), F.col("env.t_start").alias("t_start"),
                  F.col("env.cache_key").alias("cache_key"))
