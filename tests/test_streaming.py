@@ -146,3 +146,16 @@ def test_request_consumer_stream_equals_batch(spark, tmp_dir):
     routed = spark.read.parquet(f"{tmp_dir}/out/retry").count() + \
         spark.read.parquet(f"{tmp_dir}/out/dlq").count()
     assert routed == rep.where(~F.col("cached") & F.col("error_reason").isNotNull()).count()
+
+
+def test_event_log_stream_append(spark, tmp_dir):
+    rows = [_event(3000.0 + i, "hit" if i % 3 else "miss", float(i)) for i in range(12)]
+    _write_json_file(f"{tmp_dir}/in", rows[:6])
+    _write_json_file(f"{tmp_dir}/in", rows[6:])
+    src = spark.readStream.option("maxFilesPerTrigger", 1).text(f"{tmp_dir}/in")
+    q = tio.append_telemetry_stream(tio.decode_telemetry(src), f"{tmp_dir}/log", f"{tmp_dir}/ckpt",
+                                    trigger={"availableNow": True})
+    q.awaitTermination()
+    back = tio.read_telemetry_log(spark, f"{tmp_dir}/log")
+    got = sorted((r.timestamp, r.event_type, r.latency_ms) for r in back.collect())
+    assert got == sorted((r["timestamp"], r["event_type"], r["latency_ms"]) for r in rows)
