@@ -441,3 +441,12 @@ def test_ttl_fold_carries_state_across_arrow_batches(spark):
     finally:
         spark.conf.set(key, old)
     assert got == _replay_python(rows, 120.0)
+
+
+def test_scratch_under_checkpoint_dir_and_cluster_sizing(spark):
+    from zonepulse.session import cluster_conf, scratch_path
+    root = spark.sparkContext.getCheckpointDir()
+    assert root and scratch_path(spark, "x").startswith(root.rstrip("/"))
+    conf = cluster_conf(100 << 40, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+    assert int(cluster_conf(1 << 20, 64)["spark.sql.shuffle.partitions"]) == 192
