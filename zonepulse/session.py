@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +31,10 @@ BASE_CONF = {
 }
 
 
+#: Intermediates written by this process and not yet released.
+_SCRATCH: list[str] = []
+
+
 def build_session(master: str = "local[*]", app: str = "zonepulse",
                   shuffle_partitions: int = 8, conf: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
@@ -48,15 +55,40 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Functions of Python operators are pickled by reference, so workers must be able to
+    import the package wherever the job was started from. Spark's file server hands the
+    archive out; nothing is read from a shared folder.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_zonepulse_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="zonepulse-ship-"), "zonepulse.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(archive)
+    sc._zonepulse_shipped = True
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared storage).
-    Only when nothing is configured (local tests) a folder is created here.
+    This is the folder named by ``spark.checkpoint.dir`` (shared storage on a cluster).
+    Where nothing is configured, a folder is created only for a local master, as in
+    tests; on a cluster every executor would write to a disk of its own, so it is an error.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="zonepulse-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -65,7 +97,19 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written intermediates."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediates written so far; call it once their results are consumed."""
+    jvm, gone = spark.sparkContext._jvm, 0
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        gone += bool(path.getFileSystem(conf).delete(path, True))
+    return gone
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
