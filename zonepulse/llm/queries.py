@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.llm.mixing import op1_mix_sources
+from zonepulse.llm.simhash import op3_simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_simhash_dedup": op3_simhash_dedup,
 }
 
 ORACLES: dict[str, str] = {}
