@@ -42,7 +42,8 @@ from zonepulse.llm.common import read_table
 #: Fixed value: the run pattern of the tokenizer file, for text without white space.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
 #: White space of the file's patterns; str.split() takes these and the four below.
-SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
+SPACE = re.compile("[%s]+" % "".join(map(chr, (
+    *range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD_END = "</w>"
 
