@@ -1,0 +1,87 @@
+"""Secret scans against Python's regex engine and a window-by-window entropy."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+
+from zonepulse.llm import secret_scan as S
+
+ASSIGN = re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|"""
+                    r"""[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def entropy(window):
+    return -sum(c / len(window) * math.log2(c / len(window)) for c in Counter(window).values())
+
+
+def brute(text):
+    text = text or ""
+    base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    more = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        t = m[0]
+        if not re.search("[0-9]", t) or any(s < m.end() and m.start() < e for s, _, e in base):
+            continue
+        if re.fullmatch("[0-9a-f]+", t) and re.search("[a-f]", t):
+            limit = 2.9
+        elif re.search("[a-z]", t) and re.search("[A-Z]", t):
+            limit = 3.7
+        else:
+            continue
+        if re.search(r"(?i)example|abcdef|0123456|1234567|deadbeef|(.)\1{7}", t):
+            continue
+        if round(max(entropy(t[i:i + 20]) for i in range(len(t) - 19)), 9) >= limit:
+            more.append((m.start(), 3, m.end()))
+    kinds = ("assign", "access", "hex", "entropy")
+    show = lambda x: ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in sorted(x))
+    return [sum(k == i for _, k, _ in base) for i in range(3)], hashlib.sha256(show(base).encode()).hexdigest(), show(base + more)
+
+
+def texts():
+    rnd = random.Random(8)
+    b64 = lambda n: "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    hexa = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    parts = [lambda: " plain words é 😀 \n", lambda: f'ToKen = "{hexa(40)}"', lambda: f"api_key:{b64(7)}", lambda: f"APIKEY= '{b64(12)}'",
+             lambda: "AKIA" + b64(20).upper().replace("+", "A").replace("/", "B"), lambda: "AKIASHORT", lambda: hexa(31),
+             lambda: hexa(70), lambda: b64(45), lambda: b64(20), lambda: "aaaaaaaaaaaaaaaaaaaaaaaaA1", lambda: "AnExampleExample0123456789abcXYZ",
+             lambda: "thereisnothinginthiswordatall", lambda: "password: hunter2 secret=", lambda: hexa(24), lambda: "ſecret=abcdefgh1 toKen=12345678",
+             lambda: "aB1" * 9, lambda: "password==" + b64(9)]
+    out = ["".join(rnd.choice(parts)() + rnd.choice([" ", "", "\n", "="]) for _ in range(rnd.randint(1, 12))) for _ in range(150)]
+    out += [None, "", " ", "\n".join(f"token={hexa(40)} é" for _ in range(700)), "x " * 50_000 + b64(3000) + " y" * 50_000]
+    return out
+
+
+def test_against_brute_force(spark):
+    rows = [(i, t, "x", 1) for i, t in enumerate(texts())]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans string, n_chars int")
+    got = S.find_secrets(docs)
+    assert got.columns == [*docs.columns, "_spans"]
+    text_of = dict((r[0], r[1]) for r in rows)
+    for r in got.select("doc_id", S._listed("_spans").alias("spans")).collect():
+        assert r.spans == brute(text_of[r.doc_id])[2], text_of[r.doc_id]
+
+
+def test_query_and_redaction(spark, tmp_path):
+    secret = "token = '0123456789abcdefXYZ'"
+    rows = [(1, f"a {secret} b", "en", "s", 99), (1, f"a {secret} b", "en", "s", 99), (2, None, None, None, None),
+            (None, "clean é", "en", "s", 7), (4, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in S.op9_secret_scan(spark, str(tmp_path)).collect()}
+    for doc_id, text, *_ in rows:
+        counts, sha, spans = brute(text)
+        r = got[doc_id]
+        assert ([r.n_assign, r.n_access, r.n_hex], r.base_sha256, r.spans) == (counts, sha, spans)
+    clean = S.redact_secrets(docs)
+    assert clean.columns == docs.columns and clean.schema["n_chars"] == docs.schema["n_chars"]
+    left = sorted(map(tuple, clean.collect()), key=str)
+    new = "a [SECRET]' b"
+    assert left == sorted([(1, new, "en", "s", len(new))] * 2 + [(2, None, None, None, None), (None, "clean é", "en", "s", 7),
+                                                                   (4, "", "en", "s", 0)], key=str)
+    assert S.find_secrets(docs.limit(0)).count() == 0
