@@ -10,12 +10,14 @@ from zonepulse.llm.bpe import op7_bpe_round_trip
 from zonepulse.llm.langid import op6_language_id
 from zonepulse.llm.merkle import op5_merkle_fingerprint
 from zonepulse.llm.mixing import op1_mix_sources
+from zonepulse.llm.quality import op4_quality_rules
 from zonepulse.llm.secret_scan import op9_secret_scan
 from zonepulse.llm.simhash import op3_simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op5_merkle_fingerprint": op5_merkle_fingerprint,
     "op6_language_id": op6_language_id,
     "op7_bpe_round_trip": op7_bpe_round_trip,
