@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.llm.bpe import op7_bpe_round_trip
+from zonepulse.llm.html_text import op8_html_extraction
 from zonepulse.llm.langid import op6_language_id
 from zonepulse.llm.merkle import op5_merkle_fingerprint
 from zonepulse.llm.mixing import op1_mix_sources
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_merkle_fingerprint": op5_merkle_fingerprint,
     "op6_language_id": op6_language_id,
     "op7_bpe_round_trip": op7_bpe_round_trip,
+    "op8_html_extraction": op8_html_extraction,
     "op9_secret_scan": op9_secret_scan,
 }
 
