@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from zonepulse.llm.bpe import op7_bpe_round_trip
 from zonepulse.llm.html_text import op8_html_extraction
 from zonepulse.llm.langid import op6_language_id
+from zonepulse.llm.license_scan import op10_license_scan
 from zonepulse.llm.merkle import op5_merkle_fingerprint
 from zonepulse.llm.mixing import op1_mix_sources
 from zonepulse.llm.quality import op4_quality_rules
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_html_extraction": op8_html_extraction,
     "op9_secret_scan": op9_secret_scan,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {}
