@@ -15,9 +15,11 @@ from zonepulse.llm.mixing import op1_mix_sources
 from zonepulse.llm.quality import op4_quality_rules
 from zonepulse.llm.secret_scan import op9_secret_scan
 from zonepulse.llm.simhash import op3_simhash_dedup
+from zonepulse.llm.suffix_dedup import op2_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_merkle_fingerprint": op5_merkle_fingerprint,
