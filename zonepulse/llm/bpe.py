@@ -77,34 +77,57 @@ class Decoder:
             raw += token.encode() if None in known else bytes(known)
         return self.open.decode(bytes(raw))
 
+    def reset(self) -> Decoder:
+        self.first = True
+        self.open.reset()
+        return self
+
     def finish(self) -> str:
         return "" if self.bytes is None else self.open.decode(b"", True)
 
 
-class _Words(dict):
-    """Encoded words; forgets all of them beyond ``limit`` entries."""
+class _Recent(dict):
+    """Entries made by ``make`` on first use. Two generations of ``limit`` entries each are
+    kept: what was not used during a whole generation is forgotten."""
 
-    def __init__(self, bpe: Bpe, limit: int) -> None:
+    def __init__(self, make, limit: int) -> None:
         super().__init__()
-        self.bpe, self.limit = bpe, limit
-
-    def __missing__(self, word: str) -> tuple[int, str, str]:
-        if word in self.bpe.special:
-            ids = [self.bpe.special[word]]
-        else:
-            ids = [i for block in self.bpe.word_ids(word) for i in block]
-        entry = (len(ids), " ".join(map(str, ids)), self.bpe.decoder().feed(ids))
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                self.clear()
-            self[word] = entry
+        self.make, self.limit, self.old = make, limit, {}
+
+    def __missing__(self, key: str) -> tuple[int, str, str]:
+        entry = self.old.get(key)
+        if entry is None:
+            entry = self.make(key)
+            if len(key) > 64:
+                return entry
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = entry
         return entry
 
 
+class _Ranks(dict):
+    """Rank of each pair; pairs that do not merge are noted as ``NEVER``, at most ``extra`` of them."""
+
+    NEVER = 1 << 60
+
+    def __init__(self, merges: list[tuple[str, str]], extra: int = 300_000) -> None:
+        super().__init__((m, r) for r, m in reversed(list(enumerate(merges))))
+        self.merges, self.most = merges, len(self) + extra
+
+    def __missing__(self, pair: tuple[str, str]) -> int:
+        if len(self) >= self.most:
+            self.clear()
+            self.update((m, r) for r, m in reversed(list(enumerate(self.merges))))
+        self[pair] = self.NEVER
+        return self.NEVER
+
+
 class Bpe:
     """Encoder and decoder of one tokenizer file (BPE over bytes with word ends)."""
 
-    def __init__(self, path: str, cache_words: int = 150_000) -> None:
+    def __init__(self, path: str, cache_words: int = 300_000) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -112,14 +135,15 @@ class Bpe:
             raise ValueError(f"{path}: not a BPE vocabulary with {WORD_END}")
         self.vocab: dict[str, int] = model["vocab"]
         self.merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.rank = {m: r for r, m in reversed(list(enumerate(self.merges)))}
+        self.rank = _Ranks(self.merges)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special_at = re.compile("|".join(
             re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
         self.byte_level = (spec.get("decoder") or {}).get("type") == "ByteLevel"
         self.symbols = byte_symbols()
-        self.words, self.runs = _Words(self, cache_words), {}
+        self.machine = self.decoder()
+        self.words, self.runs = _Recent(self._word, cache_words), _Recent(self._run, cache_words)
 
     def decoder(self) -> Decoder:
         return Decoder(self.strings, self.byte_level)
@@ -161,10 +185,9 @@ class Bpe:
 
     def merge(self, parts: list[str]) -> list[str]:
         """All merges of one window, always the highest-ranked leftmost pair next."""
-        rank = self.rank
+        rank, never = self.rank, _Ranks.NEVER
         if len(parts) <= 64:
-            get, never = rank.get, 1 << 60
-            ranks = [get(p, never) for p in zip(parts, parts[1:])]
+            ranks = list(map(rank.__getitem__, zip(parts, parts[1:])))
             while ranks:
                 best = min(ranks)
                 if best == never:
@@ -173,12 +196,12 @@ class Bpe:
                 del ranks[i]
                 parts[i] += parts.pop(i + 1)
                 if i < len(ranks):
-                    ranks[i] = get((parts[i], parts[i + 1]), never)
+                    ranks[i] = rank[parts[i], parts[i + 1]]
                 if i:
-                    ranks[i - 1] = get((parts[i - 1], parts[i]), never)
+                    ranks[i - 1] = rank[parts[i - 1], parts[i]]
             return parts
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = [(r, i, p) for i, p in enumerate(zip(parts, parts[1:])) if (r := rank.get(p)) is not None]
+        heap = [(r, i, p) for i, p in enumerate(zip(parts, parts[1:])) if (r := rank.get(p, never)) < never]
         heapq.heapify(heap)
         gone = [False] * len(parts)
         while heap:
@@ -189,9 +212,9 @@ class Bpe:
             parts[i], gone[j], after[i] = parts[i] + parts[j], True, after[j]
             if after[i] < len(parts):
                 before[after[i]] = i
-                if (r := rank.get(p := (parts[i], parts[after[i]]))) is not None:
+                if (r := rank.get(p := (parts[i], parts[after[i]]), never)) < never:
                     heapq.heappush(heap, (r, i, p))
-            if before[i] >= 0 and (r := rank.get(p := (parts[before[i]], parts[i]))) is not None:
+            if before[i] >= 0 and (r := rank.get(p := (parts[before[i]], parts[i]), never)) < never:
                 heapq.heappush(heap, (r, before[i], p))
         return [p for p, g in zip(parts, gone) if not g]
 
@@ -223,21 +246,31 @@ class Bpe:
             if out:
                 yield out
 
-    def word_ids(self, word: str) -> Iterator[list[int]]:
-        """Ids of a text without white space and special strings."""
-        text = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-        for m in RUNS.finditer(text):
-            run = m.group()
-            ids = self.runs.get(run)
-            if ids is not None:
-                yield ids
-            elif len(run) <= 64:
-                if len(self.runs) >= self.words.limit:
-                    self.runs.clear()
-                ids = self.runs[run] = next(self.run_ids(run))
-                yield ids
-            else:
-                yield from self.run_ids(run)
+    def _run(self, run: str) -> tuple[int, str, str]:
+        """Number of tokens, ids and decoded text of a run."""
+        if len(run) <= 64 and run.isascii() and run.isalnum():      # bytes that stand for themselves
+            parts = list(run)
+            parts[-1] += WORD_END
+            ids = [self.vocab[p] for p in self.merge(parts)]
+        else:
+            ids = [i for block in self.run_ids(run) for i in block]
+        return len(ids), " ".join(map(str, ids)), self.machine.reset().feed(ids)
+
+    def _word(self, word: str) -> tuple[int, str, str]:
+        """The same of a text without white space, or of a special string."""
+        if word in self.special:
+            return 1, str(self.special[word]), word
+        if word.isascii():
+            text = word.lower()
+            if text.isalpha():
+                return self.runs[text]
+        else:
+            text = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        parts = [self.runs[run] for run in RUNS.findall(text)]
+        if len(parts) == 1:
+            return parts[0]
+        return (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]),
+                ("" if self.byte_level else " ").join([p[2] for p in parts]))
 
     def split_words(self, text: str) -> list[str]:
         """Words of a text; each special string is a word of its own."""
