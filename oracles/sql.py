@@ -1,6 +1,6 @@
 """DuckDB SQL equal in result to each registered Spark query."""
 
-from oracles.views import with_views
+from oracles.views import VIEWS, with_views
 
 ORACLES: dict[str, str] = {}
 
@@ -503,3 +503,100 @@ ORACLES["ttl_replay_stream"] = ORACLES["ttl_replay"]
 
 ORACLES["request_outcomes"] = ORACLES["attempt_events"]
 ORACLES["request_outcomes_stream"] = ORACLES["attempt_events"]
+
+
+# ------------------------------------------------------------------ other paths of the same operators
+
+ORACLES["buildings_grid"] = ORACLES["buildings"]
+ORACLES["latency_percentiles_refined"] = ORACLES["latency_percentiles_by_zone"]
+ORACLES["ttl_replay_parallel"] = ORACLES["ttl_replay"]
+ORACLES["buildings_csv_fallback"] = ORACLES["buildings_roundtrip"]
+ORACLES["window_metrics_restart"] = ORACLES["window_metrics"]
+ORACLES["tiles_mixed"] = ORACLES["buildings"]
+
+ORACLES["buildings_custom_zones"] = with_views(f"""
+, g AS (SELECT i, 'G' || CAST(i AS STRING) AS zone_id,
+    {D('-33.54')} + CAST(i AS DOUBLE) * {D('0.04')} AS lo, ({D('-33.54')} + CAST(i AS DOUBLE) * {D('0.04')}) + {D('0.04')} AS hi
+  FROM (VALUES (0), (1), (2), (3)) AS t(i)
+), hit AS (
+  SELECT (SELECT min(g.i) FROM g WHERE b.latitude >= g.lo AND b.latitude <= g.hi) AS i
+  FROM buildings_raw b
+  WHERE b.area_in_meters IS NOT NULL AND b.confidence IS NOT NULL
+    AND b.longitude >= {D('-70.83')} AND b.longitude <= {D('-70.5')}
+)
+SELECT 'G' || CAST(i AS STRING) AS zone_id, count(*) AS buildings FROM hit WHERE i IS NOT NULL GROUP BY i
+""", "buildings_raw")
+
+ORACLES["attempt_telemetry"] = _rq(""", done AS (
+  SELECT event_id AS seq, CAST(epoch_us(ts) AS DOUBLE) / CAST(1000000 AS DOUBLE) + value / CAST(1000 AS DOUBLE) AS done_at FROM events
+), ev AS (
+  SELECT att.seq, query_type, zone_id, cache_key, t_start, done_at,
+    CASE WHEN cached THEN 'hit' WHEN NOT failed THEN CASE WHEN r > 0 THEN 'recovery' ELSE 'miss' END
+         WHEN r + 1 = 1 THEN 'miss' END AS e1,
+    CASE WHEN failed THEN CASE WHEN r + 1 <= 3 THEN 'retry' ELSE 'dlq' END END AS e2
+  FROM att JOIN done USING (seq))
+SELECT seq, 0 AS event_index, done_at AS timestamp, e1 AS event_type, query_type, zone_id, cache_key,
+  (done_at - t_start) * CAST(1000 AS DOUBLE) AS latency_ms FROM ev WHERE e1 IS NOT NULL
+UNION ALL
+SELECT seq, CASE WHEN e1 IS NULL THEN 0 ELSE 1 END, done_at, e2, query_type, zone_id, cache_key, CAST(0 AS DOUBLE) FROM ev WHERE e2 IS NOT NULL
+""")
+
+ORACLES["retry_envelopes"] = _rq("""SELECT CASE WHEN r + 1 <= 3 THEN 'retry' ELSE 'dlq' END AS topic,
+  'req_' || CAST(seq AS STRING) AS id, zone_id, query_type, confidence_min, bins, zone_id_b, r + 1 AS retries, t_start, cache_key
+FROM att WHERE failed""")
+
+ORACLES["request_rejects"] = """SELECT CASE WHEN event_id % 2 = 0 THEN 'not json' ELSE '{"req": 5}' END AS value, count(*) AS n
+FROM events WHERE event_id % 89 = 0 GROUP BY 1"""
+
+ORACLES["lag_events"] = f"""
+WITH o AS (
+  SELECT v.*, high_watermark - msg_offset - 1 AS lag, query_type, zone_id, cache_key
+  FROM ({VIEWS['offsets']}) v JOIN ({VIEWS['telemetry']}) t USING (seq)
+), marked AS (
+  SELECT *, coalesce(sum(CASE WHEN lag = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY consumer_id ORDER BY seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island
+  FROM o
+), closed AS (
+  SELECT consumer_id, min_by(processed_at, seq) FILTER (WHERE lag > 0) AS opened, max(seq) FILTER (WHERE lag = 0) AS seq
+  FROM marked GROUP BY consumer_id, island
+), c AS (
+  SELECT o.consumer_id, o.seq, o.processed_at, o.query_type, o.zone_id, o.cache_key,
+    (o.processed_at - closed.opened) * CAST(1000 AS DOUBLE) AS ms
+  FROM closed JOIN o ON o.consumer_id = closed.consumer_id AND o.seq = closed.seq WHERE closed.opened IS NOT NULL
+)
+SELECT consumer_id, seq, 0 AS event_index, processed_at AS timestamp, 'consumer_lag' AS event_type, query_type, zone_id, cache_key,
+  CAST(lag AS DOUBLE) AS latency_ms FROM o WHERE lag > 0 AND lag % 10 = 0
+UNION ALL SELECT consumer_id, seq, 0, processed_at, 'recovery_time', query_type, zone_id, cache_key, ms FROM c
+UNION ALL SELECT consumer_id, seq, 1, processed_at, 'consumer_lag', query_type, zone_id, cache_key, CAST(0 AS DOUBLE) FROM c"""
+
+ORACLES["experiment_log"] = with_views("""
+, seen AS (
+  SELECT r.run_id, count(*) FILTER (WHERE event_type = 'hit') AS hits, count(*) FILTER (WHERE event_type = 'miss') AS misses,
+    count(*) FILTER (WHERE event_type = 'dlq') AS errors
+  FROM telemetry t JOIN runs r ON t.timestamp >= r.start_time AND t.timestamp < r.end_time GROUP BY r.run_id
+), e AS (
+  SELECT r.run_id, start_time, end_time, distribution, coalesce(s.hits, 0) AS h, coalesce(s.misses, 0) AS m, coalesce(s.errors, 0) AS x
+  FROM runs r LEFT JOIN seen s USING (run_id)
+)
+SELECT CAST(run_id AS BIGINT) AS experiment_id, start_time, end_time, distribution,
+  CASE WHEN distribution = 'zipf' THEN CAST('1.5' AS DOUBLE) END AS zipf_alpha, h + m AS n_requests, CAST(10 AS DOUBLE) AS request_rate,
+  h + m + x AS sent, h + m AS success, x AS errors, h AS hits, m AS misses,
+  CASE WHEN h + m + x > 0 THEN CAST(h AS DOUBLE) / CAST(h + m + x AS DOUBLE) * CAST(100 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS log_hit_rate
+FROM e""", "telemetry", "runs")
+
+_ANSWERS = ORACLES["answer_requests"]
+_REPLAYED = ORACLES["ttl_replay"]
+ORACLES["request_answers_stream"] = f"SELECT a.* FROM ({_ANSWERS}) a JOIN ({_REPLAYED}) t USING (seq) WHERE NOT t.cached"
+
+# rows without time or key are misses; order values repeat four times
+_TIMED = VIEWS["requests"].strip()
+ORACLES["ttl_replay_odd_rows"] = _rq("""SELECT CAST(floor(event_id / 4) AS BIGINT) AS seq, count(*) AS n,
+  count(*) FILTER (WHERE event_id % 13 <> 0) AS timed, count(*) FILTER (WHERE event_id % 17 <> 0) AS keyed,
+  count(*) FILTER (WHERE att.cached) AS hits
+FROM events LEFT JOIN att ON att.seq = event_id GROUP BY 1""").replace(
+    _TIMED, _TIMED + "\nWHERE event_id % 13 <> 0 AND event_id % 17 <> 0")
+
+# the third batch counts only in windows that end after the first batch's watermark
+ORACLES["window_metrics_late"] = ORACLES["window_metrics"].replace(
+    "FROM w GROUP BY ws",
+    "FROM w WHERE seq % 3 < 2 OR ws + 60 > (SELECT max(sec) - 60 FROM e WHERE seq % 3 = 0) GROUP BY ws")

@@ -12,6 +12,7 @@ from zonepulse.operators import telemetry as tel
 from zonepulse.plans import request_flow as flow
 from zonepulse.plans.metrics_job import start_metrics_job
 from zonepulse.sources import fixtures as fx
+from zonepulse.sources import requests_io as rio
 from zonepulse.sources import telemetry_io as tio
 from zonepulse.streaming.router import route_batch
 from zonepulse.streaming.ttl_state import ttl_replay_stream
@@ -111,11 +112,55 @@ def test_ttl_stream_equals_batch_over_many_batches(spark, tmp_dir):
 def test_router_writes_three_outputs(spark, tmp_dir):
     a = spark.createDataFrame([(1, True, None, 0), (2, False, "x", 0), (3, False, "x", 3)],
                               "seq long, cached boolean, error_reason string, retries int")
+    a = a.selectExpr("*", "concat('r', seq) AS id", "'Z1' AS zone_id", "'Q4' AS query_type", "0.5D AS confidence_min",
+                     "7 AS bins", "'Z2' AS zone_id_b", "9.5D AS t_start", "'k' AS cache_key")
     route_batch(tmp_dir)(a, 0)
     route_batch(tmp_dir)(a, 0)  # a retried batch overwrites its own output
-    got = {r: sorted(x.seq for x in spark.read.parquet(f"{tmp_dir}/{r}").collect())
+    got = {r: sorted(x.seq for x in spark.read.parquet(f"{tmp_dir}/routed/{r}").collect())
            for r in ("answer", "retry", "dlq")}
     assert got == {"answer": [1], "retry": [2], "dlq": [3]}
+    again = rio.decode_requests(spark.read.option("recursiveFileLookup", True).text(f"{tmp_dir}/retry")).collect()
+    assert [(r.id, r.retries, r.t_start, r.cache_key, r.zone_id, r.zone_id_b, r.query_type, r.confidence_min, r.bins)
+            for r in again] == [("r2", 1, 9.5, "k", "Z1", "Z2", "Q4", 0.5, 7)]
+
+
+def test_retry_loop_closes(spark, tmp_dir):
+    """The consumer reads its own retry output until a failing request reaches the dead letters."""
+    b = prepare_buildings(fx.buildings_raw(spark, SF_SMALL))
+    os.makedirs(f"{tmp_dir}/out/retry")
+    bad = {"id": "bad", "req": {"zone_id": "Z9", "query_type": "Q1", "confidence_min": 0.5, "bins": 5}, "t_start": 100.0}
+    good = {"id": "good", "req": {"zone_id": "Z1", "query_type": "Q1"}, "t_start": 100.0}
+    _write_json_file(f"{tmp_dir}/main", [bad, good, 7])
+    for _ in range(4):
+        msgs = rio.read_requests_stream(spark, "text", (f"{tmp_dir}/main", f"{tmp_dir}/out/retry"))
+        flow.start_request_consumer(msgs, b, 300.0, f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
+                                    trigger={"availableNow": True}).awaitTermination()
+    events = spark.read.parquet(f"{tmp_dir}/out/events").collect()
+    of = lambda i: sorted(r.event_type for r in events if r.id == i)
+    assert of("bad") == ["dlq", "miss", "retry", "retry", "retry"] and of("good") == ["miss"] and len(events) == 6
+    assert all(r.latency_ms > 0 for r in events if r.event_type == "miss") and all(r.timestamp > 1e9 for r in events)
+    dead = rio.decode_requests(spark.read.option("recursiveFileLookup", True).text(f"{tmp_dir}/out/dlq")).collect()
+    assert [(r.id, r.retries, r.t_start, r.cache_key) for r in dead] == [("bad", 4, 100.0, "count:Z9:conf=0.5")]
+    answers = spark.read.parquet(f"{tmp_dir}/out/answers").collect()
+    assert [(r.id, r["count"] > 0) for r in answers] == [("good", True)]
+
+
+def test_compaction_commit_marker_and_retention(spark, tmp_dir):
+    from zonepulse.streaming.upsert import compact
+    def change(batch, rows):
+        spark.createDataFrame(rows, "doc_id string, v int").write.mode("overwrite").parquet(f"{tmp_dir}/t/changes/batch_id={batch}")
+    now = lambda: sorted(tuple(r) for r in read_upserted(spark, f"{tmp_dir}/t").select("doc_id", "v").collect())
+    for i in range(5):
+        change(i, [("a", i), (f"d{i}", i)])
+        compact(spark, f"{tmp_dir}/t")
+        want = sorted([("a", i)] + [(f"d{k}", k) for k in range(i + 1)])
+        assert now() == want
+    assert sorted(os.listdir(f"{tmp_dir}/t/versions")) == ["upto=3", "upto=4"]
+    assert sorted(os.listdir(f"{tmp_dir}/t/changes")) == ["batch_id=4"]
+    # a version without its marker (a crash while writing) is not read
+    spark.createDataFrame([("a", -1, 9)], "doc_id string, v int, batch_id int").write.parquet(f"{tmp_dir}/t/versions/upto=9")
+    os.remove(f"{tmp_dir}/t/versions/upto=9/_SUCCESS")
+    assert now() == want
 
 
 def test_request_consumer_stream_equals_batch(spark, tmp_dir):
@@ -143,8 +188,8 @@ def test_request_consumer_stream_equals_batch(spark, tmp_dir):
     rep = flow.replayed(rio.decode_requests(batch_msgs), b, 3600.0)
     want = sorted((r.id, r.event_index, r.event_type) for r in rq.attempt_events(rep).collect())
     assert got == want and len(got) >= len(env)
-    routed = spark.read.parquet(f"{tmp_dir}/out/retry").count() + \
-        spark.read.parquet(f"{tmp_dir}/out/dlq").count()
+    routed = spark.read.parquet(f"{tmp_dir}/out/routed/retry").count() + \
+        spark.read.parquet(f"{tmp_dir}/out/routed/dlq").count()
     assert routed == rep.where(~F.col("cached") & F.col("error_reason").isNotNull()).count()
 
 

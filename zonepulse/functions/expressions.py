@@ -16,9 +16,48 @@ POINT_PATTERN = r"POINT \(([^ ]+) ([^ )]+)\)"
 KM_PER_DEGREE = 111.0
 
 
+# Epoch seconds of the years 1 to 9999; anything else is no event time.
+MIN_EPOCH, MAX_EPOCH = -62_135_596_800.0, 253_402_300_799.0
+
+
 def event_time_from_epoch(epoch_seconds: Column) -> Column:
-    """Epoch seconds (double) -> TIMESTAMP truncated toward zero to whole seconds."""
-    return F.timestamp_seconds(epoch_seconds.cast("bigint"))
+    """Epoch seconds (double) -> TIMESTAMP truncated toward zero to whole seconds.
+
+    Null for values outside the years 1 to 9999, NaN included: one bad message must not
+    fail the job, and rows without an event time are dropped by ``drop_invalid``.
+    """
+    inside = epoch_seconds.between(F.lit(MIN_EPOCH), F.lit(MAX_EPOCH)) & ~F.isnan(epoch_seconds)
+    return F.when(inside, F.timestamp_seconds(epoch_seconds.try_cast("bigint")))
+
+
+def float_text(c: Column) -> Column:
+    """A double as the shortest decimal text, plain between 1e-4 and 1e16, else ``1e-05`` style.
+
+    The engine's own text switches to an exponent at 1e-3 and 1e7 and writes it as
+    ``1.0E-5``; digits and exponent are taken from it and laid out anew.
+    """
+    s = c.cast("double").cast("string")
+
+    def parts(text: Column) -> Column:
+        part = lambda i: F.regexp_extract(text, r"^(-?)(\d)\.(\d+)E(-?\d+)$", i)
+        return F.struct(part(1).alias("sign"), F.concat(part(2), F.when(part(3) == "0", F.lit("")).otherwise(part(3))).alias("d"),
+                        part(4).try_cast("int").alias("e"))
+
+    def laid_out(p: Column) -> Column:
+        sign, d, e, n = p["sign"], p["d"], p["e"], F.length(p["d"])
+        tail = F.substring(d, F.lit(2), n)
+        wide = F.concat(sign, F.left(d, F.lit(1)), F.when(n > 1, F.concat(F.lit("."), tail)).otherwise(F.lit("")), F.lit("e"),
+                        F.when(e < 0, F.lit("-")).otherwise(F.lit("+")), F.when(F.abs(e) < 10, F.lit("0")).otherwise(F.lit("")),
+                        F.abs(e).cast("string"))
+        return (F.when((e < 0) & (e >= -4), F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -e - 1), d))
+                .when((e >= 0) & (e < 16) & (n <= e + 1), F.concat(sign, F.rpad(d, e + 1, "0"), F.lit(".0")))
+                .when((e >= 0) & (e < 16), F.concat(sign, F.substring(d, F.lit(1), e + 1), F.lit("."), F.substring(d, e + 2, n)))
+                .otherwise(wide))
+
+    # arrays of one bind what is used several times, so it is computed (and compiled) once
+    laid = F.transform(F.transform(F.array(s), parts), laid_out)[0]
+    return (F.when(F.isnan(c), F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
+            .when(s.contains("E"), laid).otherwise(s))
 
 
 def _text(c: Column) -> Column:
@@ -29,7 +68,8 @@ def _text(c: Column) -> Column:
 def cache_key(query_type: Column, zone_id: Column, zone_id_b: Column,
               confidence_min: Column, bins: Column) -> Column:
     """Canonical cache key of a request; unknown query types hash all parameters."""
-    z, zb, c, b = _text(zone_id), _text(zone_id_b), _text(confidence_min), _text(bins)
+    z, zb, b = _text(zone_id), _text(zone_id_b), _text(bins)
+    c = F.coalesce(float_text(confidence_min), F.lit("None"))
     conf = F.concat(F.lit(":conf="), c)
     return (F.when(query_type == "Q1", F.concat(F.lit("count:"), z, conf))
             .when(query_type == "Q2", F.concat(F.lit("area:"), z, conf))

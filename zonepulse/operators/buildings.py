@@ -16,6 +16,9 @@ from zonepulse.sources.zones import ZONE_ROWS, global_bbox
 # Zone tables up to this size become an inline CASE chain (no join at all).
 MAX_INLINE_ZONES = 256
 
+# Areas are added up as decimals, so a sum does not depend on the order of its rows.
+AREA = "decimal(28,9)"
+
 COORDS = ("latitude", "longitude", "area_in_meters", "confidence")
 
 
@@ -33,10 +36,17 @@ def parse_point(df: DataFrame) -> DataFrame:
     return df.drop("longitude").select("*", F.inline(F.array(point)))
 
 
-def filter_global_bbox(df: DataFrame) -> DataFrame:
-    """Keep points inside the box spanning all zones (inclusive). Literal bounds,
-    so the predicate reaches the Parquet scan."""
-    lat_min, lat_max, lon_min, lon_max = global_bbox()
+def filter_global_bbox(df: DataFrame, zones: DataFrame | None = None) -> DataFrame:
+    """Keep points inside the box spanning all zones (inclusive). Literal bounds (of a
+    zone table passed in: four numbers from one aggregate), so the predicate reaches the
+    Parquet scan. Without any zone no point is kept."""
+    if zones is None:
+        lat_min, lat_max, lon_min, lon_max = global_bbox()
+    else:
+        lat_min, lat_max, lon_min, lon_max = zones.agg(
+            F.min("lat_min"), F.max("lat_max"), F.min("lon_min"), F.max("lon_max")).first()
+        if lat_min is None:
+            return df.where(F.lit(False))
     return df.where(F.col("latitude").between(lat_min, lat_max)
                     & F.col("longitude").between(lon_min, lon_max))
 
@@ -125,7 +135,7 @@ def with_zone_area(zones: DataFrame) -> DataFrame:
 
 def prepare_buildings(raw: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """P3 -> P4 -> P5 -> J1: tiles to buildings with a zone."""
-    return assign_zone(project_complete(filter_global_bbox(parse_point(raw))), zones)
+    return assign_zone(project_complete(filter_global_bbox(parse_point(raw), zones)), zones)
 
 
 # ------------------------------------------------------------- A13
@@ -149,7 +159,8 @@ def reduce_by_confidence(buildings: DataFrame) -> DataFrame:
     conf = F.col("confidence")
     return (buildings.where(conf.isNotNull() & ~F.isnan(conf))
             .groupBy("zone_id", "confidence")
-            .agg(F.count(F.lit(1)).alias("_n"), F.sum("area_in_meters").alias("_area")))
+            .agg(F.count(F.lit(1)).alias("_n"),
+                 F.sum(F.col("area_in_meters").cast(AREA)).alias("_area")))  # exact: no order of addition
 
 
 def threshold_stats(buildings: DataFrame, params: DataFrame) -> DataFrame:
@@ -164,7 +175,7 @@ def threshold_stats(buildings: DataFrame, params: DataFrame) -> DataFrame:
     return (p.join(hits, ["zone_id", "confidence_min"], "left")
             .select("zone_id", "confidence_min",
                     F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("count"),
-                    F.col("_area").alias("total_area")))
+                    F.col("_area").cast("double").alias("total_area")))
 
 
 def zone_areas(spark: SparkSession, zones: DataFrame | None = None) -> DataFrame:

@@ -81,3 +81,27 @@ def backlog_episodes(offsets: DataFrame, key: str = "consumer_id", order: str =
                       F.col("open.t").alias("open_time"), F.col("close.o").alias("close_seq"),
                       F.col("close.t").alias("close_time"),
                       ((F.col("close.t") - F.col("open.t")) * F.lit(1000.0)).alias("duration_ms"))
+
+
+def lag_events(offsets: DataFrame, every: int = 10, key: str = "consumer_id", order: str = "seq",
+               time_col: str = "processed_at", block: int = SEQ_BLOCK) -> DataFrame:
+    """W1 and W2 as telemetry: the events a consumer emits about its backlog.
+
+    Every positive lag that is a multiple of ``every`` gives ``consumer_lag`` with the lag as
+    value. The message that closes an episode gives ``recovery_time`` (milliseconds) and
+    ``consumer_lag`` 0, with its own query type, zone and cache key, so that A9 can read
+    them. ``offsets`` carries query_type, zone_id and cache_key of each message.
+    """
+    message = ["query_type", "zone_id", "cache_key"]
+    rows = with_lag(offsets).select(key, order, F.col(time_col).alias("timestamp"), *message, "lag")
+    samples = rows.where((F.col("lag") > 0) & (F.col("lag") % every == 0)).select(
+        key, order, F.lit(0).alias("event_index"), "timestamp", F.lit("consumer_lag").alias("event_type"), *message,
+        F.col("lag").cast("double").alias("latency_ms"))
+    closed = backlog_episodes(offsets, key, order, time_col, block).select(
+        key, F.col("close_seq").alias(order), "duration_ms")
+    both = F.array(F.struct(F.lit(0).alias("event_index"), F.lit("recovery_time").alias("event_type"),
+                            F.col("duration_ms").alias("latency_ms")),
+                   F.struct(F.lit(1).alias("event_index"), F.lit("consumer_lag").alias("event_type"),
+                            F.lit(0.0).alias("latency_ms")))
+    closing = rows.join(closed, [key, order]).select(key, order, "timestamp", *message, F.inline(both))
+    return samples.unionByName(closing.select(*samples.columns))

@@ -6,8 +6,7 @@ from collections.abc import Sequence
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,9 +14,12 @@ from pyspark.sql import Window
 
 from zonepulse.functions import cache_key
 from zonepulse.operators import buildings as bld
+from zonepulse.session import scratch_table
 
 QUERY_TYPES = ["Q1", "Q2", "Q3", "Q4", "Q5"]
 MAX_RETRIES = 3
+#: A histogram of more bins is refused: its answer would be one array of that length.
+MAX_BINS = 1_000_000
 
 
 # ------------------------------------------------------------- P7
@@ -42,13 +44,13 @@ def loaded_zones(buildings: DataFrame) -> DataFrame:
 def validate_requests(req: DataFrame, loaded: DataFrame) -> DataFrame:
     """``error_status`` and ``error_reason`` (null = valid), first failing rule wins:
     missing fields 422, unknown zone 404, Q4 without zone_id_b 400, unknown type 400,
-    Q4 with an unknown zone_id_b 500, Q5 with bins < 1 500.
+    Q4 with an unknown zone_id_b 500, Q5 with bins < 1 or above ``MAX_BINS`` 500.
 
-    ``loaded`` holds zone ids from the zone dimension, so it is bounded by that table
-    and broadcast.
+    ``loaded`` holds zone ids; whether they are small enough to broadcast is Spark's size
+    check, beyond it hot zones are split by AQE's skew handling.
     """
-    z = F.broadcast(loaded.select(F.col("zone_id").alias("_zk")).distinct())
-    zb = F.broadcast(loaded.select(F.col("zone_id").alias("_zbk")).distinct())
+    z = loaded.select(F.col("zone_id").alias("_zk")).distinct()
+    zb = loaded.select(F.col("zone_id").alias("_zbk")).distinct()
     j = (req.join(z, req.zone_id == z._zk, "left")
          .join(zb, req.zone_id_b == zb._zbk, "left"))
     qt, zone_b = F.col("query_type"), F.col("zone_id_b")
@@ -58,7 +60,8 @@ def validate_requests(req: DataFrame, loaded: DataFrame) -> DataFrame:
         ((qt == "Q4") & (zone_b.isNull() | (zone_b == "")), 400, "missing_zone_b"),
         (~qt.isin(*QUERY_TYPES), 400, "unknown_query_type"),
         ((qt == "Q4") & F.col("_zbk").isNull(), 500, "zone_b_not_found"),
-        ((qt == "Q5") & (F.col("bins").isNull() | (F.col("bins") < 1)), 500, "invalid_bins"),
+        ((qt == "Q5") & (F.col("bins").isNull() | (F.col("bins") < 1) | (F.col("bins") > MAX_BINS)),
+         500, "invalid_bins"),
     ]
     status = reason = None
     for cond, code, text in rules:
@@ -73,31 +76,37 @@ def answer_requests(req: DataFrame, buildings: DataFrame, zones: DataFrame | Non
     """Answer every valid request (Q1-Q5) in one plan.
 
     The buildings are reduced once to (zone, confidence) counts and the requests once
-    to their distinct parameter tuples; both are small, persisted, and every answer
-    table is computed from them a single time. The answers then join back to the
-    requests on their parameters (broadcast when Spark's size check allows); the answer
-    columns of other query types are null.
+    to their distinct parameter tuples (equal exchanges are reused inside the plan).
+    One table holds the answer of every tuple, and the requests meet it in a single join
+    on their parameters (broadcast when Spark's size check allows, split by AQE at hot
+    parameters beyond it); the answer columns of other query types are null.
     """
-    reduced = bld.reduce_by_confidence(buildings).persist(StorageLevel.MEMORY_AND_DISK)
+    reduced = bld.reduce_by_confidence(buildings)
     checked = validate_requests(req, loaded_zones(reduced))
     valid = checked.where(F.col("error_reason").isNull())
     params = valid.select("query_type", "zone_id", "zone_id_b", "confidence_min", "bins") \
-        .distinct().persist(StorageLevel.MEMORY_AND_DISK)
+        .distinct()
     qt = F.col("query_type")
     pair_params = params.where(qt == "Q4").select("zone_id", "zone_id_b", "confidence_min").distinct()
     conf_params = params.where(qt.isin("Q1", "Q2", "Q3", "Q4")).select("zone_id", "confidence_min") \
         .unionByName(pair_params.select(F.col("zone_id_b").alias("zone_id"), "confidence_min"))
     hist_params = params.where(qt == "Q5").select("zone_id", "bins")
 
-    stats = bld.zone_answers(reduced, conf_params, zones).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = bld.zone_answers(reduced, conf_params, zones)
     pairs = bld.compare_pairs(pair_params, stats).select(
         F.col("zone_a").alias("zone_id"), F.col("zone_b").alias("zone_id_b"), "confidence_min",
         "density_a", "density_b", "winner")
     hists = bld.q5_nested(bld.q5_histogram(reduced, hist_params))
 
-    out = (valid.join(stats, ["zone_id", "confidence_min"], "left")
-           .join(pairs, ["zone_id", "zone_id_b", "confidence_min"], "left")
-           .join(hists, ["zone_id", "bins"], "left"))
+    # one row per parameter tuple with its answer; the requests meet it in a single join
+    names = ["query_type", "zone_id", "zone_id_b", "confidence_min", "bins"]
+    answers = (params.join(stats, ["zone_id", "confidence_min"], "left")
+               .join(pairs, ["zone_id", "zone_id_b", "confidence_min"], "left")
+               .join(hists, ["zone_id", "bins"], "left"))
+    keyed = answers.select(*[F.col(c).alias(f"_{c}") for c in names],
+                           *[c for c in answers.columns if c not in names])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names]
+    out = valid.join(keyed, same, "left")
     is_ = lambda *t: qt.isin(*t)
     return out.select(
         *[c for c in req.columns],
@@ -115,10 +124,6 @@ def answer_requests(req: DataFrame, buildings: DataFrame, zones: DataFrame | Non
 
 # ------------------------------------------------------------- T4 (batch)
 
-_REPLAY_OUT = T.StructType([T.StructField("seq", T.LongType()),
-                            T.StructField("cached", T.BooleanType())])
-
-
 def fold_run(t: np.ndarray, ok: np.ndarray, expiry: float, ttl: float) -> tuple[np.ndarray, float]:
     """Cache decisions for one key's requests sorted by (t, seq), starting from
     ``expiry``; returns (cached flags, final expiry).
@@ -143,16 +148,17 @@ def fold_run(t: np.ndarray, ok: np.ndarray, expiry: float, ttl: float) -> tuple[
 
 
 def _fold_sorted(ttl: float):
-    """Fold rows sorted by (key, segment, t, seq), batch by batch; the cache state is
+    """Fold rows sorted by (_key, _segment, _t, _seq), batch by batch; the cache state is
     reset at every new (key, segment) and carried across batch boundaries. Memory is
-    one Arrow batch."""
+    one Arrow batch. All columns are passed on, ``cached`` is added."""
     def run(batches):
         carry_group, carry_expiry = None, float("-inf")
-        for pdf in batches:
-            n = len(pdf)
-            keys, segs = pdf["key"].to_numpy(), pdf["segment"].to_numpy()
-            ts = pdf["t"].to_numpy(dtype="float64")
-            ok = pdf["valid"].to_numpy(dtype=bool)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            column = lambda c: batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False)
+            keys, segs, ts, ok = (column(c) for c in ("_key", "_segment", "_t", "_valid"))
             cached = np.zeros(n, dtype=bool)
             new_run = np.ones(n, dtype=bool)
             new_run[1:] = (keys[1:] != keys[:-1]) | (segs[1:] != segs[:-1])
@@ -160,19 +166,20 @@ def _fold_sorted(ttl: float):
             for s, e in zip(starts, np.append(starts[1:], n)):
                 group = (keys[s], segs[s])
                 expiry = carry_expiry if group == carry_group else float("-inf")
-                cached[s:e], expiry = fold_run(ts[s:e], ok[s:e], expiry, ttl)
+                cached[s:e], expiry = fold_run(ts[s:e], ok[s:e].astype(bool), expiry, ttl)
                 carry_group, carry_expiry = group, expiry
-            yield pd.DataFrame({"seq": pdf["seq"].to_numpy(), "cached": cached})
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cached)], [*batch.schema.names, "cached"])
     return run
 
 
 def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col: str = "seq",
                valid_col: str = "valid", segment_limit: int = 5_000_000) -> DataFrame:
-    """T4: label each request of a log as cache hit or miss under a TTL.
+    """T4: ``req`` plus ``cached``: each request of a log as cache hit or miss under a TTL.
 
     Per cache key in (time, order) order: a request is a hit iff its time is before the
     current expiry; a miss of a valid request sets expiry = time + ttl; hits do not
-    extend it and failed requests never populate.
+    extend it and failed requests never populate. A row without key or time takes no
+    part and is a miss. Rows keep all their columns, so an order value may repeat.
 
     Keys are independent, and inside a key the log splits into segments that cannot
     influence each other: time is cut into blocks of length ``ttl``; a block whose
@@ -186,40 +193,46 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
     "next miss" function (``ttl_parallel``), so no task ever holds such a segment.
     """
     ttl = float(ttl)
-    ev = req.select(F.col("cache_key").alias("key"), F.col(order_col).cast("long").alias("seq"),
-                    F.col(time_col).cast("double").alias("t"),
-                    F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"))
-    ev = ev.withColumn("block", F.floor(F.col("t") / F.lit(ttl)).cast("long"))
-    blocks = ev.groupBy("key", "block").agg(F.max(F.col("valid").cast("int")).alias("has_valid"),
-                                            F.count(F.lit(1)).alias("rows"))
-    w = Window.partitionBy("key").orderBy("block")
-    prev_block = F.lag("block").over(w)
+    key, t = F.col("cache_key"), F.col(time_col).cast("double")
+    apart = key.isNull() | t.isNull() | F.isnan(t)
+    idle = req.where(apart).withColumn("cached", F.lit(False))
+    ev = req.where(~apart).withColumns({
+        "_key": key, "_seq": F.col(order_col).cast("long"), "_t": t,
+        "_valid": F.coalesce(F.col(valid_col), F.lit(False)),
+        "_block": F.floor(t / F.lit(ttl)).cast("long")})
+    blocks = ev.groupBy("_key", "_block").agg(F.max(F.col("_valid").cast("int")).alias("has_valid"),
+                                              F.count(F.lit(1)).alias("rows"))
+    w = Window.partitionBy("_key").orderBy("_block")
+    prev_block = F.lag("_block").over(w)
     prev_valid = F.lag("has_valid").over(w)
-    starts = blocks.withColumn("is_start", prev_block.isNull() | (prev_block != F.col("block") - 1)
+    starts = blocks.withColumn("is_start", prev_block.isNull() | (prev_block != F.col("_block") - 1)
                                | (prev_valid == 0))
-    # one row per non-empty (key, block): small, reused by the size check and the plan
-    seg = starts.withColumn("segment", F.max(F.when(F.col("is_start"), F.col("block"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow))) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    tagged = ev.join(seg.select("key", "block", "segment"), ["key", "block"]) \
-        .select("key", "segment", "t", "seq", "valid")
-
-    big = (seg.groupBy("key", "segment").agg(F.sum("rows").alias("rows"))
-           .where(F.col("rows") > segment_limit).select("key", "segment"))
-    if big.limit(1).count() == 0:
-        return _fold(tagged, ttl)
+    # one row per non-empty (key, block): small, written once for the size check and the plan
+    seg = starts.withColumn("_segment", F.max(F.when(F.col("is_start"), F.col("_block"))).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    seg = scratch_table(seg.select("_key", "_block", "_segment", "rows"), "ttl-segments")
+    tagged = ev.join(seg.select("_key", "_block", "_segment"), ["_key", "_block"])
+    big = (seg.groupBy("_key", "_segment").agg(F.sum("rows").alias("rows"))
+           .where(F.col("rows") > segment_limit).select("_key", "_segment"))
+    out = [*req.columns, "cached"]
+    if big.isEmpty():
+        return _fold(tagged, ttl).select(*out).unionByName(idle)
     from zonepulse.operators.ttl_parallel import replay_by_doubling
-    # at most rows / segment_limit entries: a bounded broadcast
-    big = F.broadcast(big.persist(StorageLevel.MEMORY_AND_DISK))
-    small = tagged.join(big, ["key", "segment"], "left_anti")
-    large = tagged.join(big, ["key", "segment"], "left_semi")
-    return _fold(small, ttl).unionByName(replay_by_doubling(large, ttl))
+    small = tagged.join(big, ["_key", "_segment"], "left_anti")
+    # a written table gives every row of the large segments a stable id of its own
+    large = scratch_table(tagged.join(big, ["_key", "_segment"], "left_semi")
+                          .withColumn("_id", F.monotonically_increasing_id()), "ttl-large")
+    labels = replay_by_doubling(large.select(
+        F.col("_key").alias("key"), F.col("_segment").alias("segment"), F.col("_seq").alias("seq"),
+        F.col("_t").alias("t"), F.col("_valid").alias("valid"), F.col("_id").alias("id")), ttl)
+    labelled = large.join(labels.withColumnRenamed("id", "_id"), "_id")
+    return (_fold(small, ttl).select(*out).unionByName(labelled.select(*out)).unionByName(idle))
 
 
 def _fold(tagged: DataFrame, ttl: float) -> DataFrame:
-    return (tagged.repartition("key", "segment")
-            .sortWithinPartitions("key", "segment", "t", "seq")
-            .mapInPandas(_fold_sorted(ttl), schema=_REPLAY_OUT))
+    rows = tagged.repartition("_key", "_segment").sortWithinPartitions("_key", "_segment", "_t", "_seq")
+    return rows.mapInArrow(_fold_sorted(ttl), T.StructType(
+        [*rows.schema.fields, T.StructField("cached", T.BooleanType())]))
 
 
 # ------------------------------------------------------------- T5 - T7
@@ -237,10 +250,15 @@ def route_failures(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataF
     })
 
 
-def attempt_events(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
+def attempt_events(attempts: DataFrame, max_retries: int = MAX_RETRIES,
+                   completed: Column | None = None) -> DataFrame:
     """Telemetry events of one attempt, in emission order (``event_index``):
     cached -> hit; answered -> recovery if retries > 0 else miss; failed -> miss only on
-    the first failure, then retry (while new retries <= max) or dlq."""
+    the first failure, then retry (while new retries <= max) or dlq.
+
+    ``completed`` (epoch seconds: a recorded column, or the clock of a live job) adds the
+    ``timestamp`` of the events and ``latency_ms`` since ``t_start``; retry and dlq
+    events have latency 0."""
     cached, failed = F.col("cached"), ~F.col("cached") & F.col("error_reason").isNotNull()
     r = F.col("retries")
     new_r = r + 1
@@ -250,7 +268,12 @@ def attempt_events(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataF
     second = F.when(failed, F.when(new_r <= max_retries, F.lit("retry")).otherwise(F.lit("dlq")))
     events = F.filter(F.array(first, second), lambda x: x.isNotNull())
     keep = [c for c in attempts.columns if c not in ("event_type",)]
-    return attempts.select(*keep, F.posexplode(events).alias("event_index", "event_type"))
+    out = attempts.select(*keep, F.posexplode(events).alias("event_index", "event_type"))
+    if completed is None:
+        return out
+    out = out.withColumn("timestamp", completed.cast("double"))
+    return out.withColumn("latency_ms", F.when(F.col("event_type").isin("retry", "dlq"), F.lit(0.0)).otherwise(
+        (F.col("timestamp") - F.col("t_start")) * F.lit(1000.0)))
 
 
 def expand_failures(req: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:

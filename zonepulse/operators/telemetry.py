@@ -197,7 +197,7 @@ def throughput_mean(df: DataFrame) -> DataFrame:
 def latency_histogram(df: DataFrame, bins: int = 30, types: Sequence[str] = ("hit", "miss")) -> DataFrame:
     """Equal-width latency histogram per event type over [min, max] of that type
     (widened by 0.5 on both sides when min = max), numpy edge rule, empty bins kept."""
-    lat = df.where(_et().isin(*types) & F.col("latency_ms").isNotNull()) \
+    lat = df.where(_et().isin(*types) & F.col("latency_ms").isNotNull() & ~F.isnan("latency_ms")) \
         .select("event_type", F.col("latency_ms").alias("x"))
     rng = lat.groupBy("event_type").agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
     rng = rng.select(

@@ -6,6 +6,7 @@ the scale factor. Output columns carry the same names as the DuckDB oracles.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,9 @@ from zonepulse.sources import requests_io as rio
 from zonepulse.sources import fixtures as fx
 from zonepulse.sources import telemetry_io as tio
 from zonepulse.sources.tables import read_table
+from zonepulse.sources.zones import zones as zone_table
 from zonepulse.streaming.ttl_state import ttl_replay_stream
-from zonepulse.streaming.upsert import read_upserted
+from zonepulse.streaming.upsert import compact, read_upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +68,13 @@ def q_latency_percentiles_by_zone(spark, sf_dir):
     return tel.latency_percentiles(fx.telemetry(spark, sf_dir), (50, 90, 95, 99), by=["zone_id"])
 
 
+@register("latency_percentiles_refined")
+def q_latency_percentiles_refined(spark, sf_dir):
+    """A8 forced through its refinement rounds: few buckets, small final brackets."""
+    return tel.latency_percentiles(fx.telemetry(spark, sf_dir), (50, 90, 95, 99), by=["zone_id"],
+                                   buckets=16, exact_limit=50)
+
+
 @register("backlog_state")
 def q_backlog_state(spark, sf_dir):
     return tel.backlog_state(fx.telemetry(spark, sf_dir))
@@ -107,7 +116,8 @@ def _buildings(spark, sf_dir):
 
 
 def _valid_requests(spark, sf_dir):
-    b = _buildings(spark, sf_dir)
+    # the reduced table serves the validation and the answers: one scan of the buildings
+    b = bld.reduce_by_confidence(_buildings(spark, sf_dir))
     req = fx.requests(spark, sf_dir)
     return rq.validate_requests(req, rq.loaded_zones(b)).where(F.col("error_reason").isNull()), b
 
@@ -123,6 +133,25 @@ def q_buildings_from_wkt(spark, sf_dir):
     return bld.prepare_buildings(raw)
 
 
+@register("buildings_grid")
+def q_buildings_grid(spark, sf_dir):
+    """J1 by the grid-cell join (the path of zone tables of any size)."""
+    points = bld.project_complete(bld.filter_global_bbox(fx.buildings_raw(spark, sf_dir)))
+    return bld.assign_zone_grid(points, zone_table(spark))
+
+
+@register("buildings_custom_zones")
+def q_buildings_custom_zones(spark, sf_dir):
+    """Preparation with another zone table: boxes of a quarter degree beside the built-in ones."""
+    tile = F.col("id").cast("int")
+    lat = F.lit(-33.54) + tile.cast("double") * F.lit(0.04)
+    zones = spark.range(4).select(
+        tile.alias("priority"), F.concat(F.lit("G"), tile.cast("string")).alias("zone_id"), F.lit("grid").alias("name"),
+        lat.alias("lat_min"), (lat + F.lit(0.04)).alias("lat_max"), F.lit(-70.83).alias("lon_min"),
+        F.lit(-70.5).alias("lon_max"), F.lit(33.4).alias("ref_lat"))
+    return bld.zone_inventory(bld.prepare_buildings(fx.buildings_raw(spark, sf_dir), zones))
+
+
 @register("zone_inventory")
 def q_zone_inventory(spark, sf_dir):
     return bld.zone_inventory(_buildings(spark, sf_dir))
@@ -193,6 +222,27 @@ def q_ttl_replay(spark, sf_dir):
     return r.select("seq", "cache_key", "cached")
 
 
+@register("ttl_replay_parallel")
+def q_ttl_replay_parallel(spark, sf_dir):
+    """T4 with every segment above 20 rows on the parallel path."""
+    r = flow.replayed(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE, segment_limit=20)
+    return r.select("seq", "cache_key", "cached")
+
+
+@register("ttl_replay_odd_rows")
+def q_ttl_replay_odd_rows(spark, sf_dir):
+    """T4 on a log with repeated order values and rows without time or key."""
+    r = fx.requests(spark, sf_dir)
+    seq = F.col("seq")
+    r = r.withColumn("t_start", F.when(seq % 13 != 0, F.col("t_start"))) \
+        .withColumn("id", seq).withColumn("seq", F.floor(seq / 4).cast("long"))
+    kv = flow.keyed_and_validated(r, _buildings(spark, sf_dir)).withColumn("valid", F.col("error_reason").isNull())
+    kv = kv.withColumn("cache_key", F.when(F.col("id") % 17 != 0, F.col("cache_key")))
+    return rq.ttl_replay(kv, TTL_FIXTURE).groupBy("seq").agg(
+        F.count("*").alias("n"), F.count("t_start").alias("timed"), F.count("cache_key").alias("keyed"),
+        F.count_if("cached").alias("hits"))
+
+
 @register("route_failures")
 def q_route_failures(spark, sf_dir):
     a = flow.attempts(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
@@ -206,6 +256,41 @@ def q_attempt_events(spark, sf_dir):
                                        "zone_id", "cache_key")
 
 
+@register("attempt_telemetry")
+def q_attempt_telemetry(spark, sf_dir):
+    """T6 as telemetry rows: the recorded completion time gives timestamp and latency."""
+    a = flow.attempts(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    a = a.join(fx.completions(spark, sf_dir), "seq")
+    return rq.attempt_events(a, completed=F.col("completed_at")).select(
+        "seq", "event_index", "timestamp", "event_type", "query_type", "zone_id", "cache_key", "latency_ms")
+
+
+def _messages(spark, sf_dir):
+    """The request log as wrapped messages, with some that are no request object."""
+    r = fx.requests(spark, sf_dir).select(
+        "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
+        F.col("attempt_retries").alias("retries"))
+    junk = r.where(F.col("seq") % 89 == 0).select(
+        "seq", F.when(F.col("seq") % 2 == 0, F.lit("not json")).otherwise(F.lit('{"req": 5}')).alias("value"))
+    return rio.encode_requests(r, keep=["seq"]).unionByName(junk)
+
+
+@register("retry_envelopes")
+def q_retry_envelopes(spark, sf_dir):
+    """T5's messages for the retry and dead-letter topics, read back by S8."""
+    out = flow.process_requests(_messages(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    both = out["retry"].withColumn("topic", F.lit("retry")).unionByName(
+        out["dlq"].withColumn("topic", F.lit("dlq")))
+    return rio.decode_requests(both, F.lit(FIXED_NOW))
+
+
+@register("request_rejects")
+def q_request_rejects(spark, sf_dir):
+    """Messages that are no request object, by their text."""
+    out = flow.process_requests(_messages(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    return out["rejects"].groupBy("value").agg(F.count("*").alias("n"))
+
+
 @register("expand_failures")
 def q_expand_failures(spark, sf_dir):
     kv = flow.keyed_and_validated(fx.requests(spark, sf_dir), _buildings(spark, sf_dir))
@@ -237,6 +322,12 @@ def q_backlog_episodes(spark, sf_dir):
     return lg.backlog_episodes(fx.offsets(spark, sf_dir))
 
 
+@register("lag_events")
+def q_lag_events(spark, sf_dir):
+    message = fx.telemetry(spark, sf_dir).select("seq", "query_type", "zone_id", "cache_key")
+    return lg.lag_events(fx.offsets(spark, sf_dir).join(message, "seq"))
+
+
 @register("assign_runs")
 def q_assign_runs(spark, sf_dir):
     return exq.assign_runs(fx.telemetry(spark, sf_dir), fx.runs(spark)).select("seq", "run_id")
@@ -314,15 +405,59 @@ def q_buildings_roundtrip(spark, sf_dir):
                                     F.sum("area_in_meters").alias("total_area"))
 
 
+@register("buildings_csv_fallback")
+def q_buildings_csv_fallback(spark, sf_dir):
+    """S11 where only the CSV copy exists."""
+    base = scratch_path(spark, "buildings-csv")
+    bio.write_buildings(_buildings(spark, sf_dir), base, formats=("csv",))
+    b = bio.load_buildings(spark, base)
+    return b.groupBy("zone_id").agg(F.count(F.lit(1)).alias("buildings"),
+                                    F.sum("area_in_meters").alias("total_area"))
+
+
+@register("tiles_mixed")
+def q_tiles_mixed(spark, sf_dir):
+    """S10 over tiles with coordinates, tiles of another column order and tiles with WKT only."""
+    path = scratch_path(spark, "tiles-mixed")
+    raw = fx.buildings_raw(spark, sf_dir)
+    pick = F.pmod(F.xxhash64("latitude", "longitude", "area_in_meters"), F.lit(3))
+    point = F.concat(F.lit("POINT ("), F.col("longitude").cast("string"), F.lit(" "), F.col("latitude").cast("string"), F.lit(")"))
+    forms = (["latitude", "longitude", "area_in_meters", "confidence"],
+             ["confidence", "geometry", "longitude", "area_in_meters", "latitude"],
+             ["area_in_meters", "confidence", point.alias("geometry"), F.lit("x").alias("full_plus_code")])
+    for i, columns in enumerate(forms):
+        raw.where(pick == i).select(*columns).write.option("header", True).option("compression", "gzip").csv(f"{path}/{i}")
+    return bld.prepare_buildings(bio.scan_tiles(spark, f"{path}/*"))
+
+
 @register("tiles_scan")
 def q_tiles_scan(spark, sf_dir):
     path = scratch_path(spark, "tiles")
-    # tiles arrive as many gzip files (one scan task each)
-    fx.buildings_raw(spark, sf_dir).repartition(8).write.option("header", True) \
-        .option("compression", "gzip").csv(path)
+    # tiles arrive as many gzip files (one scan task each); a tile holds so many rows at most
+    fx.buildings_raw(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism).write.option("header", True) \
+        .option("maxRecordsPerFile", 100_000).option("compression", "gzip").csv(path)
     return bld.prepare_buildings(bio.scan_tiles(spark, path))              # S10
 
 
+@register("experiment_log")
+def q_experiment_log(spark, sf_dir):
+    """The runs' counters appended to the experiment log in two parts and read back."""
+    path = scratch_path(spark, "experiments")
+    seen = exq.assign_runs(fx.telemetry(spark, sf_dir), fx.runs(spark)).groupBy("run_id").agg(
+        F.count_if(F.col("event_type") == "hit").alias("hits"), F.count_if(F.col("event_type") == "miss").alias("misses"),
+        F.count_if(F.col("event_type") == "dlq").alias("errors"))
+    n = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
+    rows = fx.runs(spark).drop("hits", "misses", "sent").join(seen, "run_id", "left").select(
+        F.col("run_id").cast("long").alias("experiment_id"), "start_time", "end_time", "distribution",
+        F.when(F.col("distribution") == "zipf", F.lit(1.5)).alias("zipf_alpha"),
+        (n("hits") + n("misses")).alias("n_requests"), F.lit(10.0).alias("request_rate"),
+        (n("hits") + n("misses") + n("errors")).alias("sent"), (n("hits") + n("misses")).alias("success"),
+        n("errors").alias("errors"), n("hits").alias("hits"), n("misses").alias("misses"))
+    xio.append_experiments(rows.where("experiment_id % 2 = 0"), path)
+    xio.append_experiments(rows.where("experiment_id % 2 = 1"), path)
+    return exq.experiment_hit_rate(xio.read_experiments(spark, path))
+
+
 @register("summary_roundtrip")
 def q_summary_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "summary")
@@ -343,6 +478,39 @@ def q_window_metrics_stream(spark, sf_dir):
     return read_upserted(spark, f"{base}/out")
 
 
+def _metrics_run(spark, base, **options):
+    q = start_metrics_job(spark, f"{base}/out", f"{base}/checkpoint", source="text", path=f"{base}/in",
+                          trigger={"availableNow": True}, recursiveFileLookup=True, **options)
+    q.awaitTermination()
+
+
+@register("window_metrics_late")
+def q_window_metrics_late(spark, sf_dir):
+    """Three batches (event ids modulo 3). The third meets the watermark of the first:
+    its rows count only in windows that end after it."""
+    base = scratch_path(spark, "metrics-late")
+    t = fx.telemetry(spark, sf_dir)
+    for part in range(3):
+        tio.encode_telemetry(t.where(F.col("seq") % 3 == part)).coalesce(1).write.text(f"{base}/in/{part}")
+        time.sleep(1.1)             # file times of a whole second apart keep the order of the parts
+    _metrics_run(spark, base, maxFilesPerTrigger=1)
+    return read_upserted(spark, f"{base}/out")
+
+
+@register("window_metrics_restart")
+def q_window_metrics_restart(spark, sf_dir):
+    """The job ends half way, its changes are compacted, and it goes on from its
+    checkpoint: the documents equal one run over everything."""
+    base = scratch_path(spark, "metrics-restart")
+    t = fx.telemetry(spark, sf_dir)
+    middle = t.agg(F.percentile_approx("timestamp", 0.5)).first()[0]
+    for part, rows in enumerate((t.where(F.col("timestamp") < middle), t.where(F.col("timestamp") >= middle))):
+        tio.encode_telemetry(rows).write.text(f"{base}/in/{part}")
+        _metrics_run(spark, base)
+        compact(spark, f"{base}/out")
+    return read_upserted(spark, f"{base}/out")
+
+
 @register("ttl_replay_stream")
 def q_ttl_replay_stream(spark, sf_dir):
     base = scratch_path(spark, "ttl-stream")
@@ -372,18 +540,32 @@ def q_request_outcomes(spark, sf_dir):
 
 @register("request_outcomes_stream")
 def q_request_outcomes_stream(spark, sf_dir):
-    """The streaming request consumer over the same envelopes (main topic as files, an
-    empty retry topic): its events equal the batch replay's."""
+    """The streaming request consumer over the same envelopes (first attempts on the main
+    topic, later ones on the retry topic): its events equal the batch replay's."""
+    return _consumed(spark, sf_dir).select(
+        F.regexp_extract("id", r"^req_(\d+)$", 1).cast("long").alias("seq"),
+        "event_index", "event_type", "query_type", "zone_id", "cache_key")
+
+
+@register("request_answers_stream")
+def q_request_answers_stream(spark, sf_dir):
+    """The answers that the streaming consumer writes for its misses."""
+    ans = _consumed(spark, sf_dir, "answers")
+    return ans.select(F.regexp_extract("id", r"^req_(\d+)$", 1).cast("long").alias("seq"), "query_type", "zone_id",
+                      "zone_id_b", "confidence_min", "bins", "count", "avg_area", "total_area", "n", "density_per_km2",
+                      "area_km2", "density_a", "density_b", "winner", F.when(F.col("buckets").isNotNull(), F.concat_ws(
+                          ",", F.transform(F.col("buckets"), lambda b: b["counts"].cast("string")))).alias("bucket_counts"))
+
+
+def _consumed(spark, sf_dir, output="events"):
     base = scratch_path(spark, "consumer")
     r = fx.requests(spark, sf_dir).select(
         "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
         F.col("attempt_retries").alias("retries"))
-    rio.encode_requests(r).write.text(f"{base}/main")
-    spark.createDataFrame([], "value string").write.text(f"{base}/retry")
+    rio.encode_requests(r.where("retries = 0")).write.text(f"{base}/main")
+    rio.encode_requests(r.where("retries > 0")).write.text(f"{base}/retry")
     msgs = rio.read_requests_stream(spark, "text", (f"{base}/main", f"{base}/retry"))
     q = flow.start_request_consumer(msgs, _buildings(spark, sf_dir), TTL_FIXTURE, f"{base}/out",
                                     f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
-    ev = spark.read.parquet(f"{base}/out/events")
-    return ev.select(F.regexp_extract("id", r"^req_(\d+)$", 1).cast("long").alias("seq"),
-                     "event_index", "event_type", "query_type", "zone_id", "cache_key")
+    return spark.read.parquet(f"{base}/out/{output}")

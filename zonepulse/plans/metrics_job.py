@@ -14,8 +14,8 @@ from zonepulse.streaming.windows import windowed_stream
 def start_metrics_job(spark: SparkSession, target: str, checkpoint: str, source: str = "kafka",
                       path: str | None = None, delay: str = "1 minute", length: str = "1 minute",
                       slide: str = "10 seconds", trigger: dict | None = None,
-                      **source_options) -> StreamingQuery:
+                      compact_every: int = 100, **source_options) -> StreamingQuery:
     ensure_utc(spark)
     raw = read_telemetry_stream(spark, source, path, **source_options)
     docs = windowed_stream(decode_telemetry(raw), delay, length, slide)
-    return upsert_windows(docs, target, checkpoint, trigger)
+    return upsert_windows(docs, target, checkpoint, trigger, compact_every=compact_every)

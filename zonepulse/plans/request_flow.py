@@ -15,11 +15,10 @@ def keyed_and_validated(req: DataFrame, buildings: DataFrame) -> DataFrame:
                                 rq.loaded_zones(buildings))
 
 
-def replayed(req: DataFrame, buildings: DataFrame, ttl: float) -> DataFrame:
+def replayed(req: DataFrame, buildings: DataFrame, ttl: float, **options) -> DataFrame:
     """P7 + P9 + T4: requests with ``cached`` (hit under the TTL)."""
     kv = keyed_and_validated(req, buildings).withColumn("valid", F.col("error_reason").isNull())
-    labels = rq.ttl_replay(kv, ttl)
-    return kv.join(labels, "seq")
+    return rq.ttl_replay(kv, ttl, **options)
 
 
 def attempts(req: DataFrame, buildings: DataFrame, ttl: float,
@@ -28,22 +27,28 @@ def attempts(req: DataFrame, buildings: DataFrame, ttl: float,
     return replayed(req, buildings, ttl).withColumn("retries", F.col(retries_col).cast("int"))
 
 
-def buildings_from_raw(raw: DataFrame) -> DataFrame:
-    return bld.prepare_buildings(raw)
-
-
-def process_requests(messages: DataFrame, buildings: DataFrame, ttl: float,
-                     now=None) -> dict[str, DataFrame]:
+def process_requests(messages: DataFrame, buildings: DataFrame, ttl: float, now=None,
+                     completed=None) -> dict[str, DataFrame]:
     """The request consumer as a batch job over a message log (``value`` plus an arrival
     order ``seq``): S8 -> P7 -> P9 -> T4, then J3 for the misses (hits are served from
-    the cache), T5 routing and T6 telemetry events."""
-    from zonepulse.sources.requests_io import decode_requests
-    req = decode_requests(messages, now)
+    the cache), T5 routing and T6 telemetry events.
+
+    ``rejects`` are messages that are no request object; they cause no event and no retry.
+    ``retry`` and ``dlq`` are the messages for those topics, in the form S8 reads.
+    ``completed`` is the recorded completion time of a request, where the log has one.
+    """
+    from zonepulse.sources.requests_io import decodable, decode_requests, encode_failed
+    good = messages.where(decodable(F.col("value")))
+    req = decode_requests(good, now)
     rep = replayed(req, buildings, ttl)
+    routed = rq.route_failures(rep)
     return {
         "answers": rq.answer_requests(rep.where(~F.col("cached")).select(*req.columns), buildings),
-        "routed": rq.route_failures(rep),
-        "events": rq.attempt_events(rep),
+        "routed": routed,
+        "retry": encode_failed(routed.where(F.col("route") == "retry")),
+        "dlq": encode_failed(routed.where(F.col("route") == "dlq")),
+        "events": rq.attempt_events(rep, completed=completed),
+        "rejects": messages.where(~decodable(F.col("value"))),
     }
 
 
@@ -51,28 +56,42 @@ def start_request_consumer(messages: DataFrame, buildings: DataFrame, ttl: float
                            checkpoint: str, trigger: dict | None = None):
     """The request consumer as one Structured Streaming job.
 
-    ``messages`` is the stream of S7 (value, topic, seq). Per micro-batch: decode (S8),
-    key (P7), validate against the static building table (P9, stream-static join),
-    replay the cache with per-key state (T4), then write the attempt events (T6) under
-    ``{base}/events`` and the routed attempts (T5) under ``{base}/{answer,retry,dlq}``,
-    each as an overwrite of its ``batch_id`` partition so a retried batch is idempotent.
+    ``messages`` is the stream of S7 (value, topic, seq). Before the start the buildings are
+    reduced to counts per (zone, confidence) and written once under ``{base}/reduced``, so no
+    micro-batch scans the building table; restart the job to take up new buildings. Per
+    micro-batch: decode (S8), key (P7), validate (P9), replay the cache with per-key
+    state (T4), then write, each as an overwrite of its ``batch_id`` part so that a retried
+    batch is idempotent:
+
+    * ``{base}/events``: telemetry events (T6) with the time of the batch and the latency;
+    * ``{base}/answers``: the answers (J3) of the misses that are valid;
+    * ``{base}/routed/{answer,retry,dlq}``: the attempts by route (T5);
+    * ``{base}/retry`` and ``{base}/dlq``: JSON messages; S7 reads ``{base}/retry`` back.
     """
     from pyspark import StorageLevel
 
-    from zonepulse.sources.requests_io import decode_requests
+    from zonepulse.sources.requests_io import decodable, decode_requests
     from zonepulse.streaming.router import route_batch
     from zonepulse.streaming.ttl_state import ttl_replay_stream
 
-    kv = keyed_and_validated(decode_requests(messages), buildings) \
+    spark = messages.sparkSession
+    bld.reduce_by_confidence(buildings).write.mode("overwrite").parquet(f"{base}/reduced")
+    reduced = spark.read.parquet(f"{base}/reduced")
+    kv = keyed_and_validated(decode_requests(messages.where(decodable(F.col("value")))), reduced) \
         .withColumn("valid", F.col("error_reason").isNull())
-    labelled = ttl_replay_stream(kv, ttl, keep=("id", "query_type", "zone_id", "retries",
-                                                "error_reason", "t_start"))
+    labelled = ttl_replay_stream(kv, ttl, keep=(
+        "id", "query_type", "zone_id", "zone_id_b", "confidence_min", "bins", "retries", "error_reason", "t_start"),
+        state_seconds=None if "availableNow" in (trigger or {}) else max(2 * ttl, 3600.0))
     routes = route_batch(base)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rq.attempt_events(b).write.mode("overwrite").parquet(f"{base}/events/batch_id={batch_id}")
+            now = F.unix_micros(F.current_timestamp()) / F.lit(1e6)
+            rq.attempt_events(b, completed=now).write.mode("overwrite").parquet(f"{base}/events/batch_id={batch_id}")
+            asked = b.where(~F.col("cached")).select(
+                "seq", "id", "cache_key", "query_type", "zone_id", "zone_id_b", "confidence_min", "bins", "t_start")
+            rq.answer_requests(asked, reduced).write.mode("overwrite").parquet(f"{base}/answers/batch_id={batch_id}")
             routes(b, batch_id)
         finally:
             b.unpersist()

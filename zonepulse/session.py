@@ -102,6 +102,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_table(df, name: str):
+    """Write ``df`` under the shared checkpoint folder and read it back (cuts lineage)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def release_scratch(spark: SparkSession) -> int:
     """Delete the intermediates written so far; call it once their results are consumed."""
     jvm, gone = spark.sparkContext._jvm, 0

@@ -2,41 +2,56 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from zonepulse.operators.buildings import parse_point
 from zonepulse.schemas import BUILDINGS, RAW_TILE
+from zonepulse.sources.files import data_files, exists, first_line
 
 
 def scan_tiles(spark: SparkSession, paths: list[str] | str, partitions: int | None = None) -> DataFrame:
-    """Tile CSV files (gzip by extension) with a header row.
+    """Tile CSV files (gzip by extension), each with a header row of its own.
 
-    Columns are matched by header name and cast, so extra columns or another column
-    order do not matter; a tile without coordinates keeps its WKT ``geometry``. Gzip is
-    not splittable (one task per file); ``partitions`` spreads the rows afterwards.
+    Files are grouped by their header line (only that line is read for it), every group is
+    read with its own column order and the groups are united by name. Unknown columns are
+    left out, a text that is no number is null, and tiles without coordinates take them
+    from their WKT ``geometry`` (P3). Gzip is not splittable (one task per file);
+    ``partitions`` spreads the rows afterwards.
     """
-    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(paths)
-    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_TILE.fields
-            if f.name in raw.columns]
-    df = raw.select(*cols)
-    return df.repartition(partitions) if partitions else df
-
-
-def write_buildings(df: DataFrame, base: str) -> None:
+    groups: dict[str, list[str]] = {}
+    for path in data_files(spark, paths):
+        header = first_line(spark, path)
+        if header:
+            groups.setdefault(header.removeprefix("\ufeff"), []).append(path)
+    tiles = spark.createDataFrame([], RAW_TILE)
+    for header, files in groups.items():
+        names = [n.strip() for n in next(csv.reader([header]))]
+        raw = (spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+               .option("header", True).option("enforceSchema", True).option("mode", "PERMISSIVE").csv(files))
+        known = parse_point(raw.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+                                         for f in RAW_TILE.fields if f.name in names]))
+        tiles = tiles.unionByName(known, allowMissingColumns=True)
+    return tiles.repartition(partitions) if partitions else tiles
+
+
+def write_buildings(df: DataFrame, base: str, formats: tuple[str, ...] = ("parquet", "csv")) -> None:
     """Buildings as Parquet partitioned by zone (partition pruning per zone) and CSV."""
     out = df.select(*[f.name for f in BUILDINGS.fields])
-    out.write.mode("overwrite").partitionBy("zone_id").parquet(f"{base}/parquet")
-    out.write.mode("overwrite").option("header", True).csv(f"{base}/csv")
+    if "parquet" in formats:
+        out.write.mode("overwrite").partitionBy("zone_id").parquet(f"{base}/parquet")
+    if "csv" in formats:
+        out.write.mode("overwrite").option("header", True).csv(f"{base}/csv")
 
 
 def load_buildings(spark: SparkSession, base: str) -> DataFrame:
-    """The Parquet copy if present, else the CSV copy, else an error."""
-    try:
+    """The Parquet copy if there is one, else the CSV copy, else an error. A copy that
+    exists but cannot be read is an error too, never a reason to take the other."""
+    if exists(spark, f"{base}/parquet"):
         return spark.read.parquet(f"{base}/parquet").select(*[f.name for f in BUILDINGS.fields])
-    except AnalysisException:
-        pass
-    try:
+    if exists(spark, f"{base}/csv"):
         return spark.read.schema(BUILDINGS).option("header", True).csv(f"{base}/csv")
-    except AnalysisException as e:
-        raise FileNotFoundError(f"no building table under {base}") from e
+    raise FileNotFoundError(f"no building table under {base}")

@@ -76,6 +76,14 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recorded completion time of each request: seq, completed_at."""
+    ensure_utc(spark)
+    ev = read_table(spark, sf_dir, "events", "event_id", "ts", "value")
+    return ev.select(F.col("event_id").alias("seq"),
+                     (_epoch_seconds("ts") + F.col("value") / F.lit(1000.0)).alias("completed_at"))
+
+
 def buildings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Building tiles before zone assignment (coordinates and a WKT geometry)."""
     li = read_table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",

@@ -12,25 +12,31 @@ from zonepulse.schemas import ENVELOPE, REQUEST
 REQUEST_TOPIC = "consultas_geoespaciales"
 RETRY_TOPIC = "consultas_retry"
 DLQ_TOPIC = "consultas_dlq"
+#: Messages of one micro-batch at most, so that a start on a backlog stays bounded.
+MAX_MESSAGES = 1_000_000
 
 
 def read_requests_stream(spark: SparkSession, source: str = "kafka",
                          paths: tuple[str, str] | None = None, **options) -> DataFrame:
     """The main and the retry request streams as one stream of ``value`` messages.
 
-    Kafka subscribes both topics; the text source unions two file streams. Offsets live
-    in the query checkpoint, which replaces manual commits.
+    Kafka subscribes both topics from the earliest offset; the text source unions two
+    file streams, folders below included. Offsets live in the query checkpoint, which
+    replaces manual commits.
     """
     if source == "kafka":
-        r = spark.readStream.format("kafka").option("subscribe", f"{REQUEST_TOPIC},{RETRY_TOPIC}")
+        r = (spark.readStream.format("kafka").option("subscribe", f"{REQUEST_TOPIC},{RETRY_TOPIC}")
+             .option("startingOffsets", options.pop("startingOffsets", "earliest"))
+             .option("maxOffsetsPerTrigger", options.pop("maxOffsetsPerTrigger", MAX_MESSAGES)))
         for k, v in options.items():
             r = r.option(k, v)
+        # an offset repeats across topics and partitions; all three make the order value
         return r.load().select(F.col("value").cast("string").alias("value"), "topic",
-                               F.col("offset").alias("seq"))
+                               F.xxhash64("topic", "partition", "offset").alias("seq"))
     if source == "text":
         main, retry = paths
         def one(p, topic):
-            r = spark.readStream.format("text")
+            r = spark.readStream.format("text").option("recursiveFileLookup", True)
             for k, v in options.items():
                 r = r.option(k, v)
             return r.load(p).withColumn("topic", F.lit(topic))
@@ -40,6 +46,14 @@ def read_requests_stream(spark: SparkSession, source: str = "kafka",
     raise ValueError(f"unknown request source {source!r}")
 
 
+def decodable(value: Column) -> Column:
+    """Whether a message is a request: a JSON object whose ``req``, if there is one, is an object."""
+    parsed = F.try_parse_json(value.cast("string"))
+    inner = F.try_variant_get(parsed, "$.req", "variant")
+    is_object = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+    return is_object(parsed) & (inner.isNull() | is_object(inner))
+
+
 def decode_requests(df: DataFrame, now: Column | None = None) -> DataFrame:
     """Envelope or bare request -> flat request columns.
 

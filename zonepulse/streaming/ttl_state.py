@@ -20,12 +20,13 @@ class TTLCacheProcessor(StatefulProcessor):
     """Per cache key: hit iff t < expiry; a valid miss sets expiry = t + ttl.
     Columns named in ``keep`` pass through to the output."""
 
-    def __init__(self, ttl: float, keep: tuple[str, ...] = ()):
+    def __init__(self, ttl: float, keep: tuple[str, ...] = (), state_ms: int | None = None):
         self.ttl = float(ttl)
+        self.state_ms = state_ms
         self.keep = tuple(keep)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.expiry = handle.getValueState("expiry", _EXPIRY)
+        self.expiry = handle.getValueState("expiry", _EXPIRY, self.state_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         from zonepulse.operators.requests import fold_run
@@ -47,20 +48,26 @@ class TTLCacheProcessor(StatefulProcessor):
 
 def ttl_replay_stream(req: DataFrame, ttl: float, time_col: str = "t_start",
                       order_col: str = "seq", valid_col: str = "valid",
-                      keep: tuple[str, ...] = ()) -> DataFrame:
+                      keep: tuple[str, ...] = (), state_seconds: float | None = None) -> DataFrame:
     """Streaming T4 (per-key ValueState; needs the RocksDB state store provider, which is
     selected here when the session still uses another one). ``keep`` names input
-    columns carried to the output next to cache_key, seq and cached."""
+    columns carried to the output next to cache_key, seq and cached.
+
+    With ``state_seconds`` the store drops a key that long after its last fill, so state is
+    bounded by the keys of that time; a live stream passes twice the TTL, when the expiry
+    has long passed. A bounded replay (``availableNow``) leaves it out: clock-driven state
+    would keep its trigger from ending, and its recorded clock is not the wall's."""
     from pyspark.sql import functions as F
     spark = req.sparkSession
     conf_key = "spark.sql.streaming.stateStore.providerClass"
     if "RocksDB" not in (spark.conf.get(conf_key, "") or ""):
         spark.conf.set(conf_key, ROCKSDB_PROVIDER)
+    state_ms = int(1000 * state_seconds) if state_seconds else None
     keep = tuple(c for c in keep if c not in ("cache_key", "seq", "t", "valid", "cached"))
     ev = req.select(F.col("cache_key"), F.col(order_col).cast("long").alias("seq"),
                     F.col(time_col).cast("double").alias("t"),
                     F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"), *keep)
     schema = T.StructType(list(REPLAY_SCHEMA.fields) + [ev.schema[c] for c in keep])
     return ev.groupBy("cache_key").transformWithStateInPandas(
-        statefulProcessor=TTLCacheProcessor(ttl, keep), outputStructType=schema,
-        outputMode="Append", timeMode="None")
+        statefulProcessor=TTLCacheProcessor(ttl, keep, state_ms), outputStructType=schema,
+        outputMode="Append", timeMode="ProcessingTime" if state_ms else "None")
