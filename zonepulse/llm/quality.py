@@ -163,7 +163,9 @@ def best_threshold(good: np.ndarray, bad: np.ndarray) -> float:
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, base counts, llr, base_failed and kept of every document."""
     marks = materialise(trusted_labels(labels), "quality-labels")
-    trusted = docs.select("doc_id", "text").join(marks.where("_good").select("doc_id"), "doc_id", "left_semi")
+    # labels grow with the corpus: dealt by doc_id like the texts, at every size
+    good = marks.where("_good").select("doc_id").hint("shuffle_hash")
+    trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
     ratio = log_ratio(gram_counts(trusted), gram_counts(docs))
     scored = materialise(score(docs, ratio), "quality-scores")
     base_failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
