@@ -73,6 +73,14 @@ def test_grouped_ranks_with_rounds(spark):
         assert got[g] == (d[len(d) * 50 // 100 - 1], d[len(d) * 95 // 100 - 1])
 
 
+def test_ranks_with_infinite_and_huge_values(spark):
+    xs = [float("-inf")] * 3 + [-1.7e308, 1.7e308, 5e-324, 0.0] + [float(i) for i in range(60)] + [float("inf")] * 2
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for k in (1, 4, 5, 30, len(xs) - 2, len(xs)):
+        got = select_ranks(df, "x", {"r": lambda n, k=k: F.lit(k)}, buckets=4, exact_limit=1).first()
+        assert (got.n, got.r) == (len(xs), sorted(xs)[k - 1])
+
+
 def test_percentiles_empty_are_zero(spark):
     df = spark.createDataFrame([(1.0, "retry", "Q1", "Z1", "k", 5.0, 1)],
                                "timestamp double, event_type string, query_type string, zone_id string, "

@@ -21,10 +21,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from zonepulse.session import scratch_table
+
 RankFn = Callable[[Column], Column]
 
 _V, _NAME, _K, _LO, _HI, _CNT = "_v", "_rank_name", "_k", "_lo", "_hi", "_cnt"
@@ -46,9 +47,18 @@ def median_ranks() -> dict[str, RankFn]:
 
 
 def _bucket(buckets: int) -> Column:
+    """Sub-range of a value in its bracket, monotone in the value. The ends of a bracket of two
+    values or more never share one, infinite ends included, so every round narrows it."""
     v, lo, hi = F.col(_V), F.col(_LO), F.col(_HI)
-    raw = F.floor((v - lo) / (hi - lo) * F.lit(float(buckets)))
-    return F.when(hi > lo, F.least(raw, F.lit(buckets - 1).cast("long"))).otherwise(F.lit(0).cast("long"))
+    n, top = F.lit(float(buckets)), F.lit(buckets - 1).cast("long")
+    plain = F.least(F.floor((v - lo) / (hi - lo) * n), top)
+    # an end beyond the finite numbers has a sub-range of its own; halves keep the width finite
+    most = F.lit(1.7976931348623157e308)
+    a, b = F.greatest(lo, -most) / 2, F.least(hi, most) / 2
+    inner = F.when(b > a, F.least(F.floor((v / 2 - a) / (b - a) * (n - 2)), top - 2)).otherwise(F.lit(0).cast("long")) + 1
+    wide = F.when(v == float("-inf"), F.lit(0).cast("long")).when(v == float("inf"), top).otherwise(inner)
+    return (F.when(hi == lo, F.lit(0).cast("long"))
+            .when((hi - lo) < float("inf"), plain).otherwise(wide))
 
 
 def _candidates(data: DataFrame, tgt: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -73,14 +83,14 @@ def _candidates(data: DataFrame, tgt: DataFrame, by: Sequence[str]) -> DataFrame
 
 def select_ranks(df: DataFrame, value: str, ranks: dict[str, RankFn],
                  by: Sequence[str] = (), buckets: int = 4096,
-                 exact_limit: int = 200_000, max_rounds: int = 12) -> DataFrame:
+                 exact_limit: int = 200_000) -> DataFrame:
     """One row per group: ``by`` columns, ``n`` and one column per entry of ``ranks``."""
     by = list(by)
     v = F.col(value)
     data = df.select(*by, v.cast("double").alias(_V)).where(v.isNotNull() & ~F.isnan(v))
     # one row per group, reused by every round and the result
-    stats = data.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min(_V).alias(_LO),
-                                  F.max(_V).alias(_HI)).persist(StorageLevel.MEMORY_AND_DISK)
+    stats = scratch_table(data.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.min(_V).alias(_LO), F.max(_V).alias(_HI)), "rank-groups")
     names = list(ranks)
     tgt = stats.select(*by, F.col(_LO), F.col(_HI), F.col("n").alias(_CNT), F.explode(F.array(*[
         F.struct(F.lit(name).alias(_NAME), ranks[name](F.col("n")).cast("long").alias(_K))
@@ -88,13 +98,12 @@ def select_ranks(df: DataFrame, value: str, ranks: dict[str, RankFn],
     tgt = tgt.where((F.col(_K) >= 1) & (F.col(_K) <= F.col(_CNT)))
 
     found = []  # (group, rank) pairs already resolved
-    for _ in range(max_rounds):
-        tgt = tgt.persist(StorageLevel.MEMORY_AND_DISK)
+    while True:
+        tgt = scratch_table(tgt, "rank-brackets")
         single = tgt.where(F.col(_LO) == F.col(_HI))
         found.append(single.select(*by, _NAME, F.col(_LO).alias("_value")))
         open_ = tgt.where(F.col(_LO) < F.col(_HI))
-        big = open_.where(F.col(_CNT) > exact_limit).limit(1).count()
-        if big == 0:
+        if open_.where(F.col(_CNT) > exact_limit).isEmpty():
             break
         cand = _candidates(data, open_, by).withColumn("_b", _bucket(buckets))
         hist = cand.groupBy(*by, _NAME, _K, "_b").agg(
@@ -105,13 +114,7 @@ def select_ranks(df: DataFrame, value: str, ranks: dict[str, RankFn],
         tgt = (hist.where((F.col("_cum") - F.col(_CNT) < F.col(_K)) & (F.col(_K) <= F.col("_cum")))
                .select(*by, _NAME, (F.col(_K) - (F.col("_cum") - F.col(_CNT))).alias(_K),
                        _LO, _HI, _CNT))
-    else:
-        tgt = tgt.persist(StorageLevel.MEMORY_AND_DISK)
-        found.append(tgt.where(F.col(_LO) == F.col(_HI)).select(*by, _NAME, F.col(_LO).alias("_value")))
-        open_ = tgt.where(F.col(_LO) < F.col(_HI))
-
-    # Final: rank the remaining candidates; partitions hold at most exact_limit rows
-    # (or the bracket after max_rounds refinements).
+    # Final: rank the remaining candidates; partitions hold at most exact_limit rows.
     cand = _candidates(data, open_, by)
     w = Window.partitionBy(*by, _NAME).orderBy(_V)
     ranked = (cand.withColumn("_rn", F.row_number().over(w))
