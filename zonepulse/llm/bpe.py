@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from zonepulse.llm.common import read_table
+from zonepulse.llm.common import read_table, small_batches
 
 #: Fixed value: the run pattern of the tokenizer file, for text without white space.
 RUNS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+")
@@ -355,7 +355,7 @@ def _map_text(docs: DataFrame, keep: list[str], fields: list[StructField], row,
                 + [pa.array(list(c), kinds[f.dataType.simpleString()]) for c, f in zip(columns, fields)],
                 [*keep, *(f.name for f in fields)])
 
-    return source.mapInArrow(run, StructType([*(docs.schema[k] for k in keep), *fields]))
+    return small_batches(source).mapInArrow(run, StructType([*(docs.schema[k] for k in keep), *fields]))
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -13,6 +13,10 @@ from zonepulse.session import scratch_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch that carries whole texts.
+TEXTS_PER_BATCH = 500
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -29,6 +33,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batches to ``TEXTS_PER_BATCH`` rows.
+
+    A Python worker and the JVM each hold a batch of whole texts; the default of 10,000
+    rows is meant for numbers. The setting stays, it changes no result.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= TEXTS_PER_BATCH:
+        conf.set(key, str(TEXTS_PER_BATCH))
+    return df
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as long; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from zonepulse.llm.common import read_table
+from zonepulse.llm.common import read_table, small_batches
 
 DEPTH = 6
 
@@ -293,7 +293,7 @@ def extract_text(pages: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"])
 
-    return source.mapInArrow(run, StructType([
+    return small_batches(source).mapInArrow(run, StructType([
         source.schema["page_id"], source.schema["url"], StructField("text", StringType()), StructField("n_chars", LongType())]))
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from zonepulse.llm.common import read_table
+from zonepulse.llm.common import read_table, small_batches
 
 DIM = 1 << 12
 PER_LANGUAGE = 200
@@ -200,7 +200,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
                      pa.array([letters] * len(out), pa.string()), pa.array(out, pa.binary())],
                     ["h", "lang", "letters", "x"])
 
-    rows = (picked.withColumn("_h", rank).mapInArrow(vectors, "h bigint, lang string, letters string, x binary")
+    rows = (small_batches(picked).withColumn("_h", rank).mapInArrow(vectors, "h bigint, lang string, letters string, x binary")
             .orderBy("h", "lang", "x").limit(3 * per_language * len(counts)).collect())
     if not rows:
         return None
@@ -219,7 +219,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                 [*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
                 [*batch.schema.names, "_lang", "_score"])
 
-    return docs.mapInArrow(run, StructType(
+    return small_batches(docs).mapInArrow(run, StructType(
         [*docs.schema.fields, StructField("_lang", StringType()), StructField("_score", DoubleType())]))
 
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import materialise, read_table
+from zonepulse.llm.common import materialise, read_table, small_batches
 
 GRAM = 4
 BUCKETS = 1 << 16
@@ -101,7 +101,7 @@ def gram_counts(docs: DataFrame) -> np.ndarray:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["bucket", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
+    rows = small_batches(docs).select("text").mapInArrow(run, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
     total = np.zeros(BUCKETS, np.int64)
     for r in rows.collect():
         total[r.bucket] = r.n
@@ -135,7 +135,7 @@ def score(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 ["doc_id", *NAMES, "llr"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
+    return small_batches(docs).select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in NAMES) + ", llr double")
 
 

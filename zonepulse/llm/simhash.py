@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from zonepulse.llm.common import materialise, read_table
+from zonepulse.llm.common import materialise, read_table, small_batches
 
 _PIECE = 1 << 20
 
@@ -82,7 +82,7 @@ def with_simhash(docs: DataFrame, shingle: int = 3, name: str = "_simhash") -> D
                 [*batch.columns, pa.array(np.array(fp, np.uint64).view(np.int64), pa.int64())],
                 [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
+    return small_batches(docs).mapInArrow(run, StructType([*docs.schema.fields, StructField(name, LongType())]))
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:

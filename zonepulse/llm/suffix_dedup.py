@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import materialise, read_table
+from zonepulse.llm.common import materialise, read_table, small_batches
 
 WINDOW = 400
 GRAM = 32
@@ -329,7 +329,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int | None = Non
         raise ValueError("a window has 8 bytes at least")
     gram = gram or min(GRAM, window // 2)
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("k1"),
+    keyed = small_batches(docs).select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("k1"),
                         F.xxhash64(F.lit(5), text, "doc_id").alias("k2"))
     # equal rows once, with their number; its exchange serves the fetch and the removal
     rows = keyed.groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"),
