@@ -35,7 +35,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from zonepulse.llm.common import read_table, small_batches
 
 DIM = 1 << 12
-PER_LANGUAGE = 200
+PER_LANGUAGE = 100
 MAX_LANGUAGES = 64
 UNKNOWN = "und"
 #: A pipeline keeps documents whose language is sure to this score.
@@ -97,22 +97,22 @@ def features(counts: np.ndarray) -> np.ndarray:
 
 def fit_svm(x: np.ndarray, y: np.ndarray, c: float = 1.0, rounds: int = 15, seed: int = 3) -> np.ndarray:
     """Linear SVM (squared hinge, bias as a last weight) by dual coordinate ascent; y is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
+    w, bias, alpha = np.zeros(x.shape[1]), 0.0, np.zeros(len(x))
     weight = np.where(y > 0, len(y) / (2 * max(1, (y > 0).sum())), len(y) / (2 * max(1, (y < 0).sum())))
     diag = 1.0 / (2 * c * weight)
-    norm = (x * x).sum(1) + diag
+    norm = np.einsum("ij,ij->i", x, x) + 1.0 + diag
     order = np.arange(len(x))
     rng = np.random.default_rng(seed)
     for _ in range(rounds):
         rng.shuffle(order)
         for i in order:
-            gradient = y[i] * (w @ x[i]) - 1 + diag[i] * alpha[i]
+            gradient = y[i] * (w @ x[i] + bias) - 1 + diag[i] * alpha[i]
             new = max(alpha[i] - gradient / norm[i], 0.0)
             if new != alpha[i]:
                 w += (new - alpha[i]) * y[i] * x[i]
+                bias += (new - alpha[i]) * y[i]
                 alpha[i] = new
-    return w.astype(np.float32)
+    return np.append(w, bias).astype(np.float32)
 
 
 class Duels:
@@ -193,7 +193,9 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
                     at = rnd.randrange(max(1, len(text) - span + 1))
                     grams = letter_grams(text[at: at + span], no_tally)
                     if grams[DIM]:
-                        out.append(features(grams).tobytes())
+                        x = features(grams)
+                        at = np.flatnonzero(x)
+                        out.append(at.astype(np.uint16).tobytes() + x[at].tobytes())   # six bytes an entry
                 letters = "".join(sorted({c for c in text.lower() if c.isalpha()}))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([h] * len(out), pa.int64()), pa.array([lang] * len(out), pa.string()),
@@ -204,7 +206,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
             .orderBy("h", "lang", "x").limit(3 * per_language * len(counts)).collect())
     if not rows:
         return None
-    x = np.stack([np.frombuffer(r.x, np.float32) for r in rows])
+    x = np.zeros((len(rows), DIM), np.float32)
+    for i, r in enumerate(rows):
+        n = len(r.x) // 6
+        x[i, np.frombuffer(r.x, np.uint16, n)] = np.frombuffer(r.x, np.float32, n, 2 * n)
     return LanguageModel(x, [r.lang for r in rows], set("".join(r.letters for r in rows)))
 
 
