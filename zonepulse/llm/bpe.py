@@ -330,9 +330,13 @@ def _sha(text: str) -> str:
 
 
 @lru_cache(maxsize=2)
-def load(path: str) -> Bpe:
-    """The tokenizer of a file, once per Python process."""
-    return Bpe(path)
+def load(path: str | None = None) -> Bpe:
+    """The tokenizer of a file, once per Python process.
+
+    A worker opens the file itself: without a path the installed vocabulary, which every
+    node has with its Python, else a file that all nodes have at that path.
+    """
+    return Bpe(path or default_path())
 
 
 def default_path() -> str:
@@ -340,7 +344,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _map_text(docs: DataFrame, keep: list[str], fields: list[StructField], row, path: str) -> DataFrame:
+def _map_text(docs: DataFrame, keep: list[str], fields: list[StructField], row, path: str | None) -> DataFrame:
     """``keep`` columns of ``docs`` plus ``fields``, computed by ``row(bpe, text)`` per document."""
     source = docs.select(*keep, "text")
 
@@ -361,15 +365,13 @@ def _map_text(docs: DataFrame, keep: list[str], fields: list[StructField], row,
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and ``ids`` (array of int) of every document."""
     return _map_text(docs, ["doc_id"], [StructField("ids", ArrayType(IntegerType()))],
-                     lambda bpe, text: (bpe.encode(text),), path or default_path())
+                     lambda bpe, text: (bpe.encode(text),), path)
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id and ``text`` of rows (doc_id, ids)."""
-    where = path or default_path()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(where)
+        bpe = load(path)
         for batch in batches:
             texts = [bpe.decode(x.as_py() if x.is_valid else []) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -382,7 +384,7 @@ def token_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document."""
     fields = [StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()),
               StructField("decoded_sha256", StringType())]
-    return _map_text(docs, ["doc_id"], fields, lambda bpe, text: bpe.digests(text), path or default_path())
+    return _map_text(docs, ["doc_id"], fields, lambda bpe, text: bpe.digests(text), path)
 
 
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
