@@ -336,11 +336,12 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int | None = Non
                                          F.count("*").alias("m"))
     cuts = materialise(keyed.where(F.octet_length("text") >= window).select("k1", "k2", "text").mapInArrow(
         _cut_texts(window, gram), "k1 bigint, k2 bigint, start int, windows int, anchor bigint, stretch bigint"), "stretches")
-    shared = cuts.groupBy("anchor").count().where("count >= 2").select("anchor")
+    # written, so that the joins on it read plain exchanges, which Spark can split at hot anchors
+    shared = materialise(cuts.groupBy("anchor").count().where("count >= 2").select("anchor"), "shared-anchors")
     places = materialise(cuts.join(shared, "anchor", "left_semi"), "shared-stretches")
     kinds = materialise(places.groupBy("anchor", "stretch").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "windows")).alias("rep")), "stretch-kinds")
-    crowd = kinds.groupBy("anchor").agg(F.count("*").alias("c")).where("c >= 2")
+    crowd = materialise(kinds.groupBy("anchor").agg(F.count("*").alias("c")).where("c >= 2"), "mixed-anchors")
     mixed = kinds.join(crowd, "anchor")
     wanted = mixed.groupBy("rep.k1", "rep.k2").agg(F.collect_list(F.struct(
         "anchor", "stretch", F.col("rep.start").alias("start"), F.col("rep.windows").alias("windows"), "n", "c")).alias("w"))
