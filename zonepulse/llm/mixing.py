@@ -114,7 +114,7 @@ def _round_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def plan_copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, cap: float = 2.0,
-                block_rows: int = 20_000, fan_in: int = 256, seed: int = 17) -> DataFrame:
+                block_rows: int = 1_000, fan_in: int = 256, seed: int = 17) -> DataFrame:
     """One row per document: doc_id, source, text_key, size, source_size, target, copies.
 
     ``docs`` needs doc_id, text and source. ``text_key`` is a hash of the text that tells
