@@ -46,11 +46,12 @@ def validate_requests(req: DataFrame, loaded: DataFrame) -> DataFrame:
     missing fields 422, unknown zone 404, Q4 without zone_id_b 400, unknown type 400,
     Q4 with an unknown zone_id_b 500, Q5 with bins < 1 or above ``MAX_BINS`` 500.
 
-    ``loaded`` holds zone ids; whether they are small enough to broadcast is Spark's size
-    check, beyond it hot zones are split by AQE's skew handling.
+    The ids of ``loaded`` are written once, so their size is known when the joins are
+    planned: Spark broadcasts them below its threshold and splits hot zones beyond it.
     """
-    z = loaded.select(F.col("zone_id").alias("_zk")).distinct()
-    zb = loaded.select(F.col("zone_id").alias("_zbk")).distinct()
+    ids = scratch_table(loaded.select("zone_id").distinct(), "loaded-zones")
+    z = ids.select(F.col("zone_id").alias("_zk"))
+    zb = ids.select(F.col("zone_id").alias("_zbk"))
     j = (req.join(z, req.zone_id == z._zk, "left")
          .join(zb, req.zone_id_b == zb._zbk, "left"))
     qt, zone_b = F.col("query_type"), F.col("zone_id_b")
@@ -195,12 +196,12 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
     ttl = float(ttl)
     key, t = F.col("cache_key"), F.col(time_col).cast("double")
     apart = key.isNull() | t.isNull() | F.isnan(t)
-    idle = req.where(apart).withColumn("cached", F.lit(False))
-    ev = req.where(~apart).withColumns({
-        "_key": key, "_seq": F.col(order_col).cast("long"), "_t": t,
-        "_valid": F.coalesce(F.col(valid_col), F.lit(False)),
-        "_block": F.floor(t / F.lit(ttl)).cast("long")})
-    blocks = ev.groupBy("_key", "_block").agg(F.max(F.col("_valid").cast("int")).alias("has_valid"),
+    live = F.coalesce(~apart, F.lit(False))
+    ev = req.withColumns({
+        "_key": F.when(live, key), "_seq": F.col(order_col).cast("long"), "_t": F.when(live, t),
+        "_valid": live & F.coalesce(F.col(valid_col), F.lit(False)),
+        "_block": F.when(live, F.floor(t / F.lit(ttl)).cast("long"))})
+    blocks = ev.where(F.col("_block").isNotNull()).groupBy("_key", "_block").agg(F.max(F.col("_valid").cast("int")).alias("has_valid"),
                                               F.count(F.lit(1)).alias("rows"))
     w = Window.partitionBy("_key").orderBy("_block")
     prev_block = F.lag("_block").over(w)
@@ -211,12 +212,14 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
     seg = starts.withColumn("_segment", F.max(F.when(F.col("is_start"), F.col("_block"))).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     seg = scratch_table(seg.select("_key", "_block", "_segment", "rows"), "ttl-segments")
-    tagged = ev.join(seg.select("_key", "_block", "_segment"), ["_key", "_block"])
+    # rows that take no part have no segment; they are spread by a hash and come out as misses
+    tagged = ev.join(seg.select("_key", "_block", "_segment"), ["_key", "_block"], "left").withColumn(
+        "_segment", F.coalesce("_segment", F.xxhash64("_seq", time_col)))
     big = (seg.groupBy("_key", "_segment").agg(F.sum("rows").alias("rows"))
            .where(F.col("rows") > segment_limit).select("_key", "_segment"))
     out = [*req.columns, "cached"]
     if big.isEmpty():
-        return _fold(tagged, ttl).select(*out).unionByName(idle)
+        return _fold(tagged, ttl).select(*out)
     from zonepulse.operators.ttl_parallel import replay_by_doubling
     small = tagged.join(big, ["_key", "_segment"], "left_anti")
     # a written table gives every row of the large segments a stable id of its own
@@ -226,7 +229,7 @@ def ttl_replay(req: DataFrame, ttl: float, time_col: str = "t_start", order_col:
         F.col("_key").alias("key"), F.col("_segment").alias("segment"), F.col("_seq").alias("seq"),
         F.col("_t").alias("t"), F.col("_valid").alias("valid"), F.col("_id").alias("id")), ttl)
     labelled = large.join(labels.withColumnRenamed("id", "_id"), "_id")
-    return (_fold(small, ttl).select(*out).unionByName(labelled.select(*out)).unionByName(idle))
+    return _fold(small, ttl).select(*out).unionByName(labelled.select(*out))
 
 
 def _fold(tagged: DataFrame, ttl: float) -> DataFrame:

@@ -50,8 +50,8 @@ def decodable(value: Column) -> Column:
     """Whether a message is a request: a JSON object whose ``req``, if there is one, is an object."""
     parsed = F.try_parse_json(value.cast("string"))
     inner = F.try_variant_get(parsed, "$.req", "variant")
-    is_object = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
-    return is_object(parsed) & (inner.isNull() | is_object(inner))
+    outer = parsed.isNotNull() & F.coalesce(F.ltrim(value.cast("string")).startswith("{"), F.lit(False))
+    return outer & (inner.isNull() | F.coalesce(F.to_json(inner).startswith("{"), F.lit(False)))
 
 
 def decode_requests(df: DataFrame, now: Column | None = None) -> DataFrame:
