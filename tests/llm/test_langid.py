@@ -2,8 +2,10 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from zonepulse.llm import langid as L
 
@@ -54,3 +56,15 @@ def test_prediction_ignores_labels_and_odd_rows(spark):
     assert [r._lang for r in L.predict(odd, None).collect()] == ["und"] * 7
     assert L.keep_identified(docs).columns == docs.columns
     assert L.keep_identified(docs.limit(0)).count() == 0
+
+
+def test_every_language_has_its_own_sample(spark, monkeypatch):
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("word number "), F.col("id")).alias("text"),
+        F.expr("CASE WHEN id % 400 = 0 THEN 'it' WHEN id % 50 = 1 THEN 'pt' WHEN id % 10 = 2 THEN 'fr' ELSE 'en' END").alias("lang"))
+    nulls = spark.range(24_000, 26_000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"), F.lit("pt").alias("lang"))
+    monkeypatch.setattr(L, "LanguageModel", lambda x, langs, alphabet: Counter(langs))
+    learned = {r["lang"]: r["count"] for r in docs.where(~L.held_out(F.col("doc_id"))).groupBy("lang").count().collect()}
+    assert learned["it"] < 100 < 150 < learned["pt"]
+    # three vectors a document: 100 documents of each language, all of one with fewer
+    assert L.fit(docs.union(nulls)) == {lang: 3 * min(100, n) for lang, n in learned.items()}

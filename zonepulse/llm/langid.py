@@ -7,8 +7,9 @@ the most won duels (ties: the larger sum of margins, then the smaller code) give
 language. The score is the logistic of twice the least margin that the winner had on the
 way, times the share of the text's letters that were seen in training.
 
-Training uses the documents of the learning fold, ``per_language`` of each language (by a
-hash of the row, at most ``MAX_LANGUAGES`` languages by frequency): a bounded sample.
+Training uses the documents of the learning fold, ``per_language`` of each language (those
+of the least hash; all where a language has fewer, at most ``MAX_LANGUAGES`` languages by
+frequency): a bounded sample of every language, whatever the others hold.
 Whole texts and random stretches of them are learned, so short texts are known too.
 Prediction reads the whole of every text and nothing but the text.
 
@@ -28,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -174,15 +175,20 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Model of the learning fold of ``docs`` (doc_id, text, lang); None if nothing can be learned."""
-    usable = (docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    usable = (docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
+                         & F.rlike("text", F.lit(r"\p{L}")))
               .select("doc_id", "lang", "text"))
     counts = dict(tuple(r) for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
     if not counts:
         return None
     rank = F.xxhash64(F.lit(29), "doc_id")
-    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 1.5 * per_language / n))]), F.col("lang"))
+    # twice the sample is let through by hash, so that the ranks of a language are a bounded job
+    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, 2.0 * per_language / n))]), F.col("lang"))
     unit = F.shiftrightunsigned(rank, 11) / F.lit(float(1 << 53))
-    picked = usable.where(F.col("lang").isin(list(counts)) & (unit < share) & F.col("text").isNotNull())
+    first = Window.partitionBy("lang").orderBy("_unit", F.xxhash64("text"))
+    picked = (usable.where(F.col("lang").isin(list(counts))).withColumn("_unit", unit).where(F.col("_unit") < share)
+              .withColumn("_at", F.row_number().over(first)).where(F.col("_at") <= per_language)
+              .select("doc_id", "lang", "text"))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_tally = np.zeros(0x110000, bool)
@@ -203,7 +209,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
                     ["h", "lang", "letters", "x"])
 
     rows = (small_batches(picked).withColumn("_h", rank).mapInArrow(vectors, "h bigint, lang string, letters string, x binary")
-            .orderBy("h", "lang", "x").limit(3 * per_language * len(counts)).collect())
+            .orderBy("h", "lang", "x").collect())
     if not rows:
         return None
     x = np.zeros((len(rows), DIM), np.float32)
