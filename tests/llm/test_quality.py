@@ -96,3 +96,26 @@ def test_odd_labels_and_empty(spark):
     twice = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (2, None, 0), (3, 1, None), (3, 1, 0), (4, 1, 1)],
                                   "doc_id bigint, quality int, toxic int")
     assert sorted(map(tuple, Q.trusted_labels(twice).collect())) == [(1, False), (3, True)]
+
+
+def test_toxic_counts_as_bad(spark):
+    rows = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (2, 1, 1), (3, 1, 0), (4, None, 1), (5, 0, 0), (None, 1, 1)],
+                                 "doc_id bigint, quality int, toxic int")
+    assert sorted(map(tuple, Q.threshold_labels(rows).collect())) == [(1, False), (2, False), (3, True), (4, False), (5, False)]
+    more = "/root/testdata/sf0.1"
+    judged = Q.op4_quality_rules(spark, more).toPandas()
+    both = judged.merge(spark.read.parquet(f"{more}/labels.parquet").toPandas(), on="doc_id")
+    both = both[(both.quality == 1) & ~both.base_failed]
+    assert both[both.toxic == 0].kept.mean() > 0.99
+    assert both[both.toxic == 1].kept.mean() < 0.5
+
+
+def test_threshold_survives_mislabelled_documents():
+    rng = np.random.default_rng(4)
+    for share in (0.003, 0.01, 0.05):
+        clean = rng.normal(2100, 10, 3000).astype(int)
+        bad = rng.normal(1800, 80, 700).astype(int)
+        mislabelled = rng.normal(1800, 80, int(3000 * share)).astype(int)
+        hist = lambda x: np.bincount(x, minlength=Q.BINS)
+        edge = (Q.best_threshold(hist(np.concatenate([clean, mislabelled])), hist(bad)) + Q.SPAN) * Q.BINS / (2 * Q.SPAN)
+        assert (bad < edge).mean() > 0.95 and (clean < edge).mean() < 0.01, share

@@ -4,9 +4,10 @@ Two multinomials over hashed byte n-grams (``GRAM`` bytes, ``BUCKETS`` buckets)
 the raw corpus is every document, the trusted target every document labelled of quality 1
 and not toxic. A document's verdict is the mean over its n-grams of
 log(target share / raw share), both smoothed by one per bucket, against one threshold for
-all documents. The threshold is the middle of the values whose balanced accuracy on the
-labelled documents is within ``TOLERANCE`` of the best, read from a histogram of ``BINS``
-bins; it never exceeds the ``CLEAN_SHARE`` quantile of the trusted documents.
+all documents. The threshold parts the trusted documents from those labelled bad or toxic:
+the largest value whose balanced accuracy is within ``TOLERANCE`` of the best, read from a
+histogram of ``BINS`` bins, yet at most ``CLEAN_SHARE`` of the trusted documents lie below
+it, not counting those that mislabelled bad ones explain (see ``best_threshold``).
 The base rules fail a document of fewer than 10 words, or with more than 20 % of its words
 in 5-word windows that occur twice or more.
 
@@ -18,6 +19,7 @@ Defined results:
 * null or empty text: no words, ``base_failed`` true, ``kept`` false, ``llr`` 0;
 * fewer than ``GRAM`` bytes: ``llr`` 0;
 * labels repeated for one doc_id: trusted if any row trusts it and none calls it toxic or bad;
+* a toxic document counts as bad for the threshold, whatever its quality;
 * no labels, or labels of one kind only: threshold minus infinity, the base rules decide;
 * repeated rows: each is counted and returned; null doc_id: never labelled;
 * empty table: empty result; other columns are ignored, whatever their names.
@@ -42,6 +44,9 @@ BINS = 4000
 SPAN = 8.0           # histogram from -SPAN to SPAN
 CLEAN_SHARE = 0.002
 TOLERANCE = 0.02
+#: Noise of the labels is read where this share of the bad ones lies below, and believed so far.
+NOISE_FROM = 0.25
+MAX_NOISE = 0.1
 _SYMBOLS = b"#*$%&|<>"
 _SPACE = b" \t\n\x0b\x0c\r"
 
@@ -88,6 +93,12 @@ def trusted_labels(labels: DataFrame) -> DataFrame:
             .agg(good.alias("g"), bad.alias("b")).where("g = 1 or b = 1").select("doc_id", (F.col("g") == 1).alias("_good")))
 
 
+def threshold_labels(labels: DataFrame) -> DataFrame:
+    """``trusted_labels`` with every toxic document as one that is not good, whatever its quality."""
+    toxic = labels.where(F.col("doc_id").isNotNull() & (F.col("toxic") == 1)).select("doc_id", F.lit(False).alias("_good"))
+    return trusted_labels(labels).unionByName(toxic).groupBy("doc_id").agg(F.min("_good").alias("_good"))
+
+
 def gram_counts(docs: DataFrame) -> np.ndarray:
     """Bucket counts (``BUCKETS``) over all texts of ``docs``: one partial vector per task, summed by bucket."""
 
@@ -145,24 +156,29 @@ NAMES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def best_threshold(good: np.ndarray, bad: np.ndarray) -> float:
     """Threshold on the bin edges (kept: llr >= threshold) from histograms of both kinds.
 
-    The middle of the edges whose balanced accuracy is within ``TOLERANCE`` of the best, but
-    never so high that more than ``CLEAN_SHARE`` of the good lie below it.
+    The largest edge whose balanced accuracy is within ``TOLERANCE`` of the best, but never
+    so high that more than ``CLEAN_SHARE`` of the good are lost below it. Bad documents
+    mislabelled as good lie as the bad do: their share ``noise`` is the least ratio of both
+    cumulative shares (``MAX_NOISE`` at most), and only the good beyond ``noise`` times the
+    bad at some edge (and a Kolmogorov-Smirnov bound for such a sample) count as lost.
     """
     if not good.sum() or not bad.sum():
         return -math.inf
     below_good = np.concatenate([[0], np.cumsum(good)]) / good.sum()
     below_bad = np.concatenate([[0], np.cumsum(bad)]) / bad.sum()
     gain = (below_bad - below_good) / 2
-    near = np.flatnonzero(gain >= gain.max() - TOLERANCE)
-    edge = int(near[0] + near[-1]) // 2
-    while edge and below_good[edge] > CLEAN_SHARE:
-        edge -= 1
+    edge = int(np.flatnonzero(gain >= gain.max() - TOLERANCE)[-1])
+    seen = below_bad >= NOISE_FROM
+    noise = min(MAX_NOISE, float((below_good[seen] / below_bad[seen]).min()))
+    room = CLEAN_SHARE + 1.5 * noise * math.sqrt(1 / max(1.0, noise * good.sum()) + 1 / bad.sum())
+    lost = np.maximum.accumulate(below_good - noise * below_bad)
+    edge = min(edge, int(np.searchsorted(lost, room, side="right")) - 1)
     return -math.inf if edge == 0 else -SPAN + edge * 2 * SPAN / BINS
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, base counts, llr, base_failed and kept of every document."""
-    marks = materialise(trusted_labels(labels), "quality-labels")
+    marks = materialise(threshold_labels(labels), "quality-labels")
     # labels grow with the corpus: dealt by doc_id like the texts, at every size
     good = marks.where("_good").select("doc_id").hint("shuffle_hash")
     trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
