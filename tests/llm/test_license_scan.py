@@ -73,3 +73,17 @@ def test_query_rows(spark, tmp_path):
     got = sorted(((r.doc_id, r.n_licenses, r.licenses) for r in L.op10_license_scan(spark, str(tmp_path)).collect()), key=str)
     assert got == sorted([(1, 1, "MIT"), (1, 1, "MIT"), (2, 0, ""), (None, 1, "CC-BY-NC-4.0"), (3, 0, ""), (4, 1, "GPL-3.0")], key=str)
     assert L.license_matches(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def test_notice_beside_an_edited_license(spark):
+    gpl = L.TEMPLATES["GPL-3.0-header"].replace("useful", "helpful")
+    mit = L.TEMPLATES["MIT-text"].replace("publish", "print")
+    rows = [(1, "Released under the MIT License. " + gpl), (2, gpl + " Released under the MIT License."),
+            (3, "Released under the MIT License. " + mit), (4, L.TEMPLATES["GPL-3.0"]),
+            (5, f"Licensed under CC BY 4.0 {mit} {gpl}")]
+    got = {}
+    for r in L.license_matches(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == {1: {"MIT", "GPL-3.0-header"}, 2: {"MIT", "GPL-3.0-header"}, 3: {"MIT", "MIT-text"}, 4: {"GPL-3.0"},
+                   5: {"CC-BY-4.0", "MIT-text", "GPL-3.0-header"}}
+    assert {n for names in L.FAMILIES.values() for n in names} <= set(L.TEMPLATES)

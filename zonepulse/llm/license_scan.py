@@ -18,7 +18,9 @@ Defined results:
 
 * null or empty text, fewer than five words: no license;
 * several matches of one license: the one of the highest share, then the first, is reported;
-* overlapping matches of several licenses: those of a lower share than another are left out;
+* overlapping matches of one family (``FAMILIES``): those of a lower share than another are
+  left out; a match reaches from the first to the last word of the shingles it shares, and
+  licenses of different families never displace each other;
 * repeated rows and ids: one result row per input row; null doc_id is passed on;
 * empty table: empty result; other columns are ignored, whatever their names.
 """
@@ -90,6 +92,15 @@ TEMPLATES = {
 }
 
 
+#: Licenses that are variants of each other; any other is a family of its own.
+FAMILIES = {
+    "Apache": ("Apache-2.0", "Apache-2.0-header"),
+    "BSD": ("BSD-3-Clause", "BSD-3-Clause-text"),
+    "CC": ("CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC-BY-4.0-notice", "CC-BY-SA-4.0-notice"),
+    "GPL": ("GPL-2.0", "GPL-3.0", "GPL-3.0-header"),
+    "MIT": ("MIT", "MIT-notice", "MIT-text"),
+}
+
 #: Words too common to be pivots.
 COMMON = frozenset("a all an and any are as at be by can copy either for form free from general has have in is it its list "
                    "may name names not of on one or other person public see shall should that the this to under use used "
@@ -97,6 +108,10 @@ COMMON = frozenset("a all an and any are as at be by can copy either for form fr
                    "along later option hope terms included include source means".split())
 
 
+def family(name: str) -> str:
+    return next((f for f, names in FAMILIES.items() if name in names), name)
+
+
 def template_words(text: str) -> list[str]:
     return [w.lower() for w in re.findall("[A-Za-z0-9]+", text)]
 
@@ -150,11 +165,11 @@ _HASHES = (f"CASE WHEN size(_words) >= {SHINGLE} THEN transform(sequence(1, size
 
 
 def template_table(spark: SparkSession) -> DataFrame:
-    """(license, window, template, band, key): a row per template and band."""
-    rows = [(n, window_of(len(template_words(t)))[0], template_words(t)) for n, t in TEMPLATES.items()]
-    table = spark.createDataFrame(rows, "license string, window int, _words array<string>")
-    table = table.select("license", "window", F.expr(f"array_distinct({_HASHES})").alias("template"))
-    return table.select("license", "window", "template", F.posexplode(F.expr(_min_hashes("template"))).alias("band", "key"))
+    """(license, family, window, template, band, key): a row per template and band."""
+    rows = [(n, family(n), window_of(len(template_words(t)))[0], template_words(t)) for n, t in TEMPLATES.items()]
+    table = spark.createDataFrame(rows, "license string, family string, window int, _words array<string>")
+    table = table.select("license", "family", "window", F.expr(f"array_distinct({_HASHES})").alias("template"))
+    return table.select("license", "family", "window", "template", F.posexplode(F.expr(_min_hashes("template"))).alias("band", "key"))
 
 
 def license_matches(docs: DataFrame) -> DataFrame:
@@ -180,12 +195,17 @@ def license_matches(docs: DataFrame) -> DataFrame:
     banded = windows.select("*", F.posexplode(F.expr(_min_hashes("shingles"))).alias("band", "key"))
     pairs = banded.join(F.broadcast(template_table(docs.sparkSession)), ["window", "band", "key"])
     shared = pairs.withColumn("share", F.expr("size(array_intersect(template, shingles)) / size(template)"))
-    best = F.max(F.struct("share", (-F.col("first_word")).alias("at"), "window"))
-    each = (shared.where(F.col("share") >= THRESHOLD).groupBy("doc_id", "text_key", "license").agg(best.alias("b"))
+    # the words from the first to the last shared shingle
+    places = "filter(transform(shingles, (h, i) -> CASE WHEN array_contains(template, h) THEN i ELSE -1 END), i -> i >= 0)"
+    shared = shared.where(F.col("share") >= THRESHOLD).select("*", F.inline(F.expr(f"array(named_struct('_places', {places}))")))
+    shared = shared.withColumn("s", F.expr("first_word + array_min(_places)")).withColumn(
+        "e", F.expr(f"first_word + array_max(_places) + {SHINGLE}"))
+    best = F.max(F.struct("share", (-F.col("first_word")).alias("at"), "s", "e", "family"))
+    each = (shared.groupBy("doc_id", "text_key", "license").agg(best.alias("b"))
             .groupBy("doc_id", "text_key").agg(F.collect_list(F.struct(
-                "license", "b.share", (-F.col("b.at")).cast("long").alias("first_word"), "b.window")).alias("m")))
-    # at most one entry per template: of overlapping matches those that another one beats are its variants
-    beaten = "exists(m, y -> y.share > x.share AND y.first_word < x.first_word + x.window AND x.first_word < y.first_word + y.window)"
+                "license", "b.share", (-F.col("b.at")).cast("long").alias("first_word"), "b.s", "b.e", "b.family")).alias("m")))
+    # at most one entry per template: of a family's overlapping matches those that another one beats are its variants
+    beaten = "exists(m, y -> y.family = x.family AND y.share > x.share AND y.s < x.e AND x.s < y.e)"
     return each.select("doc_id", "text_key", F.inline(F.expr(
         f"transform(filter(m, x -> NOT {beaten}), x -> named_struct('license', x.license, 'share', x.share, 'first_word', x.first_word))")))
 
