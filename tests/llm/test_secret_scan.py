@@ -85,3 +85,18 @@ def test_query_and_redaction(spark, tmp_path):
     assert left == sorted([(1, new, "en", "s", len(new))] * 2 + [(2, None, None, None, None), (None, "clean é", "en", "s", 7),
                                                                    (4, "", "en", "s", 0)], key=str)
     assert S.find_secrets(docs.limit(0)).count() == 0
+
+
+def hidden(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return [r.text for r in S.redact_secrets(docs).orderBy("doc_id").collect()]
+
+
+def test_keys_of_one_case(spark, tmp_path):
+    keys = ["9233A8ECF7C5B09FE5949719B6B82BC439E9329B", "JB5WY3DPEHPK3PXPMFZ2W4KT", "q8z4m1x7c0v5b9n3k6j2h8g4"]
+    plain = ["internationalization2024", "/srv/2024/some/long/path/name", "12345098761234509876123450", "AAAA1AAAA1AAAA1AAAA1AAAA1", "THE-QUICK-BROWN-FOX-2024-JUMPS"]
+    texts = [f"key {k} end" for k in keys + plain]
+    assert hidden(spark, texts) == ["key [SECRET] end"] * len(keys) + texts[len(keys):]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in S.op9_secret_scan(spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(texts))] == [f"entropy:4:{4 + len(k)}" for k in keys] + [""] * len(plain)

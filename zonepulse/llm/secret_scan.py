@@ -2,8 +2,10 @@
 
 Three patterns give the base spans: assignments of a secret-like name, access key ids and
 long hexadecimal runs. The method adds high-entropy strings. A candidate is a run of
-base64 letters with a digit; its class is ``hex`` (only 0-9a-f) or ``base64`` (lower case,
-upper case and digits). A window of ``WINDOW`` characters slides over it. The Shannon
+base64 letters with a digit; its class is ``hex`` (only 0-9a-f), ``base64`` (lower case,
+upper case and digits), ``hex_upper`` (only 0-9A-F), ``upper`` or ``lower`` (letters of one
+case, with a stretch of ``WINDOW`` letters and digits and a digit between letters, which
+paths and numbered words lack); digits alone are never a secret. A window of ``WINDOW`` characters slides over it. The Shannon
 entropy of a window is log2(w) - S / w with S the sum of c * log2(c) over its character
 counts, so a step changes S by the counts of the one character that leaves and the one
 that enters. A candidate is a secret if its best window reaches the threshold of its
@@ -39,7 +41,10 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: Candidates of the entropy scan, its window and its thresholds in bits.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-THRESHOLDS = {"hex": 2.9, "base64": 3.7}
+THRESHOLDS = {"hex": 2.9, "base64": 3.7, "hex_upper": 2.9, "upper": 3.4, "lower": 3.4}
+#: Classes of the query and the pipeline, and those of ``find_secrets`` without others asked for.
+CLASSES = tuple(THRESHOLDS)
+MIXED_CLASSES = ("hex", "base64")
 #: Candidates with one of these parts are known to be harmless.
 ALLOWED = r"(?i)example|abcdef|0123456|1234567|deadbeef|(.)\1{7}"
 
@@ -95,18 +100,27 @@ def max_entropy(candidate: str) -> str:
             f"{math.log2(WINDOW)!r}D - element_at(transform(array({first}), s0 -> {slide}), 1) / {WINDOW}), 1)")
 
 
-def _is_secret(t: str) -> str:
-    """SQL: the entropy scan's verdict on a candidate string."""
-    hexa = f"(rlike({t}, '^[0-9a-f]+$') AND rlike({t}, '[a-f]'))"
-    mixed = f"(rlike({t}, '[a-z]') AND rlike({t}, '[A-Z]'))"
-    limit = f"CASE WHEN {hexa} THEN {THRESHOLDS['hex']}D WHEN {mixed} THEN {THRESHOLDS['base64']}D END"
-    return (f"(rlike({t}, '[0-9]') AND ({hexa} OR {mixed}) AND NOT rlike({t}, {_sql(ALLOWED)}) "
-            f"AND round({max_entropy(t)}, 9) >= {limit})")
+def _is_secret(t: str, classes: tuple[str, ...]) -> str:
+    """SQL: the entropy scan's verdict on a candidate string; only ``classes`` can be secrets."""
+    lower, upper = f"rlike({t}, '[a-z]')", f"rlike({t}, '[A-Z]')"
+    is_class = {
+        "hex": f"(rlike({t}, '^[0-9a-f]+$') AND rlike({t}, '[a-f]'))",
+        "base64": f"({lower} AND {upper})",
+        "hex_upper": f"(rlike({t}, '^[0-9A-F]+$') AND rlike({t}, '[A-F]'))",
+        "upper": f"(NOT {lower} AND rlike({t}, '[A-Z0-9]{{{WINDOW},}}') AND rlike({t}, '[A-Z][0-9]+[A-Z]'))",
+        "lower": f"(NOT {upper} AND rlike({t}, '[a-z0-9]{{{WINDOW},}}') AND rlike({t}, '[a-z][0-9]+[a-z]'))",
+    }
+    limit = " ".join(f"WHEN {is_class[c]} THEN {THRESHOLDS[c]}D" for c in CLASSES if c in classes)
+    known = " OR ".join(is_class[c] for c in classes)
+    return (f"(rlike({t}, '[0-9]') AND ({known}) AND NOT rlike({t}, {_sql(ALLOWED)}) "
+            f"AND round({max_entropy(t)}, 9) >= CASE {limit} END)")
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
+def find_secrets(docs: DataFrame, classes: tuple[str, ...] = MIXED_CLASSES) -> DataFrame:
     """``docs`` plus ``_spans``: array of (s, kind, e) by start, then kind (0 to 3).
 
+    The entropy scan judges candidates of ``classes``; the query and the pipeline ask for all.
+
     Works per row without a shuffle. One-row generators keep each step computed once.
     """
     keep = [F.col(f"`{c}`") for c in docs.columns]
@@ -125,7 +139,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
         kind.format(c="_k", k=1, ok="length(x.t) >= 16"),
         kind.format(c="_h", k=2, ok="length(x.t) >= 32"))) + ")")
     new = "NOT exists(_base, b -> b.s < x.e AND x.s < b.e)"
-    more = kind.format(c="_c", k=3, ok=f"rlike(x.t, '[0-9]') AND {new} AND {_is_secret('x.t')}")
+    more = kind.format(c="_c", k=3, ok=f"rlike(x.t, '[0-9]') AND {new} AND {_is_secret('x.t', classes)}")
     return df.select(*keep, F.expr(f"array_sort(concat(_base, {more}))").alias("_spans"))
 
 
@@ -145,7 +159,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
             "concat(substring(text, acc.at + 1, x.s - acc.at), '[SECRET]'))) "
             "ELSE named_struct('at', greatest(acc.at, x.e), 'out', acc.out) END, "
             "acc -> concat(array_join(acc.out, ''), substring(text, acc.at + 1)))")
-    found = find_secrets(docs)
+    found = find_secrets(docs, CLASSES)
     hidden = found.withColumn("_text", F.expr(f"CASE WHEN size(_spans) > 0 THEN {hide} ELSE text END"))
     columns = []
     for c in docs.columns:
@@ -161,7 +175,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and entropy spans of all documents."""
-    found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"), CLASSES)
     count = {n: F.expr(f"cast(size(filter(_spans, x -> x.kind = {k})) AS bigint)").alias(n)
              for k, n in enumerate(("n_assign", "n_access", "n_hex", "n_entropy"))}
     base = F.sha2(_listed("filter(_spans, x -> x.kind < 3)"), 256).alias("base_sha256")
