@@ -68,3 +68,14 @@ def test_every_language_has_its_own_sample(spark, monkeypatch):
     assert learned["it"] < 100 < 150 < learned["pt"]
     # three vectors a document: 100 documents of each language, all of one with fewer
     assert L.fit(docs.union(nulls)) == {lang: 3 * min(100, n) for lang, n in learned.items()}
+
+
+def test_no_language_is_left_out(spark):
+    rnd = random.Random(2)
+    words = {f"x{k:02d}": ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(8)] for k in range(70)}
+    rows = [(70 * i + k, " ".join(rnd.choices(words[lang], k=12)), lang) for k, lang in enumerate(words) for i in range(8 if k < 60 else 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = L.fit(docs)
+    assert [f for f in words if f not in model.families.classes] == []
+    said = [model.predict(" ".join(w))[0] for w in words.values()]
+    assert sum(a == b for a, b in zip(said, words)) >= 68 and said[60:] == list(words)[60:]

@@ -8,8 +8,9 @@ language. The score is the logistic of twice the least margin that the winner ha
 way, times the share of the text's letters that were seen in training.
 
 Training uses the documents of the learning fold, ``per_language`` of each language (those
-of the least hash; all where a language has fewer, at most ``MAX_LANGUAGES`` languages by
-frequency): a bounded sample of every language, whatever the others hold.
+of the least hash; all where a language has fewer): a bounded sample of every language,
+however many there are. The driver fits the duels; their number grows with the square of
+the families, and of the languages in one.
 Whole texts and random stretches of them are learned, so short texts are known too.
 Prediction reads the whole of every text and nothing but the text.
 
@@ -37,7 +38,6 @@ from zonepulse.llm.common import read_table, small_batches
 
 DIM = 1 << 12
 PER_LANGUAGE = 100
-MAX_LANGUAGES = 64
 UNKNOWN = "und"
 #: A pipeline keeps documents whose language is sure to this score.
 MIN_SCORE = 0.45
@@ -127,7 +127,7 @@ class Duels:
             one = labels == self.classes[i]
             part = one | (labels == self.classes[j])
             rows.append(fit_svm(x[part], np.where(one[part], 1.0, -1.0)))
-        self.weights = np.array(rows, np.float32).reshape(len(rows), -1)
+        self.weights = np.array(rows, np.float32).reshape(len(rows), x.shape[1] + 1)
 
     def best(self, x: np.ndarray) -> tuple[str, float]:
         """The winning class and its least margin (infinite without a rival)."""
@@ -178,7 +178,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> LanguageModel | No
     usable = (docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
                          & F.rlike("text", F.lit(r"\p{L}")))
               .select("doc_id", "lang", "text"))
-    counts = dict(tuple(r) for r in usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect())
+    counts = dict(tuple(r) for r in usable.groupBy("lang").count().collect())
     if not counts:
         return None
     rank = F.xxhash64(F.lit(29), "doc_id")
