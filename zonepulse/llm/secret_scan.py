@@ -9,7 +9,9 @@ paths and numbered words lack); digits alone are never a secret. A window of ``W
 entropy of a window is log2(w) - S / w with S the sum of c * log2(c) over its character
 counts, so a step changes S by the counts of the one character that leaves and the one
 that enters. A candidate is a secret if its best window reaches the threshold of its
-class, unless the allow list knows it or a base span already covers part of it.
+class, unless the allow list knows it or base spans cover all of it. Where they cover a
+part and a letter or digit goes on beside them, the whole candidate is judged; if it is no
+secret, or a separator stands between, each remainder of ``WINDOW`` characters or more.
 
 Spans come without positions from the engine's regex functions; they follow from the
 lengths of the gaps and matches. Their running sums go block by block, so a text with many
@@ -116,10 +118,22 @@ def _is_secret(t: str, classes: tuple[str, ...]) -> str:
             f"AND round({max_entropy(t)}, 9) >= CASE {limit} END)")
 
 
-def find_secrets(docs: DataFrame, classes: tuple[str, ...] = MIXED_CLASSES) -> DataFrame:
+def _uncovered(x: str) -> str:
+    """SQL: array of the stretches (s, e, t) of candidate ``x`` that no span of ``_base`` covers."""
+    left = "cast(array() AS array<struct<s:int,e:int,t:string>>)"
+    piece = "named_struct('s', {s}, 'e', {e}, 't', substring({x}.t, {s} - {x}.s + 1, {e} - {s}))"
+    gap, tail = piece.format(x=x, s="acc.at", e="b.s"), piece.format(x=x, s="acc.at", e=f"{x}.e")
+    return (f"aggregate(array_sort(filter(_base, b -> b.s < {x}.e AND {x}.s < b.e)), named_struct('at', {x}.s, 'out', {left}), "
+            f"(acc, b) -> named_struct('at', greatest(acc.at, b.e), 'out', "
+            f"CASE WHEN b.s > acc.at THEN array_append(acc.out, {gap}) ELSE acc.out END), "
+            f"acc -> CASE WHEN acc.at < {x}.e THEN array_append(acc.out, {tail}) ELSE acc.out END)")
+
+
+def find_secrets(docs: DataFrame, classes: tuple[str, ...] = MIXED_CLASSES, remainders: bool = False) -> DataFrame:
     """``docs`` plus ``_spans``: array of (s, kind, e) by start, then kind (0 to 3).
 
-    The entropy scan judges candidates of ``classes``; the query and the pipeline ask for all.
+    The entropy scan judges candidates of ``classes``, and with ``remainders`` also those that
+    base spans cover in part; the query and the pipeline ask for all.
 
     Works per row without a shuffle. One-row generators keep each step computed once.
     """
@@ -140,6 +154,13 @@ def find_secrets(docs: DataFrame, classes: tuple[str, ...] = MIXED_CLASSES) -> D
         kind.format(c="_h", k=2, ok="length(x.t) >= 32"))) + ")")
     new = "NOT exists(_base, b -> b.s < x.e AND x.s < b.e)"
     more = kind.format(c="_c", k=3, ok=f"rlike(x.t, '[0-9]') AND {new} AND {_is_secret('x.t', classes)}")
+    if remainders:
+        partly = "filter(_c, x -> rlike(x.t, '[0-9]') AND exists(_base, b -> b.s < x.e AND x.s < b.e))"
+        df = step(df, ["_c", "_base"], _p=f"transform({partly}, x -> named_struct('x', x, 'left', {_uncovered('x')}))")
+        goes_on = "exists(p.left, r -> r.s > p.x.s AND rlike(r.t, '^[A-Za-z0-9]') OR r.e < p.x.e AND rlike(r.t, '[A-Za-z0-9]$'))"
+        judged = (f"flatten(transform(filter(_p, p -> size(p.left) > 0), p -> CASE WHEN {goes_on} AND {_is_secret('p.x.t', classes)} "
+                  f"THEN array(p.x) ELSE filter(p.left, r -> length(r.t) >= {WINDOW} AND {_is_secret('r.t', classes)}) END))")
+        more = f"{more}, {kind.format(c=judged, k=3, ok='true')}"
     return df.select(*keep, F.expr(f"array_sort(concat(_base, {more}))").alias("_spans"))
 
 
@@ -159,7 +180,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
             "concat(substring(text, acc.at + 1, x.s - acc.at), '[SECRET]'))) "
             "ELSE named_struct('at', greatest(acc.at, x.e), 'out', acc.out) END, "
             "acc -> concat(array_join(acc.out, ''), substring(text, acc.at + 1)))")
-    found = find_secrets(docs, CLASSES)
+    found = find_secrets(docs, CLASSES, remainders=True)
     hidden = found.withColumn("_text", F.expr(f"CASE WHEN size(_spans) > 0 THEN {hide} ELSE text END"))
     columns = []
     for c in docs.columns:
@@ -175,7 +196,7 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and entropy spans of all documents."""
-    found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"), CLASSES)
+    found = find_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"), CLASSES, remainders=True)
     count = {n: F.expr(f"cast(size(filter(_spans, x -> x.kind = {k})) AS bigint)").alias(n)
              for k, n in enumerate(("n_assign", "n_access", "n_hex", "n_entropy"))}
     base = F.sha2(_listed("filter(_spans, x -> x.kind < 3)"), 256).alias("base_sha256")
