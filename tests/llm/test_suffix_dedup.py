@@ -63,13 +63,15 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("window,limit,batch", [(60, 3000, 1 << 20), (40, 3000, 500), (40, 1, 1 << 20), (400, 3000, 1 << 20)])
+@pytest.mark.parametrize("window,limit,batch", [(60, 3000, 1 << 20), (40, 3000, 500), (40, 1, 1 << 20), (40, 2, 400), (60, 5, 1 << 20), (400, 3000, 1 << 20)])
 def test_against_brute_force(spark, window, limit, batch):
     rows = corpus(window)
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id bigint, text string, k1 string, anchor int")
     got = S.remove_repeats(docs, window, bucket_limit=limit, batch_bytes=batch).collect()
     want = [(i, *b) for (i, _), b in zip(rows, brute([t for _, t in rows], window))]
-    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(want, key=str)
+    texts = {hashlib.sha256(r.text.encode()).hexdigest() == r.kept_sha256 for r in got if "\ufffd" not in r.text}
+    assert texts == {True}
 
 
 def test_pieces_of_a_long_text():
@@ -77,18 +79,52 @@ def test_pieces_of_a_long_text():
     text = "".join(rnd.choice("abcd") for _ in range(5000)).encode()
     cutter = S.Cutter(50, 12, piece=700)
     covered = np.zeros(len(text) - 49, int)
-    for _, start, count, anchor, stretch in cutter.stretches([b"x", text, text[:49]]):
+    for _, start, count, anchor, stretch, lead in cutter.stretches([b"x", text, text[:49]]):
         covered[start:start + count] += 1
         assert stretch == S._digest(text[start:start + count + 49])
+        assert anchor == S._digest(text[start + lead:start + lead + 12]) and 0 <= lead - count + 1 and lead <= 38
     assert (covered == 1).all()
     assert covered.sum() / len(list(cutter.stretches([text]))) > 10      # a stretch holds many windows
     # the anchor of a window depends on its content alone
     by_window = {}
-    for _, start, count, anchor, _ in cutter.stretches([text[13:2000] + text[100:900]]):
+    for _, start, count, anchor, _, _ in cutter.stretches([text[13:2000] + text[100:900]]):
         for i in range(start, start + count):
             by_window.setdefault((text[13:2000] + text[100:900])[i:i + 50], set()).add(anchor)
     assert all(len(a) == 1 for a in by_window.values())
 
 
+@pytest.mark.parametrize("width", [50, 12, 3, 1])
+def test_cut_again(width):
+    """Pieces cover every window once, and equal windows of one anchor meet in one group."""
+    rnd = random.Random(width)
+    text = "".join(rnd.choice("ab") for _ in range(900)).encode() + b"x" * 120
+    cutter, groups = S.Cutter(50, 12), {}
+    texts = [text, text[200:700] + text[:300]]
+    for k, start, count, anchor, _, lead in cutter.stretches(texts):
+        data = texts[k][start: start + count + 49]
+        seen = []
+        for key, begin, place, piece in S.cut_again(anchor, 0, lead, data, 50, width):
+            assert piece == data[begin: begin + len(piece)] and place == lead - begin
+            for i in range(len(piece) - 49):
+                seen.append(begin + i)
+                groups.setdefault((anchor, piece[i: i + 50]), set()).add(key)
+                if width == 1:
+                    assert len(piece) == 50
+        assert seen == list(range(count))
+    assert groups and all(len(k) == 1 for k in groups.values())
+
+
+def test_hot_passage(spark):
+    """Hundreds of different stretches around one passage, cut down to one place if need be."""
+    rnd = random.Random(9)
+    passage = "".join(rnd.choice("abcd ") for _ in range(39))
+    rows = [(i, "".join(rnd.choice("xyz") for _ in range(30)) + passage + "".join(rnd.choice("xyz") for _ in range(30))) for i in range(150)]
+    rows += [(500 + i, "q" * i + passage + "zz") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted((i, *b) for (i, _), b in zip(rows, brute([t for _, t in rows], 40)))
+    for limit in (1, 20):
+        assert sorted(tuple(r)[:5] for r in S.remove_repeats(docs, 40, bucket_limit=limit).collect()) == want
+
+
 def test_empty(spark):
     assert S.remove_repeats(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0

@@ -14,9 +14,12 @@ sorted in batches:
 3. neighbours in the order whose common prefix reaches ``window`` mark repeated windows.
 
 Sorting needs no more than ``window`` bytes of a suffix, and separators end every stretch.
-An anchor gram with more than ``bucket_limit`` different stretches does not go to one task:
-its windows are digested (128 bits) one by one and counted by a distributed aggregation,
-which is exact too and needs no group in one place.
+What is sorted together stays below ``bucket_limit`` strings: an anchor gram with more
+different stretches has them cut again, by the place of the anchor in the window. All windows
+of a range of places share a core of bytes around the anchor, and equal windows have equal
+cores, so the pieces of a stretch are dealt anew by their core. The ranges narrow (from a
+quarter of the window down to one place, where a core is a whole window) until no group is
+too large; equal pieces are counted and go on as one.
 
 Copies cost one row per stretch and never meet as text: equal rows are first laid together
 with their number, stretches are counted by a map-side combined aggregation, and the text
@@ -25,6 +28,8 @@ itself is shuffled once.
 Defined results:
 
 * null or empty text: 0 bytes, nothing removed, SHA-256 of the empty string;
+* ``text`` is what stays; a character that a cut divides becomes U+FFFD, while
+  ``kept_sha256`` is the digest of the bytes;
 * a text shorter than the window is never touched; a text that occurs twice goes as a whole;
 * repeated rows and ids: every row counts as a place of its own and is returned;
 * empty table: empty result; other columns are ignored, whatever their names.
@@ -45,7 +50,7 @@ from zonepulse.llm.common import materialise, read_table, small_batches
 WINDOW = 400
 GRAM = 32
 #: Different stretches of one anchor gram that are suffix sorted together.
-BUCKET_LIMIT = 3000
+BUCKET_LIMIT = 1000
 _POSITIONS = np.uint64((1 << 24) - 1)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -94,12 +99,12 @@ class Cutter:
         last = np.concatenate([cut, [len(starts)]]) - 1
         yield from zip(starts[first].tolist(), (last - first + 1).tolist(), at[first].tolist())
 
-    def stretches(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int]]:
-        """(text index, start, windows, anchor digest, stretch digest) of all texts."""
+    def stretches(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int, int, int]]:
+        """(text index, start, windows, anchor digest, stretch digest, place of the anchor) of all texts."""
         joined: list[tuple[int, int, bytes]] = []          # (text, offset in it, bytes)
         size = 0
 
-        def flush() -> Iterator[tuple[int, int, int, int, int]]:
+        def flush() -> Iterator[tuple[int, int, int, int, int, int]]:
             data = b"".join(x[2] for x in joined)
             ends = np.cumsum([len(x[2]) for x in joined])
             begins = ends - [len(x[2]) for x in joined]
@@ -107,7 +112,7 @@ class Cutter:
             for start, count, at in self.runs(data, ends):
                 k = int(np.searchsorted(ends, start, side="right"))
                 yield (joined[k][0], start - int(begins[k]) + joined[k][1], count,
-                       _digest(view[at: at + self.gram]), _digest(view[start: start + count - 1 + self.window]))
+                       _digest(view[at: at + self.gram]), _digest(view[start: start + count - 1 + self.window]), at - start)
 
         for i, text in enumerate(texts):
             if len(text) < self.window:
@@ -232,67 +237,99 @@ def _cut_texts(window: int, gram: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(k1, pa.int64()), pa.array(k2, pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
                  pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int64()),
-                 pa.array([r[4] for r in rows], pa.int64())], ["k1", "k2", "start", "windows", "anchor", "stretch"])
+                 pa.array([r[4] for r in rows], pa.int64()),
+                 pa.array([r[5] for r in rows], pa.int32())], ["k1", "k2", "start", "windows", "anchor", "stretch", "lead"])
     return run
 
 
+#: A string to be sorted: its group, the stretch it belongs to, its first window in there, the
+#: place of the anchor in it, how often it occurs, and its bytes.
+_STRINGS = "key bigint, anchor bigint, stretch bigint, begin int, lead int, n bigint, data binary"
+_STRING_NAMES = [c.split(" ")[0] for c in _STRINGS.split(", ")]
+_STRING_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+
+
+def _strings(rows: list[tuple], more: dict | None = None) -> pa.RecordBatch:
+    types = _STRING_TYPES + list((more or {}).values())
+    columns = list(zip(*rows)) or [[]] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], _STRING_NAMES + list(more or {}))
+
+
 def _fetch(window: int):
-    """Rows (text, list of (anchor, stretch, start, windows, n, c)) to the bytes of the stretches."""
+    """Rows (text, list of (anchor, stretch, start, windows, lead, n, c)) to strings and the size c of their group."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text, wanted in zip(batch.column(0), batch.column(1)):
                 data = text.as_py().encode("utf-8")
-                out += [(w["anchor"], w["stretch"], w["n"], w["c"], data[w["start"]: w["start"] + w["windows"] - 1 + window])
-                        for w in wanted.as_py()]
-            columns = list(zip(*out)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array(list(c), pa.int64()) for c in columns[:4]), pa.array(list(columns[4]), pa.binary())],
-                ["anchor", "stretch", "n", "c", "data"])
+                out += [(w["anchor"], w["anchor"], w["stretch"], 0, w["lead"], w["n"],
+                         data[w["start"]: w["start"] + w["windows"] - 1 + window], w["c"]) for w in wanted.as_py()]
+            yield _strings(out, {"c": pa.int64()})
+    return run
+
+
+def cut_again(key: int, begin: int, lead: int, data: bytes, window: int, width: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(key, begin, lead, data) of the pieces of a string, by ranges of ``width`` places of the anchor.
+
+    Window i has its anchor at place ``lead - i``. Equal windows of one group fall into
+    pieces of equal keys: the key is a digest of the bytes that all windows of the range share.
+    """
+    windows, i = len(data) - window + 1, 0
+    view = memoryview(data)
+    while i < windows:
+        cell = (lead - i) // width
+        least, most = cell * width, (cell + 1) * width - 1
+        j = min(windows, lead - least + 1)                       # first window of the next range
+        core = view[max(lead - least, 0): max(lead - most + window, 0)]
+        name = f"{key} {cell} {width} ".encode()
+        yield _digest(name + bytes(core)), begin + i, lead - i, data[i: j - 1 + window]
+        i = j
+
+
+def _cut_strings(window: int, width: int):
+    """Strings to their pieces, with a digest of each piece."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, anchor, stretch, begin, lead, n, data in zip(*(batch.column(c).to_pylist() for c in _STRING_NAMES)):
+                out += [(k, anchor, stretch, b, p, n, d, _digest(d)) for k, b, p, d in cut_again(key, begin, lead, data, window, width)]
+            for at in range(0, len(out), 4096):
+                yield _strings(out[at: at + 4096], {"piece": pa.int64()})
     return run
 
 
+def _widths(window: int) -> list[int]:
+    """Ranges of places by which hot groups are cut, one after the other, down to one place."""
+    out = [max(1, window // 4)]
+    while out[-1] > 1:
+        out.append(max(1, out[-1] // 4))
+    return out
+
+
 def _sort_buckets(window: int, batch_bytes: int):
-    """Rows (anchor, stretch, n, data) sorted by anchor to the repeated windows of single stretches."""
+    """Strings sorted by key to the repeated windows of those that occur once: (anchor, stretch, ranges)."""
     def judge(rows: list[tuple]) -> pa.RecordBatch:
-        found = repeated_starts([r[3] for r in rows], window)
-        kept = [(r[0], r[1], _ranges(f)) for r, f in zip(rows, found) if r[2] == 1 and len(f)]
+        found = repeated_starts([r[6] for r in rows], window)
+        kept = [(r[1], r[2], _ranges(f + r[3])) for r, f in zip(rows, found) if r[5] == 1 and len(f)]
         columns = list(zip(*kept)) or [[]] * 3
         return pa.RecordBatch.from_arrays(
             [pa.array(list(columns[0]), pa.int64()), pa.array(list(columns[1]), pa.int64()), pa.array(list(columns[2]), _RANGES)],
             ["anchor", "stretch", "ranges"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, whole = [], 0, 0            # whole: rows of finished anchors in ``held``
+        held, size = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if held and held[-1][0] != row[0]:
-                    whole = len(held)
-                    if size > batch_bytes:
-                        yield judge(held)
-                        held, size, whole = [], 0, 0
+            for row in zip(*(batch.column(c).to_pylist() for c in _STRING_NAMES)):
+                if held and held[-1][0] != row[0] and size > batch_bytes:
+                    yield judge(held)
+                    held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[6])
         if held:
             yield judge(held)
     return run
 
 
-def _window_digests(window: int):
-    """Rows (anchor, stretch, n, data) to one row (anchor, stretch, n, at, d1, d2) per window."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for anchor, stretch, n, data in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                view, count = memoryview(data), len(data) - window + 1
-                d = np.frombuffer(b"".join(hashlib.blake2b(view[i: i + window], digest_size=16).digest()
-                                           for i in range(count)), np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(count, v, np.int64)) for v in (anchor, stretch, n)]
-                    + [pa.array(np.arange(count, dtype=np.int32)), pa.array(np.ascontiguousarray(d[:, 0])),
-                       pa.array(np.ascontiguousarray(d[:, 1]))], ["anchor", "stretch", "n", "at", "d1", "d2"])
-    return run
-
-
 def _remove(window: int):
     """Rows (doc_id, text, m, list of (start, ranges)) to the result columns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,29 +339,29 @@ def _remove(window: int):
                 data = text.as_py().encode("utf-8")
                 spans = sorted((p["start"] + p["ranges"][i], p["start"] + p["ranges"][i + 1] - 1 + window)
                                for p in (places.as_py() or []) for i in range(0, len(p["ranges"]), 2))
-                kept, at, removed, runs = hashlib.sha256(), 0, 0, 0
+                stays, at, removed, runs = [], 0, 0, 0
                 view = memoryview(data)
                 for lo, hi in spans:
                     if lo > at or not runs:
-                        kept.update(view[at:lo])
+                        stays.append(view[at:lo])
                         runs += 1
                         at = lo
                     if hi > at:
                         removed += hi - at
                         at = hi
-                kept.update(view[at:])
-                out.append((len(data), removed, runs, kept.hexdigest()))
-            columns = list(zip(*out)) or [[]] * 4
+                kept = b"".join([*stays, view[at:]]) if runs else data
+                out.append((len(data), removed, runs, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
+            columns = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), *(pa.array(list(c), pa.int64()) for c in columns[:3]),
-                 pa.array(list(columns[3]), pa.string()), batch.column(2)],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "_m"])
+                 pa.array(list(columns[3]), pa.string()), pa.array(list(columns[4]), pa.string()), batch.column(2)],
+                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "_m"])
     return run
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int | None = None,
                    bucket_limit: int = BUCKET_LIMIT, batch_bytes: int = 1 << 20) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what stays) of every document."""
     if window < 8:
         raise ValueError("a window has 8 bytes at least")
     gram = gram or min(GRAM, window // 2)
@@ -335,39 +372,52 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int | None = Non
     rows = keyed.groupBy("k1", "k2").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"),
                                          F.count("*").alias("m"))
     cuts = materialise(keyed.where(F.octet_length("text") >= window).select("k1", "k2", "text").mapInArrow(
-        _cut_texts(window, gram), "k1 bigint, k2 bigint, start int, windows int, anchor bigint, stretch bigint"), "stretches")
+        _cut_texts(window, gram), "k1 bigint, k2 bigint, start int, windows int, anchor bigint, stretch bigint, lead int"), "stretches")
     # written, so that the joins on it read plain exchanges, which Spark can split at hot anchors
     shared = materialise(cuts.groupBy("anchor").count().where("count >= 2").select("anchor"), "shared-anchors")
     places = materialise(cuts.join(shared, "anchor", "left_semi"), "shared-stretches")
     kinds = materialise(places.groupBy("anchor", "stretch").agg(
-        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "windows")).alias("rep")), "stretch-kinds")
+        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "start", "windows", "lead")).alias("rep")), "stretch-kinds")
     crowd = materialise(kinds.groupBy("anchor").agg(F.count("*").alias("c")).where("c >= 2"), "mixed-anchors")
     mixed = kinds.join(crowd, "anchor")
     wanted = mixed.groupBy("rep.k1", "rep.k2").agg(F.collect_list(F.struct(
-        "anchor", "stretch", F.col("rep.start").alias("start"), F.col("rep.windows").alias("windows"), "n", "c")).alias("w"))
+        "anchor", "stretch", F.col("rep.start").alias("start"), F.col("rep.windows").alias("windows"),
+        F.col("rep.lead").alias("lead"), "n", "c")).alias("w"))
     strings = (rows.join(wanted, ["k1", "k2"]).select("text", "w")
-               .mapInArrow(_fetch(window), "anchor bigint, stretch bigint, n bigint, c bigint, data binary"))
+               .mapInArrow(_fetch(window), _STRINGS + ", c bigint"))
+    ready, whole = [], []
+    widths = iter(_widths(window))
     most = crowd.agg(F.max("c")).first()[0] or 0
-    if most > bucket_limit:
-        strings = materialise(strings, "stretch-bytes")
-    few = strings.where(F.col("c") <= bucket_limit).select("anchor", "stretch", "n", "data")
-    verdict = (few.repartition("anchor").sortWithinPartitions("anchor", "stretch")
+    while most > bucket_limit:
+        strings = materialise(strings, "strings")
+        ready.append(strings.where(F.col("c") <= bucket_limit).drop("c"))
+        pieces = materialise(strings.where(F.col("c") > bucket_limit).drop("c").mapInArrow(
+            _cut_strings(window, next(widths)), _STRINGS + ", piece bigint"), "pieces")
+        same = ["key", "piece"]
+        first = materialise(pieces.groupBy(*same).agg(F.sum("n").alias("n"), F.min(F.struct("anchor", "stretch", "begin")).alias("rep")),
+                            "piece-kinds")
+        many = first.where("n >= 2").select(*same)
+        whole.append(pieces.join(many, same).select("anchor", "stretch", F.array(
+            "begin", F.col("begin") + F.octet_length("data") - (window - 1)).alias("ranges")))
+        groups = materialise(first.groupBy("key").agg(F.count("*").alias("c")).where("c >= 2"), "piece-groups")
+        one = first.join(groups, "key").select(*same, "n", "c", "rep.*")
+        strings = pieces.drop("n").join(one, [*same, "anchor", "stretch", "begin"]).select(*_STRING_NAMES, "c")
+        most = groups.agg(F.max("c")).first()[0] or 0
+    ready.append(strings.drop("c"))
+    few = ready[0]
+    for part in ready[1:]:
+        few = few.unionByName(part)
+    verdict = (few.select(*_STRING_NAMES).repartition("key").sortWithinPartitions("key", "anchor", "stretch", "begin")
                .mapInArrow(_sort_buckets(window, batch_bytes), "anchor bigint, stretch bigint, ranges array<int>"))
-    if most > bucket_limit:
-        each = materialise(strings.where(F.col("c") > bucket_limit).select("anchor", "stretch", "n", "data").mapInArrow(
-            _window_digests(window), "anchor bigint, stretch bigint, n bigint, at int, d1 bigint, d2 bigint"), "window-digests")
-        twice = each.groupBy("d1", "d2").count().where("count >= 2").select("d1", "d2")
-        many = (each.where("n = 1").join(twice, ["d1", "d2"], "left_semi").groupBy("anchor", "stretch")
-                .agg(F.array_sort(F.collect_list("at")).alias("s")))
-        verdict = verdict.unionByName(many.select("anchor", "stretch", F.expr(
-            "flatten(transform(s, x -> array(x, x + 1)))").alias("ranges")))
-    whole = kinds.where("n >= 2").select("anchor", "stretch", F.array(F.lit(0), F.col("rep.windows")).alias("ranges"))
-    gone = (places.join(verdict.unionByName(whole), ["anchor", "stretch"])
+    for part in whole:
+        verdict = verdict.unionByName(part)
+    copies = kinds.where("n >= 2").select("anchor", "stretch", F.array(F.lit(0), F.col("rep.windows")).alias("ranges"))
+    gone = (places.join(verdict.unionByName(copies), ["anchor", "stretch"])
             .groupBy("k1", "k2").agg(F.collect_set(F.struct("start", "ranges")).alias("p")))
     kind = docs.schema["doc_id"].dataType.simpleString()
     done = (rows.join(gone, ["k1", "k2"], "left").select("doc_id", "text", "m", "p")
             .mapInArrow(_remove(window), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, "
-                        "kept_sha256 string, _m bigint"))
+                        "kept_sha256 string, text string, _m bigint"))
     return (done.withColumn("_one", F.explode(F.sequence(F.lit(1), F.col("_m").cast("int")))).drop("_m", "_one"))
 
 
