@@ -38,6 +38,23 @@ def test_stable_tokens_stream(pair, letters):
     assert [i for block in ours.run_ids(run, block=1000) for i in block] == lib.encode(run, add_special_tokens=False).ids
 
 
+def test_long_words_stream(pair):
+    """Words beyond the cache go through the machine part by part, with the library's result."""
+    ours, lib = pair
+    rnd = random.Random(8)
+    for n in (1, 64, 65, 511, 513, 20_000):
+        word = "".join(rnd.choice("inthéer'1中%") for _ in range(n))
+        text = f"x {word} the <|endoftext|>{word}"
+        ids = lib.encode(text, add_special_tokens=False).ids
+        assert ours.encode(text) == ids
+        assert ours.digests(text) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+                                      hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+        assert max(map(len, ours.words), default=0) <= bpe.REMEMBERED
+    run = "inthe" * 9000
+    assert len(list(ours.stream(run))) > 1                  # emitted before the run's end
+    assert [int(i) for _, part, _ in ours.stream(run) for i in part.split()] == lib.encode(run, add_special_tokens=False).ids
+
+
 def test_byte_level_machine():
     symbols = bpe.byte_symbols()
     text = "ab é 中 😀"

@@ -46,6 +46,8 @@ SPACE = re.compile("[%s]+" % "".join(map(chr, (
     *range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))))
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORD_END = "</w>"
+#: Words of up to so many characters are remembered with their tokens.
+REMEMBERED = 64
 
 
 def byte_symbols() -> list[str]:
@@ -98,8 +100,6 @@ class _Recent(dict):
         entry = self.old.get(key)
         if entry is None:
             entry = self.make(key)
-            if len(key) > 64:
-                return entry
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
@@ -219,15 +219,13 @@ class Bpe:
         return [p for p, g in zip(parts, gone) if not g]
 
     def run_ids(self, run: str, block: int = 1 << 14) -> Iterator[list[int]]:
-        """Ids of one run, in lists, as soon as they are stable."""
+        """Ids of one run, in lists, as soon as they are stable.
+
+        Blocks of symbols enter the window. A block that ends the run makes all tokens
+        stable, another one those that end ``lookahead`` symbols before the window's end.
+        """
         vocab, symbols = self.vocab, self.symbols
         raw = run.encode("utf-8")
-        if len(raw) <= 512:
-            parts = [symbols[b] for b in raw]
-            parts[-1] += WORD_END
-            yield [vocab[p] for p in self.merge(parts)]
-            return
-        ahead = self.lookahead
         window: list[str] = []
         for start in range(0, len(raw), block):
             window += [symbols[b] for b in raw[start: start + block]]
@@ -235,7 +233,7 @@ class Bpe:
                 window[-1] += WORD_END
                 yield [vocab[p] for p in self.merge(window)]
                 return
-            stable, out = len(window) - ahead, []
+            stable, out = len(window) - self.lookahead, []
             taken = 0
             for token in self.merge(list(window)):
                 if taken + len(token) > stable:     # one character a symbol inside a run
@@ -247,31 +245,48 @@ class Bpe:
                 yield out
 
     def _run(self, run: str) -> tuple[int, str, str]:
-        """Number of tokens, ids and decoded text of a run."""
-        if len(run) <= 64 and run.isascii() and run.isalnum():      # bytes that stand for themselves
-            parts = list(run)
-            parts[-1] += WORD_END
-            ids = [self.vocab[p] for p in self.merge(parts)]
-        else:
-            ids = [i for block in self.run_ids(run) for i in block]
+        """Number of tokens, ids and decoded text of a short run."""
+        ids = [i for block in self.run_ids(run) for i in block]
         return len(ids), " ".join(map(str, ids)), self.machine.reset().feed(ids)
 
+    @staticmethod
+    def _normal(word: str) -> str:
+        return word.lower() if word.isascii() else unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+
     def _word(self, word: str) -> tuple[int, str, str]:
-        """The same of a text without white space, or of a special string."""
+        """The same of a short text without white space, or of a special string."""
         if word in self.special:
             return 1, str(self.special[word]), word
-        if word.isascii():
-            text = word.lower()
-            if text.isalpha():
-                return self.runs[text]
-        else:
-            text = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+        text = self._normal(word)
+        if text.isascii() and text.isalpha():
+            return self.runs[text]
         parts = [self.runs[run] for run in RUNS.findall(text)]
         if len(parts) == 1:
             return parts[0]
         return (sum([p[0] for p in parts]), " ".join([p[1] for p in parts]),
                 ("" if self.byte_level else " ").join([p[2] for p in parts]))
 
+    def stream(self, word: str) -> Iterator[tuple[int, str, str]]:
+        """The same of any word in parts: one per list of stable tokens, none kept."""
+        if word in self.special:
+            yield self._word(word)
+            return
+        for run in RUNS.finditer(self._normal(word)):
+            for ids in self.run_ids(run.group()):
+                yield len(ids), " ".join(map(str, ids)), self.machine.reset().feed(ids)
+
+    def parts(self, words: list[str]) -> Iterator[list[tuple[int, str, str]]]:
+        """Entries of words in lists: remembered ones of short words, streamed ones of long words."""
+        if max(map(len, words), default=0) <= REMEMBERED:
+            yield list(map(self.words.__getitem__, words))
+            return
+        for word in words:
+            if len(word) <= REMEMBERED:
+                yield [self.words[word]]
+            else:
+                for part in self.stream(word):
+                    yield [part]
+
     def split_words(self, text: str) -> list[str]:
         """Words of a text; each special string is a word of its own."""
         if self.special_at is not None and self.special_at.search(text):
@@ -297,8 +312,7 @@ class Bpe:
             start = cut
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for words in self.pieces(text) for e in map(self.words.__getitem__, words)
-                for i in e[1].split()]
+        return [int(i) for words in self.pieces(text) for part in self.parts(words) for e in part for i in e[1].split()]
 
     def decode(self, ids) -> str:
         machine = self.decoder()
@@ -315,13 +329,13 @@ class Bpe:
             return len(ids), _sha(" ".join(map(str, ids))), _sha(self.decode(ids))
         n, ids_sha, text_sha, sep = 0, hashlib.sha256(), hashlib.sha256(), ""
         for words in self.pieces(text):
-            entries = list(map(self.words.__getitem__, words))
-            if not entries:
-                continue
-            n += sum([e[0] for e in entries])
-            ids_sha.update((sep + " ".join([e[1] for e in entries])).encode())
-            text_sha.update((sep + " ".join([e[2] for e in entries])).encode("utf-8"))
-            sep = " "
+            for entries in self.parts(words):
+                if not entries:
+                    continue
+                n += sum([e[0] for e in entries])
+                ids_sha.update((sep + " ".join([e[1] for e in entries])).encode())
+                text_sha.update((sep + " ".join([e[2] for e in entries])).encode("utf-8"))
+                sep = " "
         return n, ids_sha.hexdigest(), text_sha.hexdigest()
 
 
