@@ -106,3 +106,22 @@ def test_tokens(steps):
 
 def test_run(spark):
     assert P.run(spark, SF).count() > 150
+
+
+CLASHING = ("_text _a _k _h _c _base _p _spans text_key _n _same _copy _copies _open _lang _score _at _unit _simhash _id _fp _rows _first "
+            "fp node root component_id component_fp size target b h x k1 words TEXT").split()
+
+
+@pytest.mark.parametrize("stage", [s for s in P.STAGES[:-1]], ids=lambda s: s[0])
+def test_clashing_names(spark, stage):
+    """Extra columns with the operators' own names pass through unchanged and change nothing."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame([(7, "the token = 'abcdefgh12345678' of and that", "en", "s", 40)] * 2, docs.schema))
+    more = docs.select("*", *[docs.doc_id.cast("string").alias(c) for c in CLASHING])
+    plain = Counter(tuple(r) for r in stage[1](spark, docs, SF).collect())
+    out = stage[1](spark, more, SF)
+    assert out.columns == more.columns
+    rows = [tuple(r) for r in out.collect()]
+    n = len(docs.columns)
+    assert Counter(r[:n] for r in rows) == plain
+    assert all(v == str(r[0]) for r in rows for v in r[n:])

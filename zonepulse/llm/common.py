@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,6 +47,19 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def other_columns_aside(*own: str) -> Callable:
+    """Decorator of ``f(docs, ...)`` that returns rows with the columns of ``docs``: inside,
+    columns other than ``own`` bear names that no operator uses, by position, so they may
+    have any name outside."""
+    def decorate(f: Callable) -> Callable:
+        @wraps(f)
+        def run(docs: DataFrame, *args, **options) -> DataFrame:
+            names = [c if c in own else f"other_column_{i}" for i, c in enumerate(docs.columns)]
+            return f(docs.toDF(*names), *args, **options).toDF(*docs.columns)
+        return run
+    return decorate
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text as long; null counts 0."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

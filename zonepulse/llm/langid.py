@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from zonepulse.llm.common import read_table, small_batches
+from zonepulse.llm.common import other_columns_aside, read_table, small_batches
 
 DIM = 1 << 12
 PER_LANGUAGE = 100
@@ -234,6 +234,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
         [*docs.schema.fields, StructField("_lang", StringType()), StructField("_score", DoubleType())]))
 
 
+@other_columns_aside("doc_id", "text", "lang")
 def keep_identified(docs: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
     """``docs`` without those whose language is unknown or unsure (below ``min_score``)."""
     known = predict(docs, fit(docs))

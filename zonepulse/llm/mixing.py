@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import materialise, read_table, with_positions, word_count
+from zonepulse.llm.common import materialise, other_columns_aside, read_table, with_positions, word_count
 
 
 def source_targets(stats: DataFrame, weights: Sequence[float], share: float, cap: float) -> DataFrame:
@@ -163,6 +163,7 @@ def plan_copies(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: fl
                          F.col("_copies").alias("copies"))
 
 
+@other_columns_aside("doc_id", "source", "text")
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as its copies say.
 

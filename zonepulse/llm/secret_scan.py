@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import read_table
+from zonepulse.llm.common import other_columns_aside, read_table
 
 #: Patterns of the base kinds, in the order in which ties are listed.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -170,6 +170,7 @@ def _listed(spans: str) -> Column:
                   "':', cast(x.s AS string), ':', cast(x.e AS string))))")
 
 
+@other_columns_aside("text", "n_chars")
 def redact_secrets(docs: DataFrame) -> DataFrame:
     """``docs`` with every secret replaced by ``[SECRET]``; overlapping spans count as one.
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from zonepulse.llm.common import materialise, read_table, small_batches
+from zonepulse.llm.common import materialise, other_columns_aside, read_table, small_batches
 
 _PIECE = 1 << 20
 
@@ -285,6 +285,7 @@ def simhash_components(docs: DataFrame, shingle: int = 3, max_bits: int = 3, pai
     return fps.join(of, "fp").select("doc_id", "fp", "component_id", "component_fp")
 
 
+@other_columns_aside("doc_id", "text")
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest doc_id (ties: fingerprint).
 
