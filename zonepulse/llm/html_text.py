@@ -17,7 +17,7 @@ Defined results:
 
 * null or empty html, or no block kept: empty text, 0 characters;
 * unclosed and stray tags: an end tag closes the nearest open element of its name, or is
-  ignored; an unclosed comment, script or style ends with the page;
+  ignored; an unclosed comment, tag, script or style ends with the page;
 * elements that the page hides (``hidden``, ``aria-hidden``, style) have no text;
 * repeated rows: each is returned; null page_id or url: passed on; empty table: empty result;
 * other columns are ignored, whatever their names.
@@ -44,7 +44,7 @@ DEPTH = 12
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
+    r"|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|</?[A-Za-z][^>]*+\Z", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -257,8 +257,12 @@ def training_pages() -> list[str]:
         out.append(f"<header><h1>{bad(3)}</h1>{nav}</header><main>{body}{junk}</main>{talk}{foot}")
         out.append(f"<div>{bad(long)}</div><p>{bad(short)}</p><article><header><h1>{good(4)}</h1><p>{bad(mid)}</p></header>"
                    f"{body}</article><div>{bad(mid)}</div>{foot}")
-        out.append(f"<p>{good(long + 12)}</p>")
+        out += [f"<p>{good(n)}</p>" for n in (short + 11, mid + 9, long + 12, 20 + k)]
         out.append(f"<div>{good(long + 15)}</div><p>{good(mid + 15)}</p>")
+        for n in (short, mid, long):                       # articles of one paragraph, between parts of any length
+            out.append(f"<nav>{bad(n)}</nav><article><p>{good(n)}</p></article>")
+            out.append(f"<article><p>{good(n)}</p><p>{good(short)}</p><form>{bad(mid)}</form><aside>{bad(n)}</aside><p>{good(short)}</p></article>")
+            out.append(f"<article><p>{good(n)}</p></article><footer>{bad(mid)}</footer>")
         plain = f"<h1>{good(4)}</h1>" + "".join(f"<p>{good(n)}</p>" for n in (long + 10, mid + 12, long + 5, mid + 15))
         out.append(f"<div class='menu'>{links(6)}</div><div>{plain}</div>{talk}<div class='footer'>{bad(long)}</div>")
     # one page a name: such parts beside and inside the article, of all lengths
@@ -285,7 +289,7 @@ def name_odds(found: list[Block]) -> dict[str, float]:
 class Tree:
     """Binary decision tree by Gini impurity; arrays of node -> feature, cut, children, verdict."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = 2) -> None:
+    def __init__(self, x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = 8) -> None:
         self.feature: list[int] = []
         self.cut: list[float] = []
         self.down: list[tuple[int, int]] = []
