@@ -4,6 +4,7 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
@@ -14,6 +15,7 @@ from zonepulse.plans.metrics_job import start_metrics_job
 from zonepulse.sources import fixtures as fx
 from zonepulse.sources import requests_io as rio
 from zonepulse.sources import telemetry_io as tio
+from zonepulse.streaming.commit import BatchCommit, committed, read_committed
 from zonepulse.streaming.router import route_batch
 from zonepulse.streaming.ttl_state import ttl_replay_stream
 from zonepulse.streaming.upsert import read_upserted
@@ -135,13 +137,13 @@ def test_retry_loop_closes(spark, tmp_dir):
         msgs = rio.read_requests_stream(spark, "text", (f"{tmp_dir}/main", f"{tmp_dir}/out/retry"))
         flow.start_request_consumer(msgs, b, 300.0, f"{tmp_dir}/out", f"{tmp_dir}/ckpt",
                                     trigger={"availableNow": True}).awaitTermination()
-    events = spark.read.parquet(f"{tmp_dir}/out/events").collect()
+    events = read_committed(spark, f"{tmp_dir}/out", "events").collect()
     of = lambda i: sorted(r.event_type for r in events if r.id == i)
     assert of("bad") == ["dlq", "miss", "retry", "retry", "retry"] and of("good") == ["miss"] and len(events) == 6
     assert all(r.latency_ms > 0 for r in events if r.event_type == "miss") and all(r.timestamp > 1e9 for r in events)
     dead = rio.decode_requests(spark.read.option("recursiveFileLookup", True).text(f"{tmp_dir}/out/dlq")).collect()
     assert [(r.id, r.retries, r.t_start, r.cache_key) for r in dead] == [("bad", 4, 100.0, "count:Z9:conf=0.5")]
-    answers = spark.read.parquet(f"{tmp_dir}/out/answers").collect()
+    answers = read_committed(spark, f"{tmp_dir}/out", "answers").collect()
     assert [(r.id, r["count"] > 0) for r in answers] == [("good", True)]
 
 
@@ -181,15 +183,14 @@ def test_request_consumer_stream_equals_batch(spark, tmp_dir):
                                trigger={"availableNow": True})
     q.awaitTermination()
     got = sorted((r.id, r.event_index, r.event_type)
-                 for r in spark.read.parquet(f"{tmp_dir}/out/events").collect())
+                 for r in read_committed(spark, f"{tmp_dir}/out", "events").collect())
     # batch: the same messages, the same tie-breaker, one pass
     batch_msgs = spark.read.text(f"{tmp_dir}/main").withColumn("topic", F.lit(rio.REQUEST_TOPIC)) \
         .withColumn("seq", F.xxhash64("topic", "value"))
     rep = flow.replayed(rio.decode_requests(batch_msgs), b, 3600.0)
     want = sorted((r.id, r.event_index, r.event_type) for r in rq.attempt_events(rep).collect())
     assert got == want and len(got) >= len(env)
-    routed = spark.read.parquet(f"{tmp_dir}/out/routed/retry").count() + \
-        spark.read.parquet(f"{tmp_dir}/out/routed/dlq").count()
+    routed = read_committed(spark, f"{tmp_dir}/out", "routed").where("route <> 'answer'").count()
     assert routed == rep.where(~F.col("cached") & F.col("error_reason").isNotNull()).count()
 
 
@@ -204,3 +205,48 @@ def test_event_log_stream_append(spark, tmp_dir):
     back = tio.read_telemetry_log(spark, f"{tmp_dir}/log")
     got = sorted((r.timestamp, r.event_type, r.latency_ms) for r in back.collect())
     assert got == sorted((r["timestamp"], r["event_type"], r["latency_ms"]) for r in rows)
+
+
+def test_one_commit_over_many_outputs(spark, tmp_dir):
+    """A fault between two outputs leaves no visible part; the batch run again shows all of it."""
+    rows = spark.range(5)
+    with BatchCommit(spark, tmp_dir, 0) as out:
+        out.write("a", rows)
+        out.write("b", rows)
+    with pytest.raises(RuntimeError):
+        with BatchCommit(spark, tmp_dir, 1) as out:
+            out.write("a", rows)
+            raise RuntimeError("executor lost")
+    assert sorted(committed(spark, tmp_dir)) == [0]
+    assert read_committed(spark, tmp_dir, "a").count() == read_committed(spark, tmp_dir, "b").count() == 5
+    for _ in range(2):                                     # the second run finds the batch committed
+        with BatchCommit(spark, tmp_dir, 1) as out:
+            out.write("a", spark.range(7))
+            out.write("b", spark.range(7))
+    assert read_committed(spark, tmp_dir, "a").count() == read_committed(spark, tmp_dir, "b").count() == 12
+    import os
+    assert len(os.listdir(f"{tmp_dir}/a")) == 2            # what the fault had staged is gone
+
+
+def test_micro_batches_leave_no_scratch(spark, tmp_dir):
+    """Twenty micro-batches write their outputs and nothing else."""
+    from zonepulse import session
+    from zonepulse.plans.request_flow import start_request_consumer
+    from zonepulse.sources import requests_io as rio
+    b = spark.createDataFrame([("Z1", 0.5, 10.0)], "zone_id string, confidence double, area_in_meters double")
+    for i in range(20):
+        rows = [(f"r{i}-{j}", "Z1" if j else "Z9", "Q1", 0.5, 5, None, 0, float(i * 10 + j + 1)) for j in range(3)]
+        req = spark.createDataFrame(rows, "id string, zone_id string, query_type string, confidence_min double, bins int, "
+                                          "zone_id_b string, retries int, t_start double")
+        rio.encode_requests(req).coalesce(1).write.text(f"{tmp_dir}/main/{i}")
+    spark.createDataFrame([], "value string").write.text(f"{tmp_dir}/retry")
+    msgs = rio.read_requests_stream(spark, "text", (f"{tmp_dir}/main", f"{tmp_dir}/retry"), maxFilesPerTrigger=1)
+    before = len(session._SCRATCH)
+    q = start_request_consumer(msgs, b, 300.0, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", trigger={"availableNow": True})
+    q.awaitTermination()
+    assert len(session._SCRATCH) == before
+    assert len(committed(spark, f"{tmp_dir}/out")) >= 20
+    assert read_committed(spark, f"{tmp_dir}/out", "events").where("event_type = 'retry'").count() == 20
+    assert spark.read.text(f"{tmp_dir}/out/retry").count() == 20
+
+

@@ -7,7 +7,7 @@ with a partial aggregate, and only that small table meets the thresholds.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions import hist_bin, point_coordinate, zone_area_km2
@@ -163,19 +163,50 @@ def reduce_by_confidence(buildings: DataFrame) -> DataFrame:
                  F.sum(F.col("area_in_meters").cast(AREA)).alias("_area")))  # exact: no order of addition
 
 
+#: Blocks of a unit of confidence in the suffix sums.
+BLOCKS = 65_536
+
+
+def _block(confidence: Column) -> Column:
+    """Block of a confidence value; values outside [0, 1] go to the blocks at the ends."""
+    at = F.when(F.isnan(confidence) | (confidence > 1), F.lit(float(BLOCKS))).when(
+        confidence < 0, F.lit(-1.0)).otherwise(F.floor(confidence * F.lit(float(BLOCKS))))
+    return at.cast("int")
+
+
 def threshold_stats(buildings: DataFrame, params: DataFrame) -> DataFrame:
     """Count and area sum per (zone_id, confidence_min) in ``params``; zones of params
-    without qualifying buildings get 0. ``buildings`` may be the reduced table."""
-    reduced = reduce_by_confidence(buildings)
-    p = params.select("zone_id", "confidence_min").distinct()
-    hits = (p.join(reduced, (p.zone_id == reduced.zone_id)
-                   & (reduced.confidence >= p.confidence_min))
-            .groupBy(p.zone_id, p.confidence_min)
-            .agg(F.sum("_n").alias("_n"), F.sum("_area").alias("_area")))
-    return (p.join(hits, ["zone_id", "confidence_min"], "left")
+    without qualifying buildings get 0. ``buildings`` may be the reduced table.
+
+    Block-wise suffix sums, no join of thresholds with values: thresholds are laid among the
+    values of their zone, a window inside each (zone, block) adds up from the highest value
+    down, and a window over one row per block adds what lies in higher blocks. A zone that
+    holds most buildings is spread over up to ``BLOCKS`` groups; the window over blocks
+    never holds more rows than that. A null threshold or zone matches nothing.
+    """
+    conf = F.col("confidence") + F.lit(0.0)             # one zero, so -0.0 equals 0.0
+    values = reduce_by_confidence(buildings).where(F.col("zone_id").isNotNull()).select(
+        "zone_id", conf.alias("at"), F.lit(False).alias("asked"), "_n", F.col("_area").cast("decimal(38,9)").alias("_area"),
+        F.lit(None).cast("double").alias("confidence_min"))
+    asked = params.select("zone_id", F.col("confidence_min").cast("double").alias("confidence_min")).distinct().select(
+        "zone_id", (F.col("confidence_min") + F.lit(0.0)).alias("at"), F.lit(True).alias("asked"), F.lit(0).cast("long").alias("_n"),
+        F.lit(None).cast("decimal(38,9)").alias("_area"), "confidence_min")
+    both = values.unionByName(asked).withColumn("block", _block(F.col("at")))
+    # equal values come before the threshold: the comparison is inclusive
+    down = Window.partitionBy("zone_id", "block").orderBy(F.desc("at"), "asked").rowsBetween(Window.unboundedPreceding, 0)
+    inside = both.select("zone_id", "block", "asked", "confidence_min", F.sum("_n").over(down).alias("n_in"),
+                         F.sum("_area").over(down).alias("area_in")).where("asked")
+    higher = Window.partitionBy("zone_id").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
+    above = (both.groupBy("zone_id", "block").agg(F.sum("_n").alias("_n"), F.sum("_area").alias("_area"))
+             .select("zone_id", "block", F.sum("_n").over(higher).alias("n_up"), F.sum("_area").over(higher).alias("area_up")))
+    known = F.col("confidence_min").isNotNull()
+    zero = F.lit(0).cast("decimal(38,9)")
+    area = F.when(F.col("area_in").isNotNull() | F.col("area_up").isNotNull(),
+                  F.coalesce("area_in", zero) + F.coalesce("area_up", zero))
+    return (inside.join(above, ["zone_id", "block"], "left")
             .select("zone_id", "confidence_min",
-                    F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("count"),
-                    F.col("_area").cast("double").alias("total_area")))
+                    F.when(known, F.coalesce("n_in", F.lit(0)) + F.coalesce("n_up", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("count"),
+                    F.when(known, area).cast("double").alias("total_area")))
 
 
 def zone_areas(spark: SparkSession, zones: DataFrame | None = None) -> DataFrame:
@@ -189,7 +220,7 @@ def zone_answers(buildings: DataFrame, params: DataFrame, zones: DataFrame | Non
     count; avg_area, total_area, n (0 when empty); density_per_km2 = count / area (round 4)
     and area_km2 (round 4), area 1.0 for a zone without a box."""
     s = threshold_stats(buildings, params)
-    areas = F.broadcast(zone_areas(buildings.sparkSession, zones))  # one row per zone (bounded)
+    areas = zone_areas(buildings.sparkSession, zones)      # broadcast by Spark where its size allows
     area = F.coalesce(F.col("area_km2"), F.lit(1.0))
     return (s.join(areas, "zone_id", "left")
             .select("zone_id", "confidence_min", "count",

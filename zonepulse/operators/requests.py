@@ -41,15 +41,21 @@ def loaded_zones(buildings: DataFrame) -> DataFrame:
     return buildings.select("zone_id").distinct()
 
 
+def zone_ids(buildings: DataFrame) -> DataFrame:
+    """The loaded zones as a written table, for all validations of a job."""
+    return scratch_table(loaded_zones(buildings), "loaded-zones")
+
+
 def validate_requests(req: DataFrame, loaded: DataFrame) -> DataFrame:
     """``error_status`` and ``error_reason`` (null = valid), first failing rule wins:
     missing fields 422, unknown zone 404, Q4 without zone_id_b 400, unknown type 400,
     Q4 with an unknown zone_id_b 500, Q5 with bins < 1 or above ``MAX_BINS`` 500.
 
-    The ids of ``loaded`` are written once, so their size is known when the joins are
-    planned: Spark broadcasts them below its threshold and splits hot zones beyond it.
+    ``loaded`` is joined as it is. Pass a written table (``zone_ids``): its size is known
+    when the joins are planned, so Spark broadcasts it below its threshold and splits hot
+    zones beyond it.
     """
-    ids = scratch_table(loaded.select("zone_id").distinct(), "loaded-zones")
+    ids = loaded.select("zone_id").distinct()
     z = ids.select(F.col("zone_id").alias("_zk"))
     zb = ids.select(F.col("zone_id").alias("_zbk"))
     j = (req.join(z, req.zone_id == z._zk, "left")
@@ -80,10 +86,11 @@ def answer_requests(req: DataFrame, buildings: DataFrame, zones: DataFrame | Non
     to their distinct parameter tuples (equal exchanges are reused inside the plan).
     One table holds the answer of every tuple, and the requests meet it in a single join
     on their parameters (broadcast when Spark's size check allows, split by AQE at hot
-    parameters beyond it); the answer columns of other query types are null.
+    parameters beyond it); the answer columns of other query types are null. Requests that
+    carry ``error_reason`` have been validated (P9) and are not validated again.
     """
     reduced = bld.reduce_by_confidence(buildings)
-    checked = validate_requests(req, loaded_zones(reduced))
+    checked = req if "error_reason" in req.columns else validate_requests(req, zone_ids(reduced))
     valid = checked.where(F.col("error_reason").isNull())
     params = valid.select("query_type", "zone_id", "zone_id_b", "confidence_min", "bins") \
         .distinct()

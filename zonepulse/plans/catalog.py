@@ -27,6 +27,7 @@ from zonepulse.sources import fixtures as fx
 from zonepulse.sources import telemetry_io as tio
 from zonepulse.sources.tables import read_table
 from zonepulse.sources.zones import zones as zone_table
+from zonepulse.streaming.commit import read_committed
 from zonepulse.streaming.ttl_state import ttl_replay_stream
 from zonepulse.streaming.upsert import compact, read_upserted
 
@@ -119,7 +120,7 @@ def _valid_requests(spark, sf_dir):
     # the reduced table serves the validation and the answers: one scan of the buildings
     b = bld.reduce_by_confidence(_buildings(spark, sf_dir))
     req = fx.requests(spark, sf_dir)
-    return rq.validate_requests(req, rq.loaded_zones(b)).where(F.col("error_reason").isNull()), b
+    return rq.validate_requests(req, rq.zone_ids(b)).where(F.col("error_reason").isNull()), b
 
 
 @register("buildings")
@@ -202,7 +203,7 @@ def q_cache_keys(spark, sf_dir):
 @register("validate_requests")
 def q_validate(spark, sf_dir):
     b = _buildings(spark, sf_dir)
-    return rq.validate_requests(fx.requests(spark, sf_dir), rq.loaded_zones(b)) \
+    return rq.validate_requests(fx.requests(spark, sf_dir), rq.zone_ids(b)) \
         .select("seq", "error_status", "error_reason")
 
 
@@ -279,9 +280,7 @@ def _messages(spark, sf_dir):
 def q_retry_envelopes(spark, sf_dir):
     """T5's messages for the retry and dead-letter topics, read back by S8."""
     out = flow.process_requests(_messages(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
-    both = out["retry"].withColumn("topic", F.lit("retry")).unionByName(
-        out["dlq"].withColumn("topic", F.lit("dlq")))
-    return rio.decode_requests(both, F.lit(FIXED_NOW))
+    return rio.decode_requests(out["failed"].withColumnRenamed("route", "topic"), F.lit(FIXED_NOW))
 
 
 @register("request_rejects")
@@ -568,4 +567,4 @@ def _consumed(spark, sf_dir, output="events"):
     q = flow.start_request_consumer(msgs, _buildings(spark, sf_dir), TTL_FIXTURE, f"{base}/out",
                                     f"{base}/checkpoint", trigger={"availableNow": True})
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/out/{output}")
+    return read_committed(spark, f"{base}/out", output)

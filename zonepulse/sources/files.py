@@ -21,6 +21,12 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+def create(spark: SparkSession, path: str) -> bool:
+    """Create an empty file, folders above it included; false if it was there."""
+    fs, p = _fs(spark, path)
+    return fs.createNewFile(p)
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries of a folder; none if it does not exist."""
     fs, p = _fs(spark, path)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from zonepulse.functions import cache_key
 from zonepulse.schemas import ENVELOPE, REQUEST
 
+# The topic names that producers and consumers share.
 REQUEST_TOPIC = "consultas_geoespaciales"
 RETRY_TOPIC = "consultas_retry"
 DLQ_TOPIC = "consultas_dlq"
@@ -103,7 +104,8 @@ def encode_bare_requests(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(_req_struct()).alias("value"))
 
 
-def encode_failed(df: DataFrame) -> DataFrame:
-    """Retry / dead-letter payload: envelope plus retries, t_start and cache_key."""
-    return df.select(F.to_json(F.struct(F.col("id"), _req_struct().alias("req"), F.col("retries"),
-                                        F.col("t_start"), F.col("cache_key"))).alias("value"))
+def encode_failed(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Retry / dead-letter payload: envelope plus retries, t_start and cache_key.
+    Columns in ``keep`` (e.g. the route) stay next to ``value``."""
+    return df.select(*(keep or []), F.to_json(F.struct(
+        F.col("id"), _req_struct().alias("req"), F.col("retries"), F.col("t_start"), F.col("cache_key"))).alias("value"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.schemas import TELEMETRY
 
+# Fixed value: the topic name that producers and consumers share.
 TELEMETRY_TOPIC = "metrics-topic"
 
 
