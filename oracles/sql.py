@@ -600,3 +600,7 @@ FROM events LEFT JOIN att ON att.seq = event_id GROUP BY 1""").replace(
 ORACLES["window_metrics_late"] = ORACLES["window_metrics"].replace(
     "FROM w GROUP BY ws",
     "FROM w WHERE seq % 3 < 2 OR ws + 60 > (SELECT max(sec) - 60 FROM e WHERE seq % 3 = 0) GROUP BY ws")
+
+ORACLES["ttl_replay_event_time"] = ORACLES["ttl_replay"]
+ORACLES["backlog_episodes_live"] = ORACLES["backlog_episodes"]
+ORACLES["assign_runs_stream"] = ORACLES["assign_runs"]

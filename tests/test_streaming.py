@@ -242,8 +242,12 @@ def test_micro_batches_leave_no_scratch(spark, tmp_dir):
     spark.createDataFrame([], "value string").write.text(f"{tmp_dir}/retry")
     msgs = rio.read_requests_stream(spark, "text", (f"{tmp_dir}/main", f"{tmp_dir}/retry"), maxFilesPerTrigger=1)
     before = len(session._SCRATCH)
-    q = start_request_consumer(msgs, b, 300.0, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", trigger={"availableNow": True})
-    q.awaitTermination()
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        start_request_consumer(msgs, b, 300.0, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", trigger={"availableNow": True}).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert len(session._SCRATCH) == before
     assert len(committed(spark, f"{tmp_dir}/out")) >= 20
     assert read_committed(spark, f"{tmp_dir}/out", "events").where("event_type = 'retry'").count() == 20

@@ -396,7 +396,7 @@ def test_grid_assignment_equals_case_chain(spark):
     from zonepulse.sources import fixtures as fx
     pts = bld.project_complete(fx.buildings_raw(spark, SF_SMALL))
     case = sorted(tuple(r) for r in bld.assign_zone(pts).collect())
-    grid = sorted(tuple(r) for r in bld.assign_zone_grid(pts, zones(spark), 0.013).collect())
+    grid = sorted(tuple(r) for r in bld.assign_zone_index(pts, zones(spark)).collect())
     assert case == grid and len(case) > 0
 
 
@@ -566,3 +566,31 @@ def test_threshold_stats_odd_values(spark):
     want = {("A", str(c)): sum(v >= c for z, v, *_ in rows if z) if c is not None else 0 for c in asked if str(c) != "-0.0"}
     want |= {("None", "0.0"): 0, ("Z", "0.5"): 0}
     assert dict(got) | {("A", "-0.0"): 0} == want | {("A", "-0.0"): 0}
+
+
+def test_zone_index_against_boxes(spark):
+    """Boxes from a point to a country, overlapping, crossed and null ones: at most four intervals a zone."""
+    rng = np.random.default_rng(5)
+    boxes = []
+    for i in range(300):
+        side = float(10.0 ** rng.uniform(-5, 1.5))
+        a, c = float(rng.uniform(-60, 30)), float(rng.uniform(-150, 100))
+        boxes.append((i + 1, f"z{i}", a, a + side * float(rng.uniform(0, 1)), c, c + side))
+    boxes += [(900, "country", -56.0, -17.0, -76.0, -66.0), (901, "point", -33.45, -33.45, -70.65, -70.65),
+              (902, "crossed", 5.0, -5.0, 0.0, 1.0), (903, "null", None, 1.0, 0.0, 1.0), (950, "world", -90.0, 90.0, -180.0, 180.0)]
+    schema = "priority int, zone_id string, lat_min double, lat_max double, lon_min double, lon_max double"
+    z = spark.createDataFrame(boxes, schema)
+    assert bld.zone_intervals(z).groupBy("zone_id").count().agg(F.max("count")).first()[0] <= 4
+    pts = [(float(rng.uniform(-90, 90)), float(rng.uniform(-180, 180)), i) for i in range(1500)]
+    for _, _, a, b, c, d in boxes[:303]:
+        if a is not None and a <= b:
+            pts += [(a, c, 1), (b, d, 2), ((a + b) / 2, (c + d) / 2, 3)]
+    pts += [(None, 1.0, 0), (-33.45, -70.65, 0), (500.0, 0.0, 0)]
+    df = spark.createDataFrame(pts, "latitude double, longitude double, k int")
+    want = sorted((la, lo, k, next(n for _, n, a, b, c, d in boxes if a is not None and a <= la <= b and c <= lo <= d))
+                  for la, lo, k in pts if la is not None and la <= 90)
+    out = bld.assign_zone_index(df, z)
+    assert sorted(tuple(r) for r in out.collect()) == want
+    assert bld.assign_zone_index(df, z.limit(0)).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -11,11 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions import hist_bin, point_coordinate, zone_area_km2
+from zonepulse.session import scratch_table
 from zonepulse.sources.zones import ZONE_ROWS, global_bbox
 
-# Zone tables up to this size become an inline CASE chain (no join at all).
-MAX_INLINE_ZONES = 256
-
 # Areas are added up as decimals, so a sum does not depend on the order of its rows.
 AREA = "decimal(28,9)"
 
@@ -65,66 +63,93 @@ def filter_confidence(df: DataFrame, c: float | Column) -> DataFrame:
 
 # ------------------------------------------------------------- J1, P8
 
-def _zone_rows(zones: DataFrame | None) -> list[tuple]:
-    if zones is None:
-        return [(r[0], r[1], r[3], r[4], r[5], r[6]) for r in ZONE_ROWS]
-    rows = zones.select("priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max").collect()
-    return sorted((tuple(r) for r in rows), key=lambda r: r[0])
-
-
-def zone_of(lat: Column, lon: Column, zones: DataFrame | None = None) -> Column:
-    """First zone (by priority) whose box contains the point, bounds inclusive
-    (an inline CASE chain; meant for a zone table of at most MAX_INLINE_ZONES rows)."""
+def zone_of(lat: Column, lon: Column) -> Column:
+    """First of the built-in zones (by priority) whose box contains the point, bounds inclusive."""
     expr = None
-    for _, zid, a, b, c, d in _zone_rows(zones):
+    for _, zid, _, a, b, c, d, _ in ZONE_ROWS:
         inside = lat.between(F.lit(a), F.lit(b)) & lon.between(F.lit(c), F.lit(d))
         expr = F.when(inside, F.lit(zid)) if expr is None else expr.when(inside, F.lit(zid))
     return expr
 
 
-def assign_zone(points: DataFrame, zones: DataFrame | None = None,
-                cell_degrees: float = 0.01) -> DataFrame:
+def assign_zone(points: DataFrame, zones: DataFrame | None = None) -> DataFrame:
     """Point-in-box zone assignment, first match by zone priority, unmatched dropped.
 
-    A zone table of at most MAX_INLINE_ZONES rows (size checked) becomes a CASE chain
-    evaluated inside the scan stage: no shuffle, no broadcast, no pairs. A larger one
-    goes through ``assign_zone_grid``.
+    The built-in zones are literals: a CASE chain inside the scan stage, no shuffle, no
+    broadcast. A zone table, of whatever size, goes through ``assign_zone_index``.
     """
-    if zones is not None and zones.limit(MAX_INLINE_ZONES + 1).count() > MAX_INLINE_ZONES:
-        return assign_zone_grid(points, zones, cell_degrees)
-    z = zone_of(F.col("latitude"), F.col("longitude"), zones)
+    if zones is not None:
+        return assign_zone_index(points, zones)
+    z = zone_of(F.col("latitude"), F.col("longitude"))
     return points.withColumn("zone_id", z).where(F.col("zone_id").isNotNull())
 
 
-def _cell(c: Column, size: float) -> Column:
-    return F.floor(c / F.lit(size)).cast("long")
+#: Depth of the finest cells: 2^20 a side of a square of 360 degrees.
+DEPTH = 20
+
+
+def _place(c: Column) -> Column:
+    """Index of a coordinate among the finest cells of its axis."""
+    return F.floor((c + F.lit(180.0)) * F.lit(2.0 ** DEPTH / 360.0)).cast("long")
 
 
-def assign_zone_grid(points: DataFrame, zones: DataFrame, cell_degrees: float = 0.01) -> DataFrame:
-    """J1 for zone tables of any size: a grid-cell equi-join.
+def _spread(x: Column) -> Column:
+    """The low 21 bits of an index at every other position."""
+    x = x.bitwiseAND(0x1FFFFF)
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(mask)
+    return x
 
-    Every zone is listed under each grid cell its box touches; each cell keeps its
-    candidate zones as one array sorted by priority. A point joins exactly one cell row
-    (many-to-one, so no pairs and no point key) and takes the first candidate whose box
-    contains it. Hot cells are split by AQE's skew handling of the join.
+
+def morton(row: Column, column: Column) -> Column:
+    """Position of a cell on the Z-order curve: the bits of both indices in turn."""
+    return _spread(row).bitwiseOR(F.shiftleft(_spread(column), 1))
+
+
+def zone_intervals(zones: DataFrame) -> DataFrame:
+    """Intervals of the Z-order curve that cover each box: depth, z and the box (at most 4 rows a zone).
+
+    A box is laid on the cells whose side is the next power of two above its own, so it
+    touches two of them an axis at most, be it a street or a country. A cell of depth d is
+    the interval [z * 4^k, (z + 1) * 4^k) of the curve with k = ``DEPTH`` - d. Boxes without
+    an inside (a null or crossed bound) have none.
+    """
+    side = F.greatest(F.col("lat_max") - F.col("lat_min"), F.col("lon_max") - F.col("lon_min"), F.lit(360.0 / 2 ** DEPTH))
+    depth = F.greatest(F.lit(0), F.least(F.lit(DEPTH), F.floor(F.log2(F.lit(360.0) / side)))).cast("int")
+    boxes = zones.where((F.col("lat_min") <= F.col("lat_max")) & (F.col("lon_min") <= F.col("lon_max"))).select(
+        "priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max", depth.alias("depth"))
+    up = lambda c: F.call_function("shiftright", _place(F.col(c)), F.lit(DEPTH) - F.col("depth"))
+    rows = boxes.withColumn("_i", F.explode(F.sequence(up("lat_min"), up("lat_max"))))
+    cells = rows.withColumn("_j", F.explode(F.sequence(up("lon_min"), up("lon_max"))))
+    return cells.withColumn("z", morton(F.col("_i"), F.col("_j"))).drop("_i", "_j")
+
+
+def assign_zone_index(points: DataFrame, zones: DataFrame) -> DataFrame:
+    """J1 for a zone table of any size: intervals of the Z-order curve.
+
+    Points and boxes meet where a point's position on the curve, cut to the depth of the
+    interval, equals the interval: one equi-join per depth that boxes have (their sizes
+    differ by a few powers of two; there are ``DEPTH`` + 1 depths at most). Each interval
+    keeps its boxes as one array sorted by priority, so a point stays one row in every join
+    and needs no key. The first box by priority that contains the point wins. Hot intervals
+    are split by AQE's skew handling of the join.
     """
-    size = float(cell_degrees)
-    z = zones.select(
-        "priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max",
-        F.explode(F.sequence(_cell(F.col("lat_min"), size), _cell(F.col("lat_max"), size))).alias("ci"))
-    z = z.withColumn("cj", F.explode(F.sequence(_cell(F.col("lon_min"), size),
-                                                _cell(F.col("lon_max"), size))))
-    cells = z.groupBy("ci", "cj").agg(F.array_sort(F.collect_list(F.struct(
-        "priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max"))).alias("_cand"))
     lat, lon = F.col("latitude"), F.col("longitude")
-    pts = points.withColumns({"ci": _cell(lat, size), "cj": _cell(lon, size)})
-    inside = lambda c: (lat.between(c["lat_min"], c["lat_max"])
-                        & lon.between(c["lon_min"], c["lon_max"]))
-    hit = F.try_element_at(F.filter(F.col("_cand"), inside), F.lit(1))
-    return (pts.join(cells, ["ci", "cj"], "inner")
-            .withColumn("zone_id", hit["zone_id"])
-            .where(F.col("zone_id").isNotNull())
-            .drop("ci", "cj", "_cand"))
+    index = scratch_table(zone_intervals(zones).groupBy("depth", "z").agg(F.array_sort(F.collect_list(F.struct(
+        "priority", "zone_id", "lat_min", "lat_max", "lon_min", "lon_max"))).alias("boxes")), "zone-intervals")
+    depths = sorted(r[0] for r in index.select("depth").distinct().collect())
+    found = points.withColumn("_z", morton(_place(lat), _place(lon)))
+    inside = lambda c: lat.between(c["lat_min"], c["lat_max"]) & lon.between(c["lon_min"], c["lon_max"])
+    hits = [F.lit(None).cast("struct<priority: int, zone_id: string>")]
+    for d in depths:
+        cells = index.where(F.col("depth") == d).select(F.col("z").alias(f"_z{d}"), F.col("boxes").alias(f"_boxes{d}"))
+        found = found.join(cells, F.shiftright("_z", 2 * (DEPTH - d)) == F.col(f"_z{d}"), "left")
+        first = F.try_element_at(F.filter(F.col(f"_boxes{d}"), inside), F.lit(1))
+        hits.append(F.struct(first["priority"].cast("int").alias("priority"), first["zone_id"].alias("zone_id")))
+    best = F.array_min(F.filter(F.array(*hits), lambda h: h["zone_id"].isNotNull()))
+    return (found.withColumn("zone_id", best["zone_id"]).where(F.col("zone_id").isNotNull())
+            .drop("_z", *[f"_z{d}" for d in depths], *[f"_boxes{d}" for d in depths]))
 
 
 def with_zone_area(zones: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from zonepulse.operators import requests as rq
 from zonepulse.operators import telemetry as tel
 from zonepulse.plans import request_flow as flow
 from zonepulse.plans.metrics_job import start_metrics_job
-from zonepulse.session import scratch_path
+from zonepulse.session import scratch_path, scratch_table
 from zonepulse.sources import buildings_io as bio
 from zonepulse.sources import experiments_io as xio
 from zonepulse.sources import requests_io as rio
@@ -27,8 +27,10 @@ from zonepulse.sources import fixtures as fx
 from zonepulse.sources import telemetry_io as tio
 from zonepulse.sources.tables import read_table
 from zonepulse.sources.zones import zones as zone_table
+from zonepulse.streaming.backlog import start_backlog_job
 from zonepulse.streaming.commit import read_committed
-from zonepulse.streaming.ttl_state import ttl_replay_stream
+from zonepulse.streaming.runs import assign_runs_stream
+from zonepulse.streaming.ttl_state import ttl_replay_event_time, ttl_replay_stream
 from zonepulse.streaming.upsert import compact, read_upserted
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,9 +138,9 @@ def q_buildings_from_wkt(spark, sf_dir):
 
 @register("buildings_grid")
 def q_buildings_grid(spark, sf_dir):
-    """J1 by the grid-cell join (the path of zone tables of any size)."""
+    """J1 by the intervals of the Z-order curve (the path of zone tables)."""
     points = bld.project_complete(bld.filter_global_bbox(fx.buildings_raw(spark, sf_dir)))
-    return bld.assign_zone_grid(points, zone_table(spark))
+    return bld.assign_zone_index(points, zone_table(spark))
 
 
 @register("buildings_custom_zones")
@@ -524,6 +526,55 @@ def q_ttl_replay_stream(spark, sf_dir):
     return spark.read.parquet(f"{base}/out").select("seq", "cache_key", "cached")
 
 
+@register("ttl_replay_event_time")
+def q_ttl_replay_event_time(spark, sf_dir):
+    """T4 over arrivals up to half a day out of order, in three parts with a restart after each:
+    the watermark's timers judge them in time order, so the result equals the batch replay."""
+    base = scratch_path(spark, "ttl-timers")
+    kv = flow.keyed_and_validated(fx.requests(spark, sf_dir), _buildings(spark, sf_dir)).select(
+        "seq", "t_start", "cache_key", F.col("error_reason").isNull().alias("valid"))
+    late = kv.withColumn("arrived", F.col("t_start") + F.pmod(F.xxhash64("seq"), F.lit(43_200)))
+    late = scratch_table(late, "late-requests")
+    lo, hi = late.agg(F.min("arrived"), F.max("arrived")).first()
+    last = spark.createDataFrame([(-1, hi + 10 * 86_400.0, "", False)], "seq long, t_start double, cache_key string, valid boolean")
+    cuts = [lo + (hi - lo) * k / 3 for k in range(3)] + [float("inf")]
+    for k in range(3):
+        part = late.where((F.col("arrived") >= cuts[k]) & (F.col("arrived") < cuts[k + 1])).drop("arrived")
+        (part.unionByName(last) if k == 2 else part).write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(last.schema).parquet(f"{base}/in")
+        q = (ttl_replay_event_time(src, TTL_FIXTURE, "1 day").writeStream.format("parquet").option("path", f"{base}/out")
+             .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("seq", "cache_key", "cached")
+
+
+@register("backlog_episodes_live")
+def q_backlog_episodes_live(spark, sf_dir):
+    """W2 as a stream: the offsets arrive in three parts, with a restart after each."""
+    base = scratch_path(spark, "backlog-live")
+    o = scratch_table(fx.offsets(spark, sf_dir), "offset-log")
+    n = o.agg(F.max("seq")).first()[0] + 1
+    for k in range(3):
+        o.where((F.col("seq") >= n * k // 3) & (F.col("seq") < n * (k + 1) // 3)).write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(o.schema).parquet(f"{base}/in")
+        start_backlog_job(src, f"{base}/out", f"{base}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return read_committed(spark, f"{base}/out", "episodes")
+
+
+@register("assign_runs_stream")
+def q_assign_runs_stream(spark, sf_dir):
+    """J4 as a stream-stream join: events meet the run records on two watermarks."""
+    base = scratch_path(spark, "runs-stream")
+    t, r = fx.telemetry(spark, sf_dir).select("seq", "timestamp"), fx.runs(spark).select("run_id", "start_time", "end_time")
+    t.write.parquet(f"{base}/events")
+    r.write.parquet(f"{base}/runs")
+    read = lambda df, name: spark.readStream.schema(df.schema).parquet(f"{base}/{name}")
+    q = (assign_runs_stream(read(t, "events"), read(r, "runs")).writeStream.format("parquet").option("path", f"{base}/out")
+         .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("seq", "run_id")
+
+
 @register("request_outcomes")
 def q_request_outcomes(spark, sf_dir):
     """End to end: requests as envelopes on a log -> decode -> key -> validate -> TTL

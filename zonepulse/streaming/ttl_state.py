@@ -71,3 +71,88 @@ def ttl_replay_stream(req: DataFrame, ttl: float, time_col: str = "t_start",
     return ev.groupBy("cache_key").transformWithStateInPandas(
         statefulProcessor=TTLCacheProcessor(ttl, keep, state_ms), outputStructType=schema,
         outputMode="Append", timeMode="ProcessingTime" if state_ms else "None")
+
+
+_PENDING = T.StructType([T.StructField("seq", T.LongType()), T.StructField("t", T.DoubleType()),
+                         T.StructField("valid", T.BooleanType())])
+
+
+class TTLTimerProcessor(StatefulProcessor):
+    """Per cache key in event time: requests wait in a list until the watermark has passed
+    them, then are judged in (t, seq) order from the key's expiry.
+
+    A timer stands at the earliest waiting request. When it fires, all requests up to the
+    watermark are judged, and it is set anew for the rest. The list holds the requests
+    of one key within the watermark's delay, three numbers each.
+    """
+
+    def __init__(self, ttl: float):
+        self.ttl = float(ttl)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.expiry = handle.getValueState("expiry", _EXPIRY)
+        self.timer = handle.getValueState("timer", T.StructType([T.StructField("ms", T.LongType())]))
+        self.waiting = handle.getListState("waiting", _PENDING)
+
+    def _stand_at(self, t: float) -> None:
+        """Have the timer stand at ``t`` unless it stands earlier."""
+        ms = int(t * 1000.0) + 1
+        if self.timer.exists():
+            old = self.timer.get()[0]
+            if old <= ms:
+                return
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(ms)
+        self.timer.update((ms,))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for pdf in rows:
+            if len(pdf):
+                self.waiting.appendList(list(zip(pdf["seq"].astype("int64").tolist(), pdf["t"].astype(float).tolist(),
+                                                 pdf["valid"].astype(bool).tolist())))
+                self._stand_at(float(pdf["t"].min()))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        from zonepulse.operators.requests import fold_run
+        passed = timerValues.getCurrentWatermarkInMs() / 1000.0
+        pdf = pd.DataFrame(list(self.waiting.get()), columns=["seq", "t", "valid"])
+        ready = pdf[pdf["t"] < passed].sort_values(["t", "seq"], kind="stable")
+        rest = pdf[~(pdf["t"] < passed)]
+        self.timer.clear()
+        if len(rest):
+            self.waiting.put(list(rest.itertuples(index=False, name=None)))
+            self._stand_at(float(rest["t"].min()))
+        else:
+            self.waiting.clear()
+        expiry = self.expiry.get()[0] if self.expiry.exists() else float("-inf")
+        cached, expiry = fold_run(ready["t"].to_numpy(dtype="float64"), ready["valid"].to_numpy(dtype=bool), expiry, self.ttl)
+        if expiry != float("-inf"):
+            self.expiry.update((float(expiry),))
+        if len(ready):
+            yield pd.DataFrame({"cache_key": [key[0]] * len(ready), "seq": ready["seq"].astype("int64").to_numpy(), "cached": cached})
+
+    def close(self) -> None:
+        pass
+
+
+def ttl_replay_event_time(req: DataFrame, ttl: float, delay: str, time_col: str = "t_start", order_col: str = "seq",
+                          valid_col: str = "valid") -> DataFrame:
+    """T4 over a stream out of order: cache_key, seq and cached of each request that arrives
+    within ``delay`` of the newest one, judged in time order once the watermark passes it.
+
+    Requests later than that are dropped, as the watermark says; those without key or time
+    take no part."""
+    from pyspark.sql import functions as F
+    spark = req.sparkSession
+    conf_key = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in (spark.conf.get(conf_key, "") or ""):
+        spark.conf.set(conf_key, ROCKSDB_PROVIDER)
+    t = F.col(time_col).cast("double")
+    ev = req.where(F.col("cache_key").isNotNull() & t.isNotNull() & ~F.isnan(t)).select(
+        "cache_key", F.col(order_col).cast("long").alias("seq"), t.alias("t"),
+        F.coalesce(F.col(valid_col), F.lit(False)).alias("valid"),
+        F.timestamp_micros((t * F.lit(1e6)).cast("long")).alias("event_time")).withWatermark("event_time", delay)
+    return ev.groupBy("cache_key").transformWithStateInPandas(
+        statefulProcessor=TTLTimerProcessor(ttl), outputStructType=REPLAY_SCHEMA, outputMode="Append", timeMode="EventTime")
