@@ -68,21 +68,19 @@ def word_count(text: Column) -> Column:
 def with_positions(df: DataFrame, *order: Column, name: str = "_pos") -> DataFrame:
     """Add the 0-based global position of each row under ``order``.
 
-    Rows are range-partitioned and ranked inside their partition; only one count per
-    partition reaches the driver, so no task ever sees the whole table.
+    Rows are range-partitioned and ranked inside their partition; a table with one row per
+    partition says how many rows lie before it, so no task ever sees the whole table and
+    the plan does not grow with the number of partitions.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = materialise(
         df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), "positions")
-    offset, offsets = 0, []
-    for part, n in sorted(tuple(r) for r in placed.groupBy("_part").count().collect()):
-        offsets += [F.lit(part), F.lit(offset).cast("long")]
-        offset += n
-    if not offsets:
-        return placed.drop("_part").withColumn(name, F.lit(0).cast("long"))
-    start = F.element_at(F.create_map(*offsets), F.col("_part"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = materialise(placed.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).cast("long").alias("_start")), "position-starts")
     rank = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return placed.withColumn(name, start + rank).drop("_part")
+    return (placed.withColumn("_rank", rank).join(starts, "_part")
+            .withColumn(name, F.col("_start") + F.col("_rank")).drop("_part", "_start", "_rank"))
 
 
 def as_bytes(values: Iterable[str | None]) -> list[bytes]:
