@@ -55,8 +55,8 @@ def test_latency_histogram_matches_numpy(spark, xs):
        st.sampled_from([50, 90, 95, 99]))
 def test_nearest_rank_vs_sorted_list(spark, xs, p):
     df = spark.createDataFrame([(float(x) / 4,) for x in xs], "v double")
-    # tiny buckets and limit force several refinement rounds
-    out = select_ranks(df, "v", {"q": nearest_rank_low(p)}, buckets=3, exact_limit=2).collect()[0]
+    # a coarse sketch without slack makes brackets miss
+    out = select_ranks(df, "v", {"q": nearest_rank_low(p)}, sketch=8, grid=16, slack=0).collect()[0]
     data = sorted(float(x) / 4 for x in xs)
     assert out["q"] == data[max(0, int(len(data) * p / 100) - 1)]
 
@@ -67,7 +67,7 @@ def test_grouped_ranks_with_rounds(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: (r.p50, r.p95) for r in select_ranks(
         df, "v", {"p50": nearest_rank_low(50), "p95": nearest_rank_low(95)}, by=["g"],
-        buckets=8, exact_limit=10).collect()}
+        sketch=8, grid=64, slack=0).collect()}
     for g in ("a", "b"):
         d = sorted(v for k, v in rows if k == g)
         assert got[g] == (d[len(d) * 50 // 100 - 1], d[len(d) * 95 // 100 - 1])
@@ -77,10 +77,21 @@ def test_ranks_with_infinite_and_huge_values(spark):
     xs = [float("-inf")] * 3 + [-1.7e308, 1.7e308, 5e-324, 0.0] + [float(i) for i in range(60)] + [float("inf")] * 2
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     for k in (1, 4, 5, 30, len(xs) - 2, len(xs)):
-        got = select_ranks(df, "x", {"r": lambda n, k=k: F.lit(k)}, buckets=4, exact_limit=1).first()
+        got = select_ranks(df, "x", {"r": lambda n, k=k: F.lit(k)}, sketch=8, grid=4, slack=0).first()
         assert (got.n, got.r) == (len(xs), sorted(xs)[k - 1])
 
 
+def test_ranks_of_null_and_hot_groups(spark):
+    """A group of null key, one value that most rows share, nulls and NaN, a rank out of range."""
+    rows = [(None, float(i)) for i in range(50)] + [("hot", 7.0)] * 2000 + [("hot", float(i)) for i in range(20)]
+    rows += [("hot", None), ("hot", float("nan")), ("one", 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.n, r.mid, r.tenth) for r in select_ranks(
+        df, "v", {"mid": nearest_rank_low(50), "tenth": lambda n: F.lit(10)}, by=["g"], sketch=8, grid=16, slack=0).collect()}
+    hot = sorted([7.0] * 2000 + [float(i) for i in range(20)])
+    assert got == {None: (50, 24.0, 9.0), "hot": (2020, hot[1009], hot[9]), "one": (1, 3.0, None)}
+
+
 def test_percentiles_empty_are_zero(spark):
     df = spark.createDataFrame([(1.0, "retry", "Q1", "Z1", "k", 5.0, 1)],
                                "timestamp double, event_type string, query_type string, zone_id string, "
@@ -332,6 +343,36 @@ def test_window_rate_divides_by_all_rows(spark):
 
 # ------------------------------------------------------------ sources, plans
 
+def test_panes_expand_no_event(spark):
+    """Windows from panes: an uneven slide, null times and latencies; events are not expanded."""
+    rng = np.random.default_rng(4)
+    rows = [(float(rng.integers(0, 400)), str(rng.choice(["hit", "miss", "retry"])),
+             None if i % 7 == 0 else float(rng.integers(0, 90))) for i in range(600)]
+    rows += [(None, "hit", 1.0), (1000.0, "retry", None)]
+    df = tel.with_event_time(spark.createDataFrame(rows, "timestamp double, event_type string, latency_ms double"))
+    out = tel.window_metrics(df, "1 minute 30 seconds", "20 seconds")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Expand") < plan.index("kll_sketch_agg_double")       # above the panes, not below
+    assert "Expand" not in plan[plan.index("kll_sketch_agg_double"):]
+    got = {int(r.window.start.timestamp()): r for r in out.collect()}
+    starts = {s for t, _, _ in rows if t is not None for s in range(int(t) // 20 * 20 - 80, int(t) + 1, 20) if s <= t < s + 90}
+    assert set(got) == starts
+    for s in starts:
+        inside = [r for r in rows if r[0] is not None and s <= r[0] < s + 90]
+        lat = sorted(x for _, _, x in inside if x is not None)
+        r = got[s]
+        assert r.total_requests == sum(e in ("hit", "miss") for _, e, _ in inside)
+        assert r.retry_rate == sum(e == "retry" for _, e, _ in inside) / len(inside)
+        want = [lat[-(-len(lat) * p // 100) - 1] if lat else None for p in (50, 95)]
+        assert [r.latency_p50, r.latency_p95] == want
+
+
+def test_interval_seconds():
+    assert [tel.interval_seconds(t) for t in ("10 seconds", "1 minute", "6 hours", "1 day 2 hours")] == [10, 60, 21_600, 93_600]
+    with pytest.raises(ValueError):
+        tel.interval_seconds("minute")
+
+
 def test_requests_stream_reads_main_and_retry(spark, tmp_dir):
     import os
     for sub, payload in (("main", {"req": {"zone_id": "Z1", "query_type": "Q1"}, "retries": 0}),
