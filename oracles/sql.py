@@ -604,3 +604,8 @@ ORACLES["window_metrics_late"] = ORACLES["window_metrics"].replace(
 ORACLES["ttl_replay_event_time"] = ORACLES["ttl_replay"]
 ORACLES["backlog_episodes_live"] = ORACLES["backlog_episodes"]
 ORACLES["assign_runs_stream"] = ORACLES["assign_runs"]
+
+# Live totals: what follows the reset, which has the position of the middle of the log.
+for _name in ("telemetry_totals", "telemetry_by_query_zone"):
+    ORACLES[f"{_name}_live"] = ORACLES[_name].replace(
+        "FROM telemetry", "FROM (SELECT * FROM telemetry WHERE seq > (SELECT (max(seq) + 1) // 2 FROM telemetry))")

@@ -169,16 +169,11 @@ def since(df: DataFrame, start: float | None, ts: str = "timestamp") -> DataFram
     return df if start is None else df.where(F.col(ts) >= F.lit(float(start)))
 
 
-def telemetry_totals(df: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("seq",),
-                     start: float | None = None, **kw) -> DataFrame:
-    """Cumulative statistics (percent rates rounded to 2, 0 when undefined), exact
-    percentiles (A8) and backlog (A9). With ``by`` one row per group (A15); with
-    ``start`` only events since that reset time count."""
-    df = since(df, start)
-    c = _counters(df, by)
+def totals_of(c: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Rates and mean latency of summed counters; ``keep`` names further columns."""
     total = F.col("total_hits") + F.col("total_misses")
-    stats = c.select(
-        *by,
+    return c.select(
+        *keep,
         total.alias("total_requests"), "total_hits", "total_misses",
         pct(F.col("total_hits"), total).alias("hit_rate"),
         pct(F.col("total_retries"), F.col("total_misses")).alias("retry_rate"),
@@ -186,6 +181,15 @@ def telemetry_totals(df: DataFrame, by: Sequence[str] = (), order: Sequence[str]
         pct(F.col("total_dlq"), F.col("total_misses")).alias("dlq_rate"),
         F.when(F.col("_lat_n") > 0, F.round(F.col("_lat_sum").cast("double") / F.col("_lat_n"), 3))
         .otherwise(F.lit(0.0)).alias("avg_latency_ms"))
+
+
+def telemetry_totals(df: DataFrame, by: Sequence[str] = (), order: Sequence[str] = ("seq",),
+                     start: float | None = None, **kw) -> DataFrame:
+    """Cumulative statistics (percent rates rounded to 2, 0 when undefined), exact
+    percentiles (A8) and backlog (A9). With ``by`` one row per group (A15); with
+    ``start`` only events since that reset time count."""
+    df = since(df, start)
+    stats = totals_of(_counters(df, by), by)
     perc = latency_percentiles(df, (50, 95), by=by, **kw)
     if by:
         out = stats.join(perc, list(by), "left")

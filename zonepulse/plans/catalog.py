@@ -30,6 +30,7 @@ from zonepulse.sources.zones import zones as zone_table
 from zonepulse.streaming.backlog import start_backlog_job
 from zonepulse.streaming.commit import read_committed
 from zonepulse.streaming.runs import assign_runs_stream
+from zonepulse.streaming.totals import RESET, live_by_query_zone, live_totals, start_totals_job
 from zonepulse.streaming.ttl_state import ttl_replay_event_time, ttl_replay_stream
 from zonepulse.streaming.upsert import compact, read_upserted
 
@@ -561,6 +562,33 @@ def q_backlog_episodes_live(spark, sf_dir):
     return read_committed(spark, f"{base}/out", "episodes")
 
 
+def _live_totals(spark, sf_dir):
+    """Telemetry in three parts with a restart after each, and a reset after half of it."""
+    base = scratch_path(spark, "totals-live")
+    t = scratch_table(fx.telemetry(spark, sf_dir), "telemetry-log")
+    n = t.agg(F.max("seq")).first()[0] + 1
+    reset = t.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in t.schema.fields if f.name not in ("seq", "event_type")],
+                     "seq", F.lit(RESET).alias("event_type")).where(F.col("seq") == n // 2).limit(1)
+    for k in range(3):
+        part = t.where((F.col("seq") >= n * k // 3) & (F.col("seq") < n * (k + 1) // 3))
+        (part.unionByName(reset) if k == 1 else part).write.mode("append").parquet(f"{base}/in")
+        src = spark.readStream.schema(t.schema).parquet(f"{base}/in")
+        start_totals_job(src, f"{base}/out", f"{base}/checkpoint", {"availableNow": True}, merge_every=2).awaitTermination()
+    return f"{base}/out"
+
+
+@register("telemetry_totals_live")
+def q_telemetry_totals_live(spark, sf_dir):
+    """A6 live: totals since the reset, from the state of the stream."""
+    return live_totals(spark, _live_totals(spark, sf_dir), merge_every=2)
+
+
+@register("telemetry_by_query_zone_live")
+def q_by_query_zone_live(spark, sf_dir):
+    """A7 live: counts per key since the reset."""
+    return live_by_query_zone(spark, _live_totals(spark, sf_dir), merge_every=2)
+
+
 @register("assign_runs_stream")
 def q_assign_runs_stream(spark, sf_dir):
     """J4 as a stream-stream join: events meet the run records on two watermarks."""
