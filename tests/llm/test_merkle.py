@@ -46,6 +46,60 @@ def test_null_ids_and_single_row(spark):
     assert M.edited_pairs(some.limit(0), 4).count() == 0
 
 
+def test_extreme_and_hot_ids(spark):
+    """The least and greatest long, rows that share one id, and rows without an id."""
+    lo, hi = -2**63, 2**63 - 1
+    rows = [(lo, "low", "", 1), (hi, "high", "", 1)] + [(5, f"five {i}", "", 1) for i in range(40)]
+    rows += [(None, f"none {i}", "", 1) for i in range(40)] + [(5, "same", "", 1)] * 10
+    got = M.with_next(spark.createDataFrame(rows, SCHEMA), 8).collect()
+    assert sorted((str(r._id), r._text) for r in got) == sorted((str(r[0]), r[1]) for r in rows)
+    assert sorted(r._next for r in got) == sorted(r[1] for r in rows)      # one round through all rows
+    kind = {r._text: (r._id, r._next) for r in got if r._text != "same"}
+    assert kind["high"][1].startswith(("five", "same")) and kind["low"][1].startswith("none")
+    assert sum(r._next == "low" for r in got) == sum(r._next == "high" for r in got) == 1
+
+
+def test_plan_does_not_grow_with_ranges(spark):
+    docs = spark.createDataFrame(rows(), SCHEMA)
+    size = lambda n: len(M.with_next(docs, n)._jdf.queryExecution().analyzed().toString())
+    assert abs(size(100) - size(2)) < 100
+
+
+def test_inserted_and_moved_branches(spark):
+    """Against sets in Python: insertions at the front, moves, edits inside a section."""
+    rnd = random.Random(9)
+    cases = []
+    for _ in range(40):
+        secs = [[f"s{rnd.randint(0, 30)} p{rnd.randint(0, 9)}.\n" for _ in range(rnd.randint(1, 4))] for _ in range(rnd.randint(1, 6))]
+        other = [list(x) for x in secs]
+        if rnd.random() < 0.6:
+            other.insert(rnd.randint(0, len(other)), ["New one.\n", "And more.\n"])
+        if rnd.random() < 0.5:
+            rnd.shuffle(other)
+        if rnd.random() < 0.6:
+            other[rnd.randrange(len(other))].insert(0, "Put in.\n")
+        text = lambda t: "\n".join("".join(x) for x in t)
+        cases.append((text(secs), text(other)))
+    cases.append(("A.\n\nB.\n", "New.\n\nA.\n\nB.\n"))
+    df = spark.createDataFrame(cases, "a string, b string").select(
+        "*", M.fingerprint("a").alias("fingerprint"), M.fingerprint("b").alias("edited_fingerprint"))
+    tree = lambda t: [list(filter(None, re.split(r"(?<=\n)", s)))
+                      for s in filter(None, re.split(r"(?<=\n\n)(?!\n)", t))]
+
+    def only(x, y):
+        mine = [i for i, s in enumerate(x) if s not in y]
+        theirs = {p for s in y if s not in x for p in s}
+        return mine, [(i, j) for i in mine for j, p in enumerate(x[i]) if p not in theirs]
+
+    got = M.differing_branches(df).collect()
+    for r in got:
+        x, y = tree(r.a), tree(r.b)
+        assert (r.sections, [tuple(p) for p in r.paragraphs]) == only(x, y), r.a
+        assert (r.other_sections, [tuple(p) for p in r.other_paragraphs]) == only(y, x), r.b
+    last = next(r for r in got if r.a == "A.\n\nB.\n")
+    assert last.sections == [] and last.other_sections == [0]
+
+
 def plain(text):
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     out, hs = "", []

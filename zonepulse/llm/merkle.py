@@ -17,7 +17,7 @@ Defined results:
 * null or empty text: the fingerprint of the empty text, a root without sections;
 * two texts without leaves in common: likeness 0; equal texts: 1;
 * repeated rows and ids: every row is returned; rows of one doc_id follow each other by a
-  hash of their text; null doc_ids come last; a table of one row is its own next document;
+  hash of their text (rows equal in both share a range, hence a task); null doc_ids come last; a table of one row is its own next document;
 * empty table: empty result; other columns are ignored, whatever their names.
 """
 
@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import read_table
+from zonepulse.llm.common import materialise, read_table
 
 PIECE = 64
 _SHORT = 12
@@ -60,74 +60,83 @@ def likeness(a: str, b: str) -> Column:
 
 
 def differing_branches(pairs: DataFrame, a: str = "fingerprint", b: str = "edited_fingerprint") -> DataFrame:
-    """``pairs`` plus the 0-based sections (``sections``) and (section, paragraph) branches that differ.
-
-    Walks from the root: only sections whose hashes differ are opened. Branches are
-    compared by position; a position that only one tree has differs.
+    """``pairs`` plus where the trees ``a`` and ``b`` differ, for both sides.
+
+    ``sections`` are the 0-based sections of ``a`` whose hash no section of ``b`` has,
+    ``paragraphs`` the (section, paragraph) branches in them whose hash no paragraph of the
+    sections only ``b`` has; ``other_sections`` and ``other_paragraphs`` are those of ``b``.
+    Children are matched by hash before anything is opened, so an inserted or moved section
+    leaves the others equal; equal roots open nothing. A section that one tree repeats more
+    often than the other does not count as a difference.
     """
     cut = lambda f: f"slice(split({f}, r'\\|'), 2, 1000000000)"
-    zipped = f"zip_with({cut(a)}, {cut(b)}, (x, y) -> named_struct('x', x, 'y', y))"
-    sections = (f"transform(filter(transform({zipped}, (z, i) -> named_struct('i', i, 'x', z.x, 'y', z.y)), "
-                "d -> NOT left(d.x, 12) <=> left(d.y, 12)), d -> d)")
-    below = ("flatten(transform(_open, d -> transform(filter(transform(zip_with("
-             "slice(split(coalesce(d.x, ''), ';'), 2, 1000000000), slice(split(coalesce(d.y, ''), ';'), 2, 1000000000), "
-             "(x, y) -> named_struct('x', x, 'y', y)), (z, j) -> named_struct('j', j, 'x', z.x, 'y', z.y)), "
-             "e -> NOT left(e.x, 12) <=> left(e.y, 12)), e -> named_struct('section', d.i, 'paragraph', e.j))))")
-    return (pairs.withColumn("_open", F.expr(f"CASE WHEN left({a}, 64) = left({b}, 64) THEN slice({sections}, 1, 0) "
-                                             f"ELSE {sections} END"))
-            .withColumn("sections", F.expr("transform(_open, d -> d.i)"))
-            .withColumn("paragraphs", F.expr(below)).drop("_open"))
-
-
-def _bucket(bounds: list[int]) -> str:
-    """SQL: number of ``bounds`` (ascending) above doc_id, by a coarse then a fine scan."""
-    if not bounds:
-        return "0"
-    step = max(1, math.isqrt(len(bounds)))
-    coarse = f"array({', '.join(f'{b}L' for b in bounds[::step])})"
-    fine = f"array({', '.join(f'{b}L' for b in bounds)})"
-    # bounds <= doc_id: whole strides by the coarse list, the rest inside one stride
-    below = (f"transform(array(size(filter({coarse}, b -> b <= _id))), "
-             f"c -> CASE WHEN c = 0 THEN 0 ELSE (c - 1) * {step} + "
-             f"size(filter(slice({fine}, (c - 1) * {step} + 1, {step}), b -> b <= _id)) END)[0]")
-    return f"({len(bounds)} - {below})"
+    below = lambda d: f"slice(split({d}, ';'), 2, 1000000000)"
+    heads = lambda xs: f"transform({xs}, x -> left(x, {_SHORT}))"
+    inner = lambda opened: f"flatten(transform({opened}, d -> {heads(below('d.x'))}))"
+    # sections only one side has, as (i, x); the one-row generators compute each step once
+    out = pairs.select("*", F.inline(F.array(F.struct(
+        F.expr(f"CASE WHEN left({a}, 64) = left({b}, 64) THEN slice({cut(a)}, 1, 0) ELSE {cut(a)} END").alias("_xs"),
+        F.expr(f"CASE WHEN left({a}, 64) = left({b}, 64) THEN slice({cut(b)}, 1, 0) ELSE {cut(b)} END").alias("_ys")))))
+    out = out.select("*", F.inline(F.array(F.struct(
+        F.expr(f"array_except({heads('_xs')}, {heads('_ys')})").alias("_xo"),
+        F.expr(f"array_except({heads('_ys')}, {heads('_xs')})").alias("_yo")))))
+    opened = lambda xs, only: (f"filter(transform({xs}, (x, i) -> named_struct('i', i, 'x', x)), "
+                               f"d -> array_contains({only}, left(d.x, {_SHORT})))")
+    out = out.select("*", F.inline(F.array(F.struct(
+        F.expr(opened("_xs", "_xo")).alias("_xd"), F.expr(opened("_ys", "_yo")).alias("_yd")))))
+    out = out.select("*", F.inline(F.array(F.struct(
+        F.expr(f"array_except({inner('_xd')}, {inner('_yd')})").alias("_xp"),
+        F.expr(f"array_except({inner('_yd')}, {inner('_xd')})").alias("_yp")))))
+    branches = lambda ds, only: (
+        f"flatten(transform({ds}, d -> transform(filter(transform({below('d.x')}, (p, j) -> named_struct('j', j, 'p', p)), "
+        f"e -> array_contains({only}, left(e.p, {_SHORT}))), e -> named_struct('section', d.i, 'paragraph', e.j))))")
+    return out.select(*pairs.columns, F.expr("transform(_xd, d -> d.i)").alias("sections"),
+                      F.expr(branches("_xd", "_xp")).alias("paragraphs"),
+                      F.expr("transform(_yd, d -> d.i)").alias("other_sections"),
+                      F.expr(branches("_yd", "_yp")).alias("other_paragraphs"))
+
+
+def range_heads(keys: DataFrame, buckets: int) -> DataFrame:
+    """One row: the smallest key ``_key`` of each of ``buckets`` ranges, ascending (``fine``), and
+    every ``step``-th of them (``coarse``). Rows with equal keys are in one range.
+
+    Its size is one key (17 bytes) per range, whatever the table holds.
+    """
+    step = max(1, math.isqrt(buckets))
+    heads = (keys.repartitionByRange(buckets, "_key").groupBy(F.spark_partition_id()).agg(F.min("_key").alias("_key"))
+             .agg(F.sort_array(F.collect_list("_key")).alias("fine")))
+    return heads.select(F.lit(step).alias("step"), "fine", F.expr(
+        f"filter(fine, (b, i) -> i % {step} = 0)").alias("coarse"))
 
 
 def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """(_id, _text, _next): every row's text and that of the next row by descending doc_id.
 
-    Rows are dealt to ranges of doc_id by quantiles; the first row of each range is also
-    handed to the range before as its end, so a window over one range sees every
-    neighbour, and no task sees the whole order. The texts are shuffled once. The driver
-    holds one id and hash per range.
+    Rows are dealt to ranges of (doc_id, hash of the text), so rows without an id, or of one
+    id, spread as well; a row that heads its range is also handed to the range before as its
+    end, so a window over one range sees every neighbour. The texts are shuffled once. The
+    heads of the ranges enter as one row of a scalar subquery: the plan's text does not grow
+    with the number of ranges.
     """
     spark = docs.sparkSession
     buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    found = rows.agg(F.percentile_approx("_id", F.array(*[F.lit(c) for c in cuts]), 10 * buckets)).first()[0] if cuts else []
-    bounds = sorted(set(found or []))
-    dealt = rows.withColumn("_bucket", F.expr(
-        f"CASE WHEN _id IS NULL THEN {len(bounds) + 1} ELSE {_bucket(bounds)} END")).withColumn(
-        "_hash", F.xxhash64("_text"))
-    rank = F.struct(F.col("_id").isNull().alias("n"), (-F.col("_id")).alias("i"), F.col("_hash").alias("h"))
-    heads = sorted((r["_bucket"], r["head"]) for r in dealt.groupBy("_bucket").agg(F.min(rank).alias("head")).collect())
-    if not heads:
-        return rows.select("_id", "_text", F.col("_text").alias("_next"))
-    size = len(bounds) + 2
-    first, before = [None] * size, [None] * size
-    for k, (b, head) in enumerate(heads):
-        first[b], before[b] = head, heads[k - 1][0]
-    ids = "array(" + ", ".join("NULL" if f is None or f.i is None else f"{-f.i}L" for f in first) + ")"
-    hashes = "array(" + ", ".join("NULL" if f is None else f"cast('{f.h}' AS bigint)" for f in first) + ")"
-    lower = "array(" + ", ".join("NULL" if b is None else str(b) for b in before) + ")"
-    is_head = (f"_id <=> cast({ids}[_bucket] AS bigint) AND _hash <=> {hashes}[_bucket]")
-    places = dealt.withColumn("_place", F.explode(F.expr(
-        "concat(array(named_struct('b', _bucket, 'end', 0)), "
-        f"CASE WHEN {is_head} THEN array(named_struct('b', {lower}[_bucket], 'end', 1)) ELSE array() END)")))
-    order = Window.partitionBy("_place.b").orderBy("_place.end", F.col("_id").desc_nulls_last(), "_hash", "_text")
-    return places.select("_id", "_text", "_place", F.lead("_text").over(order).alias("_next"),
-                         "_hash").where("_place.end = 0").select("_id", "_text", "_next")
+    rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
+    # ascending keys are descending ids, nulls last; ~x falls as x grows and never overflows
+    rows = rows.withColumn("_key", F.struct(F.col("_id").isNull().alias("n"), F.bitwise_not("_id").alias("i"),
+                                            F.xxhash64("_text").alias("h")))
+    heads = materialise(range_heads(materialise(rows.select("_key"), "merkle-keys"), buckets), "merkle-heads")
+    h = heads.select(F.struct("step", "fine", "coarse")).scalar()
+    # the number of heads at or below the key: whole strides by the coarse list, the rest in one stride
+    dealt = rows.select("*", h.alias("_h")).select("*", F.expr("size(filter(_h.coarse, b -> b <= _key))").alias("_c"))
+    dealt = dealt.select("_id", "_text", "_key", "_h", F.expr(
+        "(_c - 1) * _h.step + size(filter(slice(_h.fine, (_c - 1) * _h.step + 1, _h.step), b -> b <= _key))").alias("_b"))
+    places = dealt.select("_id", "_text", "_key", F.explode(F.expr(
+        "CASE WHEN _key = get(_h.fine, _b - 1) "
+        "THEN array(named_struct('b', _b, 'end', 0), named_struct('b', if(_b = 1, size(_h.fine), _b - 1), 'end', 1)) "
+        "ELSE array(named_struct('b', _b, 'end', 0)) END")).alias("_place"))
+    order = Window.partitionBy("_place.b").orderBy("_place.end", "_key", "_text")
+    return (places.select("_id", "_text", "_place", F.lead("_text").over(order).alias("_next"))
+            .where("_place.end = 0").select("_id", "_text", "_next"))
 
 
 def edited_pairs(docs: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -150,6 +159,7 @@ def op5_merkle_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     trees = pairs.select("doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), F.inline(F.array(F.struct(
         fingerprint("_text").alias("fingerprint"), fingerprint("_edited").alias("edited_fingerprint"),
         fingerprint("_next").alias("_next_fingerprint")))))
+    trees = differing_branches(trees)
     return trees.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                        likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+                        "sections", "other_sections", likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
                         likeness("fingerprint", "_next_fingerprint").alias("near_next"))
