@@ -494,6 +494,10 @@ ORACLES["buildings_roundtrip"] = with_views(
     f"WITH {_BUILDINGS.format(src='buildings_raw')}\n"
     "SELECT zone_id, count(*) AS buildings, sum(area_in_meters) AS total_area FROM buildings GROUP BY zone_id",
     "buildings_raw", "zones")
+ORACLES["buildings_box"] = with_views(f"""WITH {_BUILDINGS.format(src='buildings_raw')}
+SELECT zone_id, count(*) AS buildings, sum(area_in_meters) AS total_area, min(confidence) AS least_confidence FROM buildings
+WHERE latitude BETWEEN {D('-33.43')} AND {D('-33.41')} AND longitude BETWEEN {D('-70.61')} AND {D('-70.59')}
+GROUP BY zone_id""", "buildings_raw", "zones")
 ORACLES["tiles_scan"] = ORACLES["buildings"]
 
 # ------------------------------------------------------------------ streaming

@@ -112,3 +112,23 @@ def pct(num: Column, den: Column, digits: int = 2) -> Column:
     """Rounded percentage, 0 when the denominator is 0 (never divides by zero)."""
     return F.when(den > 0, F.round(num.cast("double") / den.cast("double") * 100.0, digits)) \
         .otherwise(F.lit(0.0))
+
+
+def hilbert_key(x: Column, y: Column, bits: int) -> Column:
+    """Position on the Hilbert curve of the cell (x, y), both in [0, 2^bits), ``bits`` <= 31.
+
+    One quadrant a step, from the coarsest: its number is appended to the key, and the
+    quarter is turned so that the curve enters and leaves it where its neighbours expect.
+    """
+    top = F.lit(2 ** bits - 1).cast("long")
+
+    def step(acc: Column, i: Column) -> Column:
+        bit = lambda c: F.call_function("shiftright", c, i).bitwiseAND(1)
+        right, upper = bit(acc["x"]) == 1, bit(acc["y"]) == 1
+        quadrant = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
+        turned_x = F.when(upper, acc["x"]).when(right, top - acc["y"]).otherwise(acc["y"])
+        turned_y = F.when(upper, acc["y"]).when(right, top - acc["x"]).otherwise(acc["x"])
+        return F.struct((acc["key"] * 4 + quadrant).cast("long").alias("key"), turned_x.alias("x"), turned_y.alias("y"))
+
+    start = F.struct(F.lit(0).cast("long").alias("key"), x.cast("long").alias("x"), y.cast("long").alias("y"))
+    return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda acc: acc["key"])

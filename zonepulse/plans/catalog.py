@@ -407,6 +407,16 @@ def q_buildings_roundtrip(spark, sf_dir):
                                     F.sum("area_in_meters").alias("total_area"))
 
 
+@register("buildings_box")
+def q_buildings_box(spark, sf_dir):
+    """P4 over the clustered copy (S12): the buildings of a small box that lies in two zones."""
+    base = scratch_path(spark, "buildings-clustered")
+    bio.write_clustered(_buildings(spark, sf_dir), base)
+    b = bio.load_buildings(spark, base).where(F.col("latitude").between(-33.43, -33.41) & F.col("longitude").between(-70.61, -70.59))
+    return b.groupBy("zone_id").agg(F.count(F.lit(1)).alias("buildings"),
+                                    F.sum("area_in_meters").alias("total_area"), F.min("confidence").alias("least_confidence"))
+
+
 @register("buildings_csv_fallback")
 def q_buildings_csv_fallback(spark, sf_dir):
     """S11 where only the CSV copy exists."""
