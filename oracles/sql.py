@@ -477,6 +477,11 @@ SELECT CASE WHEN seq % 101 = 0 THEN CAST(1700000000 AS DOUBLE) ELSE timestamp EN
   make_timestamp(CAST(trunc(CASE WHEN seq % 101 = 0 THEN CAST(1700000000 AS DOUBLE) ELSE timestamp END) AS BIGINT) * 1000000) AS event_time
 FROM telemetry""", "telemetry")
 
+ORACLES["telemetry_topic"] = with_views("""
+SELECT cache_key, count(*) AS messages, CAST(sum(CAST(latency_ms AS DECIMAL(28,9))) AS DOUBLE) AS latency,
+  min(timestamp) AS first, max(timestamp) AS last, TRUE AS one_partition, TRUE AS no_gap
+FROM telemetry GROUP BY cache_key""", "telemetry")
+
 ORACLES["request_envelopes"] = with_views(f"""
 WITH e AS (
   SELECT *,

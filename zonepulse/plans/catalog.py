@@ -372,6 +372,33 @@ def q_telemetry_roundtrip(spark, sf_dir):
     return out.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
 
 
+@register("telemetry_topic")
+def q_telemetry_topic(spark, sf_dir):
+    """S4 -> S1: telemetry published by a job and by a stream to one message log, consumed as a
+    stream. Even events are published by the job, odd ones by the stream."""
+    base = scratch_path(spark, "topic")
+    t = fx.telemetry(spark, sf_dir)
+    encoded = lambda rows: tio.encode_telemetry(rows, key="cache_key")
+    tio.write_topic(encoded(t.where(F.col("seq") % 2 == 0)), f"{base}/topic", "message_log", partitions=4)
+    t.where(F.col("seq") % 2 == 1).drop("seq").write.parquet(f"{base}/in")
+    src = spark.readStream.schema(t.drop("seq").schema).parquet(f"{base}/in")
+    tio.write_topic_stream(encoded(src), f"{base}/topic", f"{base}/published", "message_log", {"availableNow": True},
+                           partitions=4).awaitTermination()
+    got = tio.read_telemetry_stream(spark, "message_log", f"{base}/topic", startingOffsets="earliest")
+    (tio.decode_telemetry(got, keep=("partition", "offset")).writeStream.format("parquet").option("path", f"{base}/out")
+     .option("checkpointLocation", f"{base}/consumed").trigger(availableNow=True).start().awaitTermination())
+    out = spark.read.parquet(f"{base}/out")
+    # a partition's messages have the offsets 0, 1, 2, ...; all messages of a key share a partition
+    per_key = out.groupBy("cache_key").agg(
+        F.count("*").alias("messages"), F.sum(F.col("latency_ms").cast("decimal(28,9)")).cast("double").alias("latency"),
+        F.min("timestamp").alias("first"), F.max("timestamp").alias("last"),
+        F.min("partition").alias("partition"), F.max("partition").alias("_other"))
+    whole = out.groupBy("partition").agg((F.max("offset") + 1).alias("next"), F.countDistinct("offset").alias("offsets"))
+    return per_key.join(whole, "partition").select(
+        "cache_key", "messages", "latency", "first", "last", (F.col("partition") == F.col("_other")).alias("one_partition"),
+        (F.col("next") == F.col("offsets")).alias("no_gap"))
+
+
 def _envelopes(spark, sf_dir):
     r = fx.requests(spark, sf_dir)
     seq = F.col("seq")

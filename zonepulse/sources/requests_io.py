@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from zonepulse.functions import cache_key
 from zonepulse.schemas import ENVELOPE, REQUEST
+from zonepulse.sources import message_log
 
 # The topic names that producers and consumers share.
 REQUEST_TOPIC = "consultas_geoespaciales"
@@ -21,8 +22,8 @@ def read_requests_stream(spark: SparkSession, source: str = "kafka",
                          paths: tuple[str, str] | None = None, **options) -> DataFrame:
     """The main and the retry request streams as one stream of ``value`` messages.
 
-    Kafka subscribes both topics from the earliest offset; the text source unions two
-    file streams, folders below included. Offsets live in the query checkpoint, which
+    Kafka subscribes both topics from the earliest offset; ``message_log`` unions the logs of
+    both; the text source unions two file streams, folders below included. Offsets live in the query checkpoint, which
     replaces manual commits.
     """
     if source == "kafka":
@@ -34,6 +35,11 @@ def read_requests_stream(spark: SparkSession, source: str = "kafka",
         # an offset repeats across topics and partitions; all three make the order value
         return r.load().select(F.col("value").cast("string").alias("value"), "topic",
                                F.xxhash64("topic", "partition", "offset").alias("seq"))
+    if source == message_log.FORMAT:
+        message_log.register(spark)
+        logs = [spark.readStream.format(source).options(path=p, **options).load().withColumn("topic", F.lit(topic))
+                for p, topic in zip(paths, (REQUEST_TOPIC, RETRY_TOPIC))]
+        return logs[0].unionByName(logs[1]).select("value", "topic", F.xxhash64("topic", "partition", "offset").alias("seq"))
     if source == "text":
         main, retry = paths
         def one(p, topic):
