@@ -541,10 +541,11 @@ def test_queries_run_from_another_folder(tmp_dir):
             "s = SparkSession.builder.master('local[2]').config('spark.sql.session.timeZone', 'UTC')"
             ".config('spark.ui.enabled', 'false').config('spark.checkpoint.dir', {tmp!r})"
             ".config('spark.sql.shuffle.partitions', '4').getOrCreate()\n"
+            "print('TOPIC', e.queries()['telemetry_topic'](s, '/root/testdata/sf0.001').count())\n"
             "print('ROWS', e.queries()['ttl_replay'](s, '/root/testdata/sf0.001').count()); s.stop()").format(root=root, tmp=tmp_dir)
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_dir, env=env, capture_output=True, text=True, timeout=300)
-    assert "ROWS 1000" in out.stdout, out.stderr
+    assert "ROWS 1000" in out.stdout and "TOPIC 70" in out.stdout, out.stderr
 
 
 def test_recorded_hit_rates_reproduced(spark):

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamArrowWriter,
@@ -231,7 +233,7 @@ class MessageLog(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to a session, and the package to its Python workers."""
-    from zonepulse.session import ship_package
-    ship_package(spark)
+    """Make the format known to a session. The workers that plan a source import no shipped
+    package, so this module travels by value."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(MessageLog)
