@@ -348,17 +348,32 @@ SELECT seq, 0 AS event_index, e1 AS event_type, query_type, zone_id, cache_key F
 UNION ALL
 SELECT seq, CASE WHEN e1 IS NULL THEN 0 ELSE 1 END, e2, query_type, zone_id, cache_key FROM ev WHERE e2 IS NOT NULL
 """.replace("\n, ev AS", ", ev AS", 1))
-ORACLES["expand_failures"] = with_views(f"""WITH {_BUILDINGS.format(src='buildings_raw')}, {_VALID},
-f AS (SELECT seq FROM checked WHERE error_reason IS NOT NULL)
-SELECT seq, 0 AS retries, 0 AS event_index, 'miss' AS event_type FROM f
-UNION ALL SELECT seq, 0, 1, 'retry' FROM f
-UNION ALL SELECT seq, 1, 0, 'retry' FROM f
-UNION ALL SELECT seq, 2, 0, 'retry' FROM f
-UNION ALL SELECT seq, 3, 0, 'dlq' FROM f""", *_BV)
+ORACLES["expand_failures"] = _rq("""
+, life AS (
+  SELECT CAST(floor(seq / 5) AS BIGINT) AS id, count(*) AS attempts, min(r) AS first_try, max(r) AS last_try,
+    count(*) FILTER (WHERE cached) AS hits,
+    count(*) FILTER (WHERE NOT cached AND ((NOT failed AND r = 0) OR (failed AND r = 0))) AS misses,
+    count(*) FILTER (WHERE NOT cached AND NOT failed AND r > 0) AS recoveries,
+    count(*) FILTER (WHERE failed AND r + 1 <= 3) AS retries, count(*) FILTER (WHERE failed AND r + 1 > 3) AS dlqs,
+    count(DISTINCT r) AS tries, bool_or(NOT failed) FILTER (WHERE last) AS ends_well
+  FROM (SELECT *, r = max(r) OVER (PARTITION BY floor(seq / 5)) AS last FROM att) GROUP BY 1)
+SELECT id, attempts, first_try, last_try, hits, misses, recoveries, retries, dlqs,
+  CASE WHEN dlqs > 0 THEN 'dead' WHEN ends_well THEN 'recovered' ELSE 'open' END AS outcome, tries = last_try + 1 AS complete
+FROM life WHERE retries > 0 OR dlqs > 0
+""".replace("\n, life AS", ", life AS", 1))
 
 
 # ------------------------------------------------------------------ generator
 
+ORACLES["traffic_fit"] = with_views("""
+WITH z AS (SELECT zone_id, count(*) AS requests FROM requests GROUP BY zone_id),
+k AS (SELECT *, row_number() OVER (ORDER BY requests DESC, zone_id) AS rank FROM z),
+a AS (SELECT coalesce(-regr_slope(ln(requests), ln(rank)), 0) AS alpha FROM k),
+w AS (SELECT k.*, alpha, pow(CAST(rank AS DOUBLE), -alpha) AS weight FROM k, a)
+SELECT zone_id, requests, rank, round(alpha, 6) AS alpha, round(CAST(requests AS DOUBLE) / sum(requests) OVER (), 9) AS share,
+  round(weight / sum(weight) OVER (), 9) AS zipf_share, round(CAST(1 AS DOUBLE) / count(*) OVER (), 9) AS uniform_share
+FROM w""", "requests")
+
 def _u(stream: int, seed: int) -> str:
     x = f"((seq * 8 + {stream} + {seed}) % 2147483648)"
     for _ in range(2):
@@ -399,6 +414,22 @@ SELECT seq, zone_id, query_type, confidence_min, bins,
 FROM s"""
 
 
+def _observed(u: str, column: str, values: list[str]) -> str:
+    upto = [f"(SELECT count(*) FILTER (WHERE {column} IN ({', '.join(values[:k + 1])})) FROM requests)" for k in range(len(values))]
+    parts = [f"WHEN {u} * {upto[-1]} < {c} THEN {v}" for c, v in zip(upto[:-1], values[:-1])]
+    return f"CASE {' '.join(parts)} ELSE {values[-1]} END"
+
+
+ORACLES["sample_requests_observed"] = with_views(f"""
+WITH s AS (
+  SELECT seq, {_observed(_u(0, 11), "zone_id", ["'Z1'", "'Z2'", "'Z3'", "'Z4'", "'Z5'"])} AS zone_id,
+    {_observed(_u(1, 11), "query_type", ["'Q1'", "'Q2'", "'Q3'", "'Q4'", "'Q5'"])} AS query_type,
+    [CAST(0 AS DOUBLE), CAST('0.5' AS DOUBLE), CAST('0.7' AS DOUBLE)][CAST(floor({_u(2, 11)} * 3) AS INT) + 1] AS confidence_min,
+    [5, 10][CAST(floor({_u(3, 11)} * 2) AS INT) + 1] AS bins, CAST(floor({_u(4, 11)} * 4) AS INT) AS other
+  FROM requests)
+SELECT seq, zone_id, query_type, confidence_min, bins,
+  CASE WHEN query_type = 'Q4' THEN list_filter(['Z1', 'Z2', 'Z3', 'Z4', 'Z5'], lambda z: z <> zone_id)[other + 1] END AS zone_id_b
+FROM s""", "requests")
 ORACLES["sample_requests_zipf"] = _sample_sql("zipf", 1.5, 42)
 ORACLES["sample_requests_uniform"] = _sample_sql("uniform", 1.5, 7)
 

@@ -204,9 +204,29 @@ def test_attempt_events_and_routes(spark):
 
 
 def test_expand_failures_lifecycle(spark):
-    req = spark.createDataFrame([(1, "zone_not_found")], "seq long, error_reason string")
-    ev = [r.event_type for r in rq.expand_failures(req).orderBy("retries", "event_index").collect()]
-    assert ev == ["miss", "retry", "retry", "retry", "dlq"]
+    lives = {"a": [(0, False, "x"), (1, False, "x"), (2, False, "x"), (3, False, "x")],      # the whole of a dead life
+             "b": [(0, False, "x"), (1, False, None)], "c": [(0, False, "x"), (2, True, None)],  # answered; hit, one attempt lost
+             "d": [(1, False, "x")], "e": [(0, False, None)], "f": [(0, True, None)],
+             "g": [(0, False, "x")] * 40, None: [(0, False, "x")]}
+    rows = [(i, r, cached, why) for i, tries in lives.items() for r, cached, why in tries]
+    a = spark.createDataFrame(rows, "id string, retries int, cached boolean, error_reason string")
+    got = {r.id: (r.attempts, r.last_try, r.misses, r.retries, r.dlqs, r.outcome, r.complete) for r in rq.expand_failures(a).collect()}
+    assert got == {"a": (4, 3, 1, 3, 1, "dead", True), "b": (2, 1, 1, 1, 0, "recovered", True),
+                   "c": (2, 2, 1, 1, 0, "recovered", False), "d": (1, 1, 0, 1, 0, "open", False),
+                   "g": (40, 0, 40, 40, 0, "open", True)}
+    assert rq.expand_failures(a.limit(0)).collect() == []
+
+
+def test_traffic_fit_finds_the_exponent(spark):
+    counts = {f"z{r}": round(1e6 / r ** 1.5) for r in range(1, 8)}
+    log = spark.createDataFrame([*counts.items(), (None, 9)], "zone_id string, n long").select(
+        "zone_id", F.explode(F.array_repeat(F.lit(1), F.least(F.col("n"), F.lit(10 ** 6)).cast("int"))))
+    got = rq.traffic_fit(log).orderBy("rank").collect()
+    assert [(r.zone_id, r.requests) for r in got] == list(counts.items())
+    assert all(abs(r.alpha - 1.5) < 1e-3 and abs(r.share - r.zipf_share) < 1e-3 for r in got)
+    one = rq.traffic_fit(log.where("zone_id = 'z7'")).collect()
+    assert [(r.alpha, r.share, r.zipf_share, r.uniform_share) for r in one] == [(0.0, 1.0, 1.0, 1.0)]
+    assert rq.traffic_fit(log.limit(0)).collect() == []
 
 
 def _replay_python(rows, ttl):

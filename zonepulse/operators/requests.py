@@ -286,19 +286,34 @@ def attempt_events(attempts: DataFrame, max_retries: int = MAX_RETRIES,
         (F.col("timestamp") - F.col("t_start")) * F.lit(1000.0)))
 
 
-def expand_failures(req: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """The whole life of a permanently failing request: one attempt per incoming
-    retry count 0..max (miss, retry x max, dlq)."""
-    failing = req.where(F.col("error_reason").isNotNull())
-    attempts = failing.withColumn("retries", F.explode(F.sequence(F.lit(0), F.lit(max_retries)))) \
-        .withColumn("cached", F.lit(False))
-    return attempt_events(attempts, max_retries)
+def expand_failures(attempts: DataFrame, id_col: str = "id", max_retries: int = MAX_RETRIES) -> DataFrame:
+    """The life of every request with a failed attempt, from its attempts in the log.
+
+    One row per id: the attempts seen, the least and greatest retry count, the events they
+    emitted by type (T6), how the life ends (``dead``: a dlq event; ``recovered``: answered
+    or hit at its greatest retry count; else ``open``) and whether the log holds the whole
+    of it (``complete``: every retry count from 0 to the last). Only counts and bits are
+    kept per id, so an id with any number of attempts is added up before the shuffle.
+    Attempts without an id are no request's and are left out.
+    """
+    events = attempt_events(attempts, max_retries)
+    tried = F.least(F.greatest(F.col("retries"), F.lit(0)), F.lit(62))
+    of = lambda kind: F.count_if(F.col("event_type") == kind)
+    ended = F.struct("retries", (F.col("cached") | F.col("error_reason").isNull()).alias("well"))
+    lives = events.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
+        F.count_if(F.col("event_index") == 0).alias("attempts"), F.min("retries").alias("first_try"), F.max("retries").alias("last_try"),
+        of("hit").alias("hits"), of("miss").alias("misses"), of("recovery").alias("recoveries"), of("retry").alias("retries"),
+        of("dlq").alias("dlqs"), F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), tried)).alias("_tries"),
+        F.max(ended).alias("_end"))
+    outcome = F.when(F.col("dlqs") > 0, "dead").when(F.col("_end.well"), "recovered").otherwise("open")
+    whole = F.col("_tries") == F.call_function("shiftleft", F.lit(1).cast("long"), F.col("last_try") + 1) - 1
+    return lives.where((F.col("retries") > 0) | (F.col("dlqs") > 0)).withColumns({"outcome": outcome, "complete": whole}).drop("_tries", "_end")
 
 
 # ------------------------------------------------------------- G1, G2
 
+# Zones, query type weights, confidence levels and bin choices of the traffic.
 ZONES = ["Z1", "Z2", "Z3", "Z4", "Z5"]
-# Query type weights, confidence levels and bin choices of the traffic.
 QUERY_WEIGHTS = [0.40, 0.20, 0.20, 0.10, 0.10]
 CONFIDENCE_LEVELS = [0.0, 0.5, 0.7]
 BIN_CHOICES = [5, 10]
@@ -332,14 +347,44 @@ def _pick(u: Column, cum: Sequence[float], values: Sequence) -> Column:
     return expr.otherwise(F.lit(values[-1]))
 
 
+def traffic_fit(req: DataFrame) -> DataFrame:
+    """G1 against a request log: per zone its requests, rank and share, and the shares that
+    Zipf weights of the fitted exponent and uniform weights would give it.
+
+    The exponent is that of the least-squares line through (ln rank, ln requests); with one
+    zone it is 0. Windows run over one row per zone. Requests without a zone are left out.
+    """
+    n, everything = F.col("requests"), Window.partitionBy()
+    zones = req.where(F.col("zone_id").isNotNull()).groupBy("zone_id").agg(F.count("*").alias("requests"))
+    ranked = zones.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("requests"), "zone_id")))
+    x, y = F.ln(F.col("rank").cast("double")), F.ln(n.cast("double"))
+    fitted = ranked.withColumn("alpha", F.coalesce(-F.regr_slope(y, x).over(everything), F.lit(0.0)))
+    weight = F.pow(F.col("rank").cast("double"), -F.col("alpha"))
+    return fitted.select("zone_id", "requests", "rank", F.round("alpha", 6).alias("alpha"),
+                         F.round(n / F.sum(n).over(everything), 9).alias("share"),
+                         F.round(weight / F.sum(weight).over(everything), 9).alias("zipf_share"),
+                         F.round(F.lit(1.0) / F.count("*").over(everything), 9).alias("uniform_share"))
+
+
+def observed_weights(req: DataFrame) -> dict[str, list[float]]:
+    """How often a request log names each zone and each query type of the traffic: one row of
+    counts, as long as those two lists."""
+    counts = {c: [F.count_if(F.col(c) == v).cast("double") for v in values]
+              for c, values in (("zone_id", ZONES), ("query_type", QUERY_TYPES))}
+    row = req.select(*[F.array(*[n for n in ns]).alias(c) for c, ns in counts.items()]).first()
+    return row.asDict()
+
+
 def sample_requests(ids: DataFrame, distribution: str = "zipf", alpha: float = 1.5,
-                    seed: int = 42, id_col: str = "seq") -> DataFrame:
+                    seed: int = 42, id_col: str = "seq", observed: dict[str, list[float]] | None = None) -> DataFrame:
     """One synthetic request per input row (zone by Zipf or uniform weights, query
-    type by fixed weights, uniform confidence and bins, a different zone for Q4)."""
+    type by fixed weights, uniform confidence and bins, a different zone for Q4).
+    ``observed`` (from ``observed_weights``) takes both from a request log instead."""
     zw = zipf_weights(len(ZONES), alpha) if distribution == "zipf" else [0.2] * 5
+    zw, qw = (observed["zone_id"], observed["query_type"]) if observed else (zw, QUERY_WEIGHTS)
     i = F.col(id_col).cast("long")
     zone = _pick(uniform01(i, 0, seed), list(accumulate(zw)), ZONES)
-    qtype = _pick(uniform01(i, 1, seed), list(accumulate(QUERY_WEIGHTS)), QUERY_TYPES)
+    qtype = _pick(uniform01(i, 1, seed), list(accumulate(qw)), QUERY_TYPES)
     conf_i = F.floor(uniform01(i, 2, seed) * len(CONFIDENCE_LEVELS)).cast("int")
     bins_i = F.floor(uniform01(i, 3, seed) * len(BIN_CHOICES)).cast("int")
     other_i = F.floor(uniform01(i, 4, seed) * (len(ZONES) - 1)).cast("int")

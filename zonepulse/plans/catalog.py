@@ -6,7 +6,6 @@ the scale factor. Output columns carry the same names as the DuckDB oracles.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -295,8 +294,21 @@ def q_request_rejects(spark, sf_dir):
 
 @register("expand_failures")
 def q_expand_failures(spark, sf_dir):
-    kv = flow.keyed_and_validated(fx.requests(spark, sf_dir), _buildings(spark, sf_dir))
-    return rq.expand_failures(kv).select("seq", "retries", "event_index", "event_type")
+    """T7 over the log: five attempts in a row belong to one request id."""
+    a = flow.attempts(fx.requests(spark, sf_dir), _buildings(spark, sf_dir), TTL_FIXTURE)
+    return rq.expand_failures(a.withColumn("id", F.floor(F.col("seq") / 5).cast("long")))
+
+
+@register("traffic_fit")
+def q_traffic_fit(spark, sf_dir):
+    return rq.traffic_fit(fx.requests(spark, sf_dir))
+
+
+@register("sample_requests_observed")
+def q_sample_observed(spark, sf_dir):
+    """G2 by the frequencies of the request log."""
+    log = fx.requests(spark, sf_dir)
+    return rq.sample_requests(log.select("seq"), seed=11, observed=rq.observed_weights(log))
 
 
 @register("sample_requests_zipf")
@@ -529,10 +541,16 @@ def q_window_metrics_late(spark, sf_dir):
     its rows count only in windows that end after it."""
     base = scratch_path(spark, "metrics-late")
     t = fx.telemetry(spark, sf_dir)
-    for part in range(3):
-        tio.encode_telemetry(t.where(F.col("seq") % 3 == part)).coalesce(1).write.text(f"{base}/in/{part}")
-        time.sleep(1.1)             # file times of a whole second apart keep the order of the parts
-    _metrics_run(spark, base, maxFilesPerTrigger=1)
+    conf, empty_batches = spark.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(empty_batches)
+    conf.set(empty_batches, "false")        # a part is one batch, also at the end of a run
+    try:
+        for part in range(3):
+            tio.write_topic(tio.encode_telemetry(t.where(F.col("seq") % 3 == part)), f"{base}/in", "message_log")
+            start_metrics_job(spark, f"{base}/out", f"{base}/checkpoint", source="message_log", path=f"{base}/in",
+                              trigger={"availableNow": True}, startingOffsets="earliest").awaitTermination()
+    finally:
+        conf.set(empty_batches, before)
     return read_upserted(spark, f"{base}/out")
 
 
