@@ -6,6 +6,7 @@ from zonepulse.llm import license_scan as L
 
 
 def brute(text):
+    """Every window of every template's size; a match reaches over the shingles that it shares."""
     words = L.template_words(text or "")
     sh = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
     best = {}
@@ -14,14 +15,15 @@ def brute(text):
         own = {tuple(tw[i:i + 5]) for i in range(len(tw) - 4)}
         window, step = L.window_of(len(tw))
         for start in range(0, len(sh), step):
-            share = len(own & set(sh[start:start + window - 4])) / len(own)
+            inside = sh[start:start + window - 4]
+            share = len(own & set(inside)) / len(own)
             if share >= 0.8 and (name not in best or share > best[name][0]):
-                best[name] = (share, start, window)
-    keep = {}
-    for n, (share, at, w) in best.items():
-        if not any(s > share and a < at + w and at < a + v for s, a, v in best.values()):
-            keep[n] = (share, at)
-    return keep
+                at = [start + i for i, x in enumerate(inside) if x in own]
+                best[name] = (share, start, at[0], at[-1] + 5)
+    groups = {n: f for f, names in L.FAMILIES.items() for n in names}
+    beats = lambda y, x: (groups.get(y, y) == groups.get(x, x) and best[y][0] > best[x][0]
+                          and best[y][2] < best[x][3] and best[x][2] < best[y][3])
+    return {n: best[n][:2] for n in best if not any(beats(y, n) for y in best)}
 
 
 def texts():
@@ -38,6 +40,17 @@ def texts():
                 edit[rnd.randrange(len(edit))] = "CHANGED"
                 out.append(noise(7) + " " + " ".join(edit) + " " + noise(9))
             out.append(" ".join(words[: len(words) // 2]))
+    names = list(L.TEMPLATES)
+    for _ in range(40):                 # several licenses in a text, of one family and of others, some edited
+        some = []
+        for name in rnd.sample(names, rnd.randint(2, 4)):
+            words = L.TEMPLATES[name].split()
+            if len(words) > 20 and rnd.random() < 0.6:
+                words[rnd.randrange(len(words))] = "CHANGED"
+            some.append(" ".join(words))
+        out.append(rnd.choice([" ", "\n", f" {noise(4)} "]).join(some))
+    out += [f"{L.TEMPLATES['MIT']} " * 3 + L.TEMPLATES["MIT-text"], " ".join([L.TEMPLATES["GPL-3.0-header"]] * 2),
+            noise(3_000) + " " + (L.TEMPLATES["CC-BY-4.0"] + " license public ") * 200 + noise(3_000) + L.TEMPLATES["Apache-2.0-header"]]
     return out + [noise(200), "", None, "license", "Released under the MIT License " * 50]
 
 

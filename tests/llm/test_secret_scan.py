@@ -111,3 +111,70 @@ def test_candidates_that_base_spans_cover_in_part(spark):
                    "a /srv/the/path/of/[SECRET] b"]
     docs = spark.createDataFrame([(1, texts[3])], "doc_id int, text string")
     assert [len(r._spans) for r in S.find_secrets(docs, S.CLASSES, remainders=True).collect()] == [1]   # covered wholly
+
+
+def judged(t):
+    """Verdict of the entropy scan of all classes on a string."""
+    has = lambda rx: re.search(rx, t) is not None
+    if not has("[0-9]") or has(r"(?i)example|abcdef|0123456|1234567|deadbeef|(.)\1{7}"):
+        return False
+    if re.fullmatch("[0-9a-f]+", t) and has("[a-f]"):
+        limit = 2.9
+    elif has("[a-z]") and has("[A-Z]"):
+        limit = 3.7
+    elif re.fullmatch("[0-9A-F]+", t) and has("[A-F]"):
+        limit = 2.9
+    elif not has("[a-z]") and has("[A-Z0-9]{20}") and has("[A-Z][0-9]+[A-Z]"):
+        limit = 3.4
+    elif not has("[A-Z]") and has("[a-z0-9]{20}") and has("[a-z][0-9]+[a-z]"):
+        limit = 3.4
+    else:
+        return False
+    return round(max(entropy(t[i:i + 20]) for i in range(len(t) - 19)), 9) >= limit
+
+
+def brute_all(text):
+    """Spans of the query, character by character where base spans cover a candidate in part."""
+    text = text or ""
+    base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    base += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    base += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    covered = bytearray(len(text))
+    for s, _, e in base:
+        covered[s:e] = b"\1" * (e - s)
+    more, alnum = [], lambda c: c.isascii() and c.isalnum()
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        a, z = m.span()
+        free = [(a + f.start(), a + f.end()) for f in re.finditer(b"\0+", bytes(covered[a:z]))]
+        if not re.search("[0-9]", m[0]) or not free:
+            continue
+        if free == [(a, z)]:
+            pieces = free
+        elif judged(m[0]) and any((s > a and alnum(text[s])) or (e < z and alnum(text[e - 1])) for s, e in free):
+            pieces = [(a, z)]
+        else:
+            pieces = [(s, e) for s, e in free if e - s >= 20]
+        more += [(s, 3, e) for s, e in pieces if judged(text[s:e])]
+    kinds = ("assign", "access", "hex", "entropy")
+    return ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in sorted(base + more))
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    rnd = random.Random(21)
+    of = lambda letters, low, high: lambda: "".join(rnd.choice(letters) for _ in range(rnd.randint(low, high)))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    keys = [of("0123456789abcdef", 18, 60), of("0123456789ABCDEF", 18, 50), of(upper + "234567", 18, 40), of(lower + "0123456789", 18, 40),
+            of(upper + lower + "0123456789+/", 18, 60), of("0123456789", 18, 40), of("ab1", 18, 40), of(upper + "-_/9", 18, 40)]
+    access = lambda: "AKIA" + of(upper + "0123456789", 12, 16)()
+    glue = ["", "/", "-", "_", " ", "=", "+", "\n", " é "]
+    heads = ["", "", "token=", "password: ", "Secret='", "example", "api_key="]
+    rows = []
+    for _ in range(400):
+        parts = [rnd.choice(glue) + rnd.choice(heads) + (access() if rnd.random() < 0.25 else rnd.choice(keys)()) for _ in range(rnd.randint(1, 6))]
+        rows.append("".join(parts) + rnd.choice(glue))
+    rows = list(enumerate(rows + texts()))
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.spans for r in S.op9_secret_scan(spark, str(tmp_path)).collect()}
+    wrong = [(t, got[i], want) for i, t in rows if got[i] != (want := brute_all(t))]
+    assert not wrong, (len(wrong), wrong[0])
+    assert sum("entropy" in spans for spans in got.values()) > 150
