@@ -119,6 +119,43 @@ def test_long_baskets(spark):
     assert got and all(r.support == 30 and r.confidence == 1.0 and len(r.tokens) == 1 for r in got)
 
 
+@pytest.mark.parametrize("limit", [0, 1, 3])
+def test_no_token_is_left_out(spark, labelled, limit):
+    """Baskets longer than the limit of FP-growth lose no token: the rules are the same."""
+    df = spark.createDataFrame([*labelled, ("http://casino.net/win", None)], "url string, bad boolean")
+    rules = lambda k: sorted((r.tokens, r.key, r.confidence, r.support) for r in U.mine_rules(df, max_tokens=k).collect())
+    want = rules(20)
+    assert any(len(t) > 1 for t, *_ in want) and rules(limit) == want
+
+
+def test_weak_tokens_of_long_baskets(spark):
+    """Two tokens that tell only together are found beside many that tell more alone."""
+    rnd = random.Random(5)
+    rows = []
+    for _ in range(240):
+        x, y = rnd.random() < 0.5, rnd.random() < 0.5
+        bad = x and y or rnd.random() < 0.3
+        words = [f"d{i}" for i in range(10) if rnd.random() < (0.7 if bad else 0.5)] + ["same", "all"]
+        words += ["x"] * x + ["y"] * y + ["no"] * (not bad and rnd.random() < 0.5)
+        rows.append(("http://a.net/" + "/".join(words), bad))
+    want = {c: v for c, v in brute_rules(rows, 24, 0.8).items()}
+    want = {c: v for c, v in want.items() if not any(want.get(tuple(t for t in c if t != d), (0, 0))[1] >= v[1] for d in c)}
+    assert ("p:x", "p:y") in want and max(len(tokens(u)) for u, _ in rows) > 12
+    got = U.mine_rules(spark.createDataFrame(rows, "url string, bad boolean"), min_support=0.1, min_confidence=0.8).collect()
+    assert {tuple(r.tokens): (r.support, r.confidence) for r in got} == want
+
+
+def test_long_baskets_of_mixed_labels(spark):
+    """Tokens that always come together, or one inside the other, make no combinations."""
+    words = [f"w{i:02}" for i in range(40)]
+    rows = [("http://spam.net/" + "/".join(words[:k]), j < 8) for k in range(10, 41) for j in range(10)]
+    rows += [(f"http://a.net/{i}", False) for i in range(60)]
+    got = U.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).collect()
+    assert got and all(len(r.tokens) == 1 and r.confidence == pytest.approx(0.8) for r in got)
+    assert {r.tokens[0] for r in got} == {"h:spam", *(f"p:{w}" for w in words[:31] + words[31:])} - {
+        f"p:{w}" for w in words if 8 * sum(len(words[:k]) > words.index(w) for k in range(10, 41)) < 10}
+
+
 def test_nothing_to_learn(spark):
     for rows in ([], [("http://a.net/x", False)] * 20, [("http://a.net/x", True)] * 9, [(None, True)] * 30):
         assert U.mine_rules(spark.createDataFrame(rows, "url string, bad boolean")).count() == 0

@@ -9,9 +9,11 @@ where a part of them says as much. They match through an inverted index: a combi
 filed under its rarest token, the tokens of a URL fetch their candidates by an equi-join, and
 only candidates are compared as a whole. Each distinct URL is judged once.
 
-FP-growth is exponential in the length of a basket, so mining (not matching) keeps the
-``max_tokens`` frequent tokens of a labelled URL which tell most about its label, by the
-size of the z-score of their bad share.
+FP-growth is exponential in the length of a basket, however alike its tokens are. Where a
+labelled URL has more than ``max_tokens`` frequent tokens, the same combinations are grown by
+joins instead, a token at a time, and those with a part that says as much are not grown
+on: tokens that always come together, or one inside the other, make no combinations. Every
+frequent token of every labelled URL takes part either way.
 
 Defined results:
 
@@ -94,12 +96,73 @@ def tokens_of(url: Column) -> Column:
 _MINED = "tokens array<string>, key string, confidence double, support bigint"
 
 
+def _needed_by_trees(baskets: DataFrame, n: int, least: int, min_confidence: float) -> DataFrame:
+    """tokens, confidence, support of the rules of Spark's FP-growth that no part makes idle."""
+    marked = baskets.select(F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items"))
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(marked)
+    rules = materialise(
+        model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
+        .select(F.array_sort("antecedent").alias("tokens"), "confidence", F.round(F.col("support") * n).cast("long").alias("support")),
+        "url-rules")
+    parts = rules.select("tokens", "confidence", F.explode(F.transform(
+        "tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("part"))
+    idle = (parts.alias("w").join(rules.alias("s"), (F.col("w.part") == F.col("s.tokens")) & (F.col("s.confidence") >= F.col("w.confidence")))
+            .select("w.tokens").distinct())
+    return rules.join(idle, "tokens", "left_anti")
+
+
+def _needed_by_growth(baskets: DataFrame, frequent: DataFrame, least: int, min_confidence: float) -> DataFrame:
+    """The same rules for baskets of any length: combinations grow by a token at a time.
+
+    A combination is grown only if every token of it takes rows away and some of its rows are
+    not bad. Any other has a part in as many rows, or one that is always bad, and so has all
+    that contains it: the part says as much. Equal baskets are one row with their number, and
+    combinations of one basket that differ in the last token meet by an equi-join.
+    """
+    share = F.col("worse") / F.col("uses")
+    weighed = (baskets.where(F.size("items") > 0).groupBy("items").agg(F.count("*").alias("n"), F.count(F.when(F.col("bad"), 1)).alias("n_bad"))
+               .select(F.monotonically_increasing_id().alias("basket"), "n", "n_bad", "items"))
+    found = frequent.select(F.array("token").alias("tokens"), "uses", "worse", F.lit(0.0).alias("told"))
+    n_all = baskets.count()
+    held = materialise(weighed, "url-weighed").select("basket", "n", "n_bad", F.explode("items").alias("token")).select(
+        "basket", "n", "n_bad", F.array("token").alias("tokens"))
+    rules, size = [], 1
+    while True:
+        # told: the greatest confidence of a part that is a rule
+        rules.append(found.where((share >= min_confidence) & (share > F.col("told")))
+                     .select("tokens", share.alias("confidence"), F.col("worse").alias("support")))
+        live = materialise(found.where((F.col("worse") < F.col("uses")) & (F.col("uses") < n_all)), f"url-live-{size}")
+        if live.isEmpty():
+            break
+        held = held.join(live.select("tokens"), "tokens", "left_semi").select(
+            "basket", "n", "n_bad", F.slice("tokens", 1, size - 1).alias("head"), F.element_at("tokens", -1).alias("last"))
+        held = materialise(held, f"url-held-{size}")
+        a, b = held.alias("a"), held.select("basket", "head", F.col("last").alias("next")).alias("b")
+        held = a.join(b, ["basket", "head"]).where(F.col("last") < F.col("next")).select(
+            "basket", "n", "n_bad", F.concat("head", F.array("last", "next")).alias("tokens"))
+        size += 1
+        grown = (held.groupBy("tokens").agg(F.sum("n").alias("uses"), F.sum("n_bad").alias("worse")).where(F.col("worse") >= least))
+        parts = grown.select("tokens", "uses", "worse", F.explode(F.transform(
+            "tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("part"))
+        said = live.select(F.col("tokens").alias("part"), F.col("uses").alias("part_uses"), share.alias("part_share"))
+        found = materialise(
+            parts.join(said, "part").groupBy("tokens", "uses", "worse").agg(
+                F.count("*").alias("parts"), F.min("part_uses").alias("fewest"),
+                F.max(F.when(F.col("part_share") >= min_confidence, F.col("part_share")).otherwise(F.lit(0.0))).alias("told"))
+            .where((F.col("parts") == size) & (F.col("fewest") > F.col("uses"))).select("tokens", "uses", "worse", "told"), f"url-found-{size}")
+    needed = rules[0]
+    for more in rules[1:]:
+        needed = needed.unionByName(more)
+    return needed
+
+
 def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_count: int = 10, min_confidence: float = 0.7,
                max_tokens: int = 12) -> DataFrame:
     """Token combinations that imply ``bad``: tokens, key (the rarest token), confidence, support.
 
     ``labelled`` has url and bad (boolean). A combination needs ``min_count`` bad rows and
-    ``min_support`` of all labelled rows.
+    ``min_support`` of all labelled rows. ``max_tokens`` is the longest basket for FP-growth;
+    it decides the way, not the result.
     """
     spark = labelled.sparkSession
     baskets = materialise(labelled.where(F.col("bad").isNotNull()).select(
@@ -108,28 +171,17 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_count: int =
     least = max(min_count, -int(-n * min_support // 1))
     if n_bad < least:
         return spark.createDataFrame([], _MINED)
-    share = n_bad / n
-    spread = F.sqrt(F.lit(max(share * (1 - share), 1e-9)) * F.col("uses"))
     pairs = baskets.select("row", "bad", F.explode("tokens").alias("token"))
     frequent = materialise(
         pairs.groupBy("token").agg(F.count("*").alias("uses"), F.count(F.when(F.col("bad"), 1)).alias("worse"))
-        .where(F.col("worse") >= least)
-        .select("token", "uses", F.abs((F.col("worse") - F.col("uses") * share) / spread).alias("tells")), "url-tokens")
-    kept = pairs.join(frequent, "token").groupBy("row").agg(F.transform(F.slice(F.array_sort(F.collect_list(
-        F.struct((-F.col("tells")).alias("less"), "token"))), 1, max_tokens), lambda x: x["token"]).alias("items"))
+        .where(F.col("worse") >= least), "url-tokens")
+    kept = pairs.join(frequent, "token").groupBy("row").agg(F.array_sort(F.collect_list("token")).alias("items"))
     items = F.coalesce("items", F.array().cast("array<string>"))
-    baskets = baskets.join(kept, "row", "left").select(
-        F.when(F.col("bad"), F.array_append(items, F.lit(BAD))).otherwise(items).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n, minConfidence=min_confidence).fit(baskets)
-    rules = materialise(
-        model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
-        .select(F.array_sort("antecedent").alias("tokens"), "confidence", F.round(F.col("support") * n).cast("long").alias("support")),
-        "url-rules")
-    parts = rules.select("tokens", "confidence", F.explode(F.transform(
-        "tokens", lambda t: F.array_remove(F.col("tokens"), t))).alias("part"))
-    idle = (parts.alias("w").join(rules.alias("s"), (F.col("w.part") == F.col("s.tokens")) & (F.col("s.confidence") >= F.col("w.confidence")))
-            .select("w.tokens").distinct())
-    needed = rules.join(idle, "tokens", "left_anti")
+    baskets = materialise(baskets.join(kept, "row", "left").select("bad", items.alias("items")), "url-baskets")
+    if (baskets.agg(F.max(F.size("items"))).first()[0] or 0) <= max_tokens:
+        needed = _needed_by_trees(baskets, n, least, min_confidence)
+    else:
+        needed = _needed_by_growth(baskets, frequent, least, min_confidence)
     rarest = (needed.select("tokens", F.explode("tokens").alias("token")).join(frequent, "token")
               .groupBy("tokens").agg(F.min_by("token", F.struct("uses", "token")).alias("key")))
     return materialise(needed.join(rarest, "tokens").select("tokens", "key", "confidence", "support"), "url-index")
