@@ -656,3 +656,28 @@ def test_zone_index_against_boxes(spark):
     assert bld.assign_zone_index(df, z.limit(0)).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_messages_are_parsed_once(spark):
+    """The check of a message parses it once, and the replay of a batch reads decoded requests."""
+    from zonepulse.plans.request_flow import process_requests
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    row = '{"id": "a", "req": {"zone_id": "Z1", "query_type": "Q1"}, "t_start": 5.0}'
+    df = spark.createDataFrame([(0, row), (1, '{"req": 5}'), (2, '{"req": null}'), (3, None), (4, ' [1]'), (5, ' {"zone_id": "Z1"}')], "seq bigint, value string")
+    asked = df.where(rio.decodable(F.col("value")))
+    assert [r.seq for r in asked.orderBy("seq").collect()] == [0, 5]
+    assert plan(asked).count("parseJson") == 1
+    b = spark.createDataFrame([("Z1", 10.0, 0.9)], "zone_id string, area_in_meters double, confidence double")
+    out = process_requests(df, b, 300.0, F.lit(9.0))
+    assert "from_json" not in plan(out["events"]) and "parseJson" not in plan(out["events"])
+    assert sorted((r.seq, r.event_type) for r in out["events"].collect()) == [(0, "miss"), (5, "miss"), (5, "retry")]
+    assert out["rejects"].count() == 4
+
+
+def test_request_log_is_dealt_out(spark):
+    """A log that one task reads is encoded by many."""
+    from zonepulse.plans import catalog
+    from zonepulse.sources import fixtures as fx
+    log = catalog._request_log(spark, "/root/testdata/sf0.001")
+    assert "RepartitionByExpression" in log._jdf.queryExecution().optimizedPlan().toString()
+    assert log.count() == fx.requests(spark, "/root/testdata/sf0.001").count()

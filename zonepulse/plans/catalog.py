@@ -268,11 +268,17 @@ def q_attempt_telemetry(spark, sf_dir):
         "seq", "event_index", "timestamp", "event_type", "query_type", "zone_id", "cache_key", "latency_ms")
 
 
-def _messages(spark, sf_dir):
-    """The request log as wrapped messages, with some that are no request object."""
-    r = fx.requests(spark, sf_dir).select(
+def _request_log(spark, sf_dir):
+    """The requests with what an envelope adds, dealt out: a file of few row groups is read by
+    as few tasks, and writing and parsing JSON takes many times the time of the scan."""
+    return fx.requests(spark, sf_dir).repartition("seq", "t_start").select(
         "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
         F.col("attempt_retries").alias("retries"))
+
+
+def _messages(spark, sf_dir):
+    """The request log as wrapped messages, with some that are no request object."""
+    r = _request_log(spark, sf_dir)
     junk = r.where(F.col("seq") % 89 == 0).select(
         "seq", F.when(F.col("seq") % 2 == 0, F.lit("not json")).otherwise(F.lit('{"req": 5}')).alias("value"))
     return rio.encode_requests(r, keep=["seq"]).unionByName(junk)
@@ -662,9 +668,7 @@ def q_assign_runs_stream(spark, sf_dir):
 def q_request_outcomes(spark, sf_dir):
     """End to end: requests as envelopes on a log -> decode -> key -> validate -> TTL
     replay -> telemetry events (equal to attempt_events on the same requests)."""
-    r = fx.requests(spark, sf_dir).select(
-        "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
-        F.col("attempt_retries").alias("retries"))
+    r = _request_log(spark, sf_dir)
     msgs = rio.encode_requests(r, keep=["seq"])                               # S9
     out = flow.process_requests(msgs, _buildings(spark, sf_dir), TTL_FIXTURE)
     return out["events"].select("seq", "event_index", "event_type", "query_type", "zone_id",
@@ -692,9 +696,7 @@ def q_request_answers_stream(spark, sf_dir):
 
 def _consumed(spark, sf_dir, output="events"):
     base = scratch_path(spark, "consumer")
-    r = fx.requests(spark, sf_dir).select(
-        "*", F.concat(F.lit("req_"), F.col("seq").cast("string")).alias("id"),
-        F.col("attempt_retries").alias("retries"))
+    r = _request_log(spark, sf_dir)
     rio.encode_requests(r.where("retries = 0")).write.text(f"{base}/main")
     rio.encode_requests(r.where("retries > 0")).write.text(f"{base}/retry")
     msgs = rio.read_requests_stream(spark, "text", (f"{base}/main", f"{base}/retry"))

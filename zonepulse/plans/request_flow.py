@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators import buildings as bld
 from zonepulse.operators import requests as rq
+from zonepulse.session import scratch_table
 from zonepulse.sources.requests_io import decodable, decode_requests, encode_failed
 
 #: What J3 adds to a request.
@@ -59,8 +60,10 @@ class RequestOutcomes(Mapping):
 
     @cached_property
     def requests(self) -> DataFrame:
-        """The decoded requests."""
-        return decode_requests(self._messages.where(decodable(F.col("value"))), self._now)
+        """The decoded requests, written once: the replay reads them twice, and a filter that
+        moves before the decoding would parse a message again for every column it asks."""
+        judged = self._messages.withColumn("_request", decodable(F.col("value")))
+        return scratch_table(decode_requests(judged, self._now), "requests").where("_request").drop("_request")
 
     @cached_property
     def replay(self) -> DataFrame:

@@ -55,10 +55,15 @@ def read_requests_stream(spark: SparkSession, source: str = "kafka",
 
 def decodable(value: Column) -> Column:
     """Whether a message is a request: a JSON object whose ``req``, if there is one, is an object."""
-    parsed = F.try_parse_json(value.cast("string"))
-    inner = F.try_variant_get(parsed, "$.req", "variant")
-    outer = parsed.isNotNull() & F.coalesce(F.ltrim(value.cast("string")).startswith("{"), F.lit(False))
-    return outer & (inner.isNull() | F.coalesce(F.to_json(inner).startswith("{"), F.lit(False)))
+    text = value.cast("string")
+
+    def is_request(parsed: Column) -> Column:
+        inner = F.try_variant_get(parsed, "$.req", "variant")
+        return parsed.isNotNull() & (inner.isNull() | F.coalesce(F.schema_of_variant(inner).startswith("OBJECT"), F.lit(False)))
+
+    # an array of one binds what is used several times, so a message is parsed once
+    found = F.transform(F.array(F.try_parse_json(text)), is_request)[0]
+    return F.coalesce(F.ltrim(text).startswith("{"), F.lit(False)) & found
 
 
 def decode_requests(df: DataFrame, now: Column | None = None) -> DataFrame:
