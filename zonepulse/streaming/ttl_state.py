@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -30,17 +31,24 @@ class TTLCacheProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         from zonepulse.operators.requests import fold_run
-        pdf = pd.concat(list(rows)).sort_values(["t", "seq"], kind="stable")
+        chunks = [pdf for pdf in rows if len(pdf)]
+        if not chunks:
+            return
+        # only the numbers are laid together and sorted; the rows leave in the chunks they came in
+        column = lambda c, kind: np.concatenate([pdf[c].to_numpy(dtype=kind) for pdf in chunks])
+        t = column("t", "float64")
+        order = np.lexsort((column("seq", "int64"), t))
         expiry = self.expiry.get()[0] if self.expiry.exists() else float("-inf")
-        cached, expiry = fold_run(pdf["t"].to_numpy(dtype="float64"),
-                                  pdf["valid"].to_numpy(dtype=bool), expiry, self.ttl)
+        cached = np.zeros(len(t), dtype=bool)
+        cached[order], expiry = fold_run(t[order], column("valid", "bool")[order], expiry, self.ttl)
         if expiry != float("-inf"):
             self.expiry.update((float(expiry),))
-        out = {"cache_key": [key[0]] * len(pdf), "seq": pdf["seq"].astype("int64").to_numpy(),
-               "cached": cached}
-        for c in self.keep:
-            out[c] = pdf[c].to_numpy()
-        yield pd.DataFrame(out)
+        at = 0
+        for i, pdf in enumerate(chunks):
+            chunks[i] = None
+            yield pd.DataFrame({"cache_key": [key[0]] * len(pdf), "seq": pdf["seq"].astype("int64").to_numpy(),
+                                "cached": cached[at: at + len(pdf)], **{c: pdf[c].to_numpy() for c in self.keep}})
+            at += len(pdf)
 
     def close(self) -> None:
         pass
